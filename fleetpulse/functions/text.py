@@ -28,21 +28,16 @@ def one_decimal(x: Column) -> Column:
         & (whole % 2 == 1)
         & ((residual < 0) | ((residual == 0) & (whole % 4 == 1)))
     )
-    tenths = F.floor((whole + 1) / F.lit(2)) - F.when(round_down, F.lit(1)).otherwise(F.lit(0))
+    tenths = F.shiftright(whole + 1, 1) - F.when(round_down, F.lit(1)).otherwise(F.lit(0))
     sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
     digits = F.concat(
         sign,
-        F.floor(tenths / F.lit(10)).cast("string"),
+        F.call_function("div", tenths, F.lit(10)).cast("string"),
         F.lit("."),
         (tenths % 10).cast("string"),
     )
-    return (
-        F.when(x.isNull(), F.lit(None).cast("string"))
-        .when(F.isnan(x), F.lit("nan"))
-        .when(size == F.lit(float("inf")), F.concat(sign, F.lit("inf")))
-        .when(size >= F.lit(_EXACT_LIMIT), F.format_string("%.1f", x))
-        .otherwise(digits)
-    )
+    words = F.replace(F.lower(F.format_string("%.1f", x)), F.lit("infinity"), F.lit("inf"))
+    return F.when(size < F.lit(_EXACT_LIMIT), digits).when(size >= F.lit(_EXACT_LIMIT), words)
 
 
 def iso_timestamp(ts: Column) -> Column:

@@ -2,12 +2,15 @@
 
 A message is wrapped in brackets and parsed as an array of one object. That
 reads the whole text: anything after the closing brace makes it malformed.
+The parse sits in a generator, which filters cannot be pushed through, so it
+runs once per message however many columns and conditions use its result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,9 +34,22 @@ class Parsed:
     quarantine: DataFrame
 
 
-def json_object(value: Column, schema: T.StructType) -> Column:
-    """The single JSON object in ``value`` as a struct, NULL if it is not one."""
-    return _only(F.from_json(_bracketed(value), T.ArrayType(schema), _STRICT_JSON))
+def with_object(
+    messages: DataFrame, value: str, schema: T.StructType, convert: Callable[[Column], list[Column]] | None = None
+) -> DataFrame:
+    """Adds the fields of the single JSON object in ``value`` as columns.
+
+    ``_object`` is true where there is one, and NULL, like the fields, where
+    there is not. ``convert`` maps the parsed struct to the wanted columns.
+    """
+    parsed = F.from_json(_bracketed(F.col(value)), T.ArrayType(schema), _STRICT_JSON)
+
+    def fields(items: Column) -> Column:
+        o = F.get(items, F.lit(0))
+        columns = convert(o) if convert else [o.getField(name).alias(name) for name in schema.names]
+        return F.when((F.size(items) == 1) & o.isNotNull(), F.struct(F.lit(True).alias("_object"), *columns))
+
+    return messages.select("*", F.inline(F.transform(F.array(parsed), fields)))
 
 
 def json_fields(value: Column) -> Column:
@@ -53,84 +69,56 @@ def parse_strict(messages: DataFrame, value: str = "value") -> Parsed:
     A null or non-numeric measure passes as NULL. Keys are listed (a second
     parse) only for messages in which some required field came out NULL.
     """
-    text = F.col(value)
-    staged = messages.withColumn("_o", json_object(text, schemas.RAW_STRICT))
-    complete = F.lit(True)
-    for name in schemas.REQUIRED_FIELDS:
-        complete = complete & F.col(f"_o.{name}").isNotNull()
-    present = F.when(F.coalesce(complete, F.lit(False)), F.lit(True)).otherwise(
-        has_fields(text, schemas.REQUIRED_FIELDS)
-    )
-    reason = (
-        F.when(F.col("_ok").isNull(), F.lit(MALFORMED)).when(~F.col("_ok"), F.lit(MISSING_FIELD)).otherwise(F.lit(None))
+    carried = _carried(messages, value)
+    staged = with_object(messages, value, schemas.RAW_STRICT)
+    complete = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in schemas.REQUIRED_FIELDS])
+    named = F.when(complete, F.lit(True)).when(
+        F.col("_object"), F.coalesce(has_fields(F.col(value), schemas.REQUIRED_FIELDS), F.lit(False))
     )
-    judged = staged.withColumn("_ok", present).withColumn("_reason", reason)
+    reason = F.when(F.col("_object").isNull(), F.lit(MALFORMED)).otherwise(F.lit(MISSING_FIELD))
     return Parsed(
-        valid=judged.filter(F.col("_reason").isNull()).select(
-            *_carried(messages, value), *_reading_columns(lambda c: F.col(f"_o.{c}"))
-        ),
-        quarantine=judged.filter(F.col("_reason").isNotNull()).select(
-            *_carried(messages, value), text.alias("value"), F.col("_reason").alias("reason")
+        valid=staged.filter(named).select(*carried, *_reading_columns()),
+        quarantine=staged.filter(~F.coalesce(named, F.lit(False))).select(
+            *carried, F.col(value).alias("value"), reason.alias("reason")
         ),
     )
 
 
 def parse_tolerant(messages: DataFrame, value: str = "value") -> Parsed:
     """Readings whose measures are numbers or numeric text; the rest drops."""
-    text = F.col(value)
-    staged = messages.withColumn("_o", json_object(text, schemas.RAW_TOLERANT)).select(
-        *_carried(messages, value), text.alias("_text"), F.col("_o").isNull().alias("_bad"), *_reading_columns(_tolerant)
-    )
-    readable = F.lit(True)
-    for name in ("sensor_id", "vehicle_id", "ts_ms", "pressure_kpa", "temperature_c"):
-        readable = readable & F.col(name).isNotNull()
-    kept = [*_carried(messages, value), *schemas.READING.names]
+    carried = _carried(messages, value)
+    staged = with_object(messages, value, schemas.RAW_TOLERANT, convert=_tolerant)
+    readable = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in schemas.REQUIRED_FIELDS])
+    reason = F.when(F.col("_object").isNull(), F.lit(MALFORMED)).otherwise(F.lit(BAD_VALUE))
     return Parsed(
-        valid=staged.filter(readable).select(*kept),
-        quarantine=staged.filter(~readable).select(
-            *_carried(messages, value),
-            F.col("_text").alias("value"),
-            F.when(F.col("_bad"), F.lit(MALFORMED)).otherwise(F.lit(BAD_VALUE)).alias("reason"),
-        ),
+        valid=staged.filter(readable).select(*carried, *_reading_columns()),
+        quarantine=staged.filter(~readable).select(*carried, F.col(value).alias("value"), reason.alias("reason")),
     )
 
 
 def parse_sql_table(messages: DataFrame, value: str = "value") -> DataFrame:
     """Declared-schema JSON scan: every object is a row, absent fields NULL."""
-    return (
-        messages.withColumn("_o", json_object(F.col(value), schemas.RAW_STRICT))
-        .filter(F.col("_o").isNotNull())
-        .select(*_carried(messages, value), *_reading_columns(lambda c: F.col(f"_o.{c}")))
-    )
+    objects = with_object(messages, value, schemas.RAW_STRICT).filter(F.col("_object"))
+    return objects.select(*_carried(messages, value), *_reading_columns())
 
 
 def parse_legacy(messages: DataFrame, value: str = "value") -> DataFrame:
     """psi readings of the older sensors."""
-    return (
-        messages.withColumn("_o", json_object(F.col(value), schemas.LEGACY_READING))
-        .filter(F.col("_o").isNotNull())
-        .select(*_carried(messages, value), "_o.*")
-    )
+    return _plain(messages, value, schemas.LEGACY_READING)
 
 
 def parse_alert_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Alert topic messages; the time stays the text that was published."""
-    return (
-        messages.withColumn("_o", json_object(F.col(value), schemas.ALERT_MESSAGE))
-        .filter(F.col("_o").isNotNull())
-        .select(*_carried(messages, value), "_o.*")
-    )
+    return _plain(messages, value, schemas.ALERT_MESSAGE)
 
 
 def parse_tire_data(messages: DataFrame, value: str = "value") -> DataFrame:
     """Ingest messages with an epoch-seconds time, number or text."""
-    staged = messages.withColumn("_o", json_object(F.col(value), schemas.TIRE_DATA_MESSAGE))
-    return staged.select(
-        F.col("_o.tire_id").alias("tire_id"),
-        F.col("_o.pressure").alias("pressure"),
-        F.col("_o.temperature").alias("temperature"),
-        from_epoch_seconds(F.col("_o.timestamp")).alias("timestamp"),
-    ).filter(F.col("tire_id").isNotNull() & F.col("timestamp").isNotNull())
+    return (
+        _plain(messages, value, schemas.TIRE_DATA_MESSAGE)
+        .withColumn("timestamp", from_epoch_seconds(F.col("timestamp")))
+        .filter(F.col("tire_id").isNotNull() & F.col("timestamp").isNotNull())
+    )
 
 
 def with_event_time(readings: DataFrame, ms: str = "ts_ms", ts: str = "ts") -> DataFrame:
@@ -146,25 +134,26 @@ def _only(items: Column) -> Column:
     return F.when(F.size(items) == 1, F.get(items, F.lit(0)))
 
 
+def _plain(messages: DataFrame, value: str, schema: T.StructType) -> DataFrame:
+    objects = with_object(messages, value, schema).filter(F.col("_object"))
+    return objects.select(*_carried(messages, value), *schema.names)
+
+
 def _carried(messages: DataFrame, value: str) -> list[str]:
     return [name for name in messages.columns if name != value]
 
 
-def _reading_columns(field) -> list[Column]:
-    return [
-        field("sensor_id").alias("sensor_id"),
-        field("vehicle_id").alias("vehicle_id"),
-        F.col("_o.timestamp").try_cast("bigint").alias("ts_ms"),
-        field("pressure_kpa").alias("pressure_kpa"),
-        field("temperature_c").alias("temperature_c"),
-        field("battery_voltage").alias("battery_voltage"),
-    ]
+def _reading_columns() -> list[Column | str]:
+    millis = F.col("timestamp").try_cast("bigint").alias("ts_ms")
+    return ["sensor_id", "vehicle_id", millis, "pressure_kpa", "temperature_c", "battery_voltage"]
+
+
+def _tolerant(o: Column) -> list[Column]:
+    measures = ("pressure_kpa", "temperature_c", "battery_voltage")
+    fields = [(name, o.getField(name)) for name in schemas.RAW_TOLERANT.names]
+    return [(_number(field) if name in measures else field).alias(name) for name, field in fields]
 
 
-def _tolerant(name: str) -> Column:
-    raw = F.col(f"_o.{name}")
-    if name in ("sensor_id", "vehicle_id"):
-        return raw
+def _number(text: Column) -> Column:
     # A cast would also take the Java suffixes of 1.5d and 1.5f.
-    suffixed = F.lower(F.trim(raw)).rlike("[0-9.][df]$")
-    return F.when(~suffixed, raw.try_cast("double"))
+    return F.when(~F.lower(text).rlike(r"[0-9.][df]\s*$"), text.try_cast("double"))

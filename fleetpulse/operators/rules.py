@@ -7,7 +7,7 @@ so a hot sensor costs nothing beyond its own rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -43,12 +43,6 @@ class Rule:
     def hit(self) -> Column:
         return beyond(F.col(self.measure), self.side, self.limit)
 
-    def severity_column(self) -> Column:
-        if self.severe_limit is None:
-            return F.lit(self.severity)
-        severe = beyond(F.col(self.measure), self.side, self.severe_limit)
-        return F.when(severe, F.lit(HIGH)).otherwise(F.lit(self.severity))
-
     def lead(self) -> str:
         return f"{MEASURE_TEXT[self.measure][0]} "
 
@@ -123,29 +117,41 @@ def apply_rules(
         wanted = wanted.filter(F.col(name).isNotNull())
     wanted = wanted.filter(rule_set.any_hit())
 
-    candidates = [F.when(rule.hit(), _outcome(rule, rule_set)) for rule in rule_set.rules]
+    kept = ["sensor_id", "vehicle_id", "ts_ms", *carry]
     if rule_set.emit == "all":
-        hit = F.explode(F.array(*candidates))
+        outcomes = [
+            F.when(rule.hit(), F.struct(F.lit(n).alias("rule"), F.col(rule.measure).alias("value")))
+            for n, rule in enumerate(rule_set.rules)
+        ]
+        found = (
+            wanted.select(*kept, F.explode(F.array(*outcomes)).alias("_hit"))
+            .filter(F.col("_hit").isNotNull())
+            .select(*kept, F.col("_hit.rule").alias("_rule"), F.col("_hit.value").alias("_value"))
+        )
     else:
-        hit = F.coalesce(*candidates)
-    found = wanted.select("sensor_id", "vehicle_id", "ts_ms", *carry, hit.alias("_hit")).filter(
-        F.col("_hit").isNotNull()
-    )
+        found = wanted.select(
+            *kept,
+            _first_hit(rule_set, lambda n, rule: F.lit(n)).alias("_rule"),
+            _first_hit(rule_set, lambda n, rule: F.col(rule.measure)).alias("_value"),
+        )
 
-    value = F.col("_hit.value")
+    value = F.col("_value")
     shown = one_decimal(value) if rule_set.rounded_text else value.cast("string")
+    code = _by_rule(rule_set, lambda rule: CODES[rule.alert_type])
     if rule_set.id_with_code:
-        alert_id = F.concat_ws("-", "sensor_id", F.col("_hit.code"), F.col("ts_ms").cast("string"))
+        alert_id = F.concat_ws("-", "sensor_id", code, F.col("ts_ms").cast("string"))
     else:
         alert_id = F.concat(F.col("sensor_id"), F.lit("_"), F.col("ts_ms").cast("string"))
+    lead = _by_rule(rule_set, Rule.lead)
+    tail = _by_rule(rule_set, lambda rule: rule.tail(rule_set.limit_text(rule)))
     return found.select(
         alert_id.alias("alert_id"),
         "sensor_id",
         "vehicle_id",
         event_time(F.col("ts_ms")).alias("timestamp"),
-        F.col("_hit.alert_type").alias("alert_type"),
-        F.col("_hit.severity").alias("severity"),
-        F.concat(F.col("_hit.lead"), shown, F.col("_hit.tail")).alias("description"),
+        _by_rule(rule_set, lambda rule: rule.alert_type).alias("alert_type"),
+        _severity(rule_set, value).alias("severity"),
+        F.concat(lead, shown, tail).alias("description"),
         value.alias("triggering_value"),
         *([at(clock).alias("processed_at")] if stamp else []),
         *carry,
@@ -186,31 +192,40 @@ def smoke_classes(messages: DataFrame, value: str = "value") -> DataFrame:
     compared drops the message.
     """
     from fleetpulse.functions.schemas import RAW_STRICT
-    from fleetpulse.operators.parse import json_fields, json_object
+    from fleetpulse.operators.parse import json_fields, with_object
 
     low_rule, hot_rule = _WIDE[0], _WIDE[2]
-    low = beyond(F.col("_o.pressure_kpa"), low_rule.side, low_rule.limit)
-    hot = beyond(F.col("_o.temperature_c"), hot_rule.side, hot_rule.limit)
+    low, hot = low_rule.hit(), hot_rule.hit()
     named = F.array_contains(F.col("_keys"), "sensor_id")
-    temperature_ok = F.col("_o.temperature_c").isNotNull() | ~F.array_contains(F.col("_keys"), "temperature_c")
-    class_name = F.when(low, F.lit("LOW PRESSURE")).when(hot, F.lit("HIGH TEMP"))
+    temperature_ok = F.col("temperature_c").isNotNull() | ~F.array_contains(F.col("_keys"), "temperature_c")
     return (
-        messages.withColumn("_o", json_object(F.col(value), RAW_STRICT))
-        .filter(F.col("_o.pressure_kpa").isNotNull())
+        with_object(messages, value, RAW_STRICT)
+        .filter(F.col("pressure_kpa").isNotNull())
         .withColumn("_keys", F.map_keys(json_fields(F.col(value))))
-        .withColumn("class", class_name)
+        .withColumn("class", F.when(low, F.lit("LOW PRESSURE")).when(hot, F.lit("HIGH TEMP")))
         .filter(low | temperature_ok)
         .filter(F.col("class").isNull() | named)
-        .drop("_o", "_keys")
+        .select(*messages.columns, "class")
     )
 
 
-def _outcome(rule: Rule, rule_set: RuleSet) -> Column:
-    return F.struct(
-        F.lit(rule.alert_type).alias("alert_type"),
-        rule.severity_column().alias("severity"),
-        F.lit(CODES[rule.alert_type]).alias("code"),
-        F.col(rule.measure).alias("value"),
-        F.lit(rule.lead()).alias("lead"),
-        F.lit(rule.tail(rule_set.limit_text(rule))).alias("tail"),
-    )
+def _first_hit(rule_set: RuleSet, outcome: Callable[[int, Rule], Column]) -> Column:
+    """Outcome of the first rule that hits."""
+    chosen = F
+    for n, rule in enumerate(rule_set.rules):
+        chosen = chosen.when(rule.hit(), outcome(n, rule))
+    return chosen
+
+
+def _by_rule(rule_set: RuleSet, text: Callable[[Rule], str]) -> Column:
+    """Constant text looked up by rule number; keeps the generated code small."""
+    return F.get(F.array(*[F.lit(text(rule)) for rule in rule_set.rules]), F.col("_rule"))
+
+
+def _severity(rule_set: RuleSet, value: Column) -> Column:
+    usual = _by_rule(rule_set, lambda rule: rule.severity)
+    raised = F.lit(False)
+    for n, rule in enumerate(rule_set.rules):
+        if rule.severe_limit is not None:
+            raised = raised | ((F.col("_rule") == n) & beyond(value, rule.side, rule.severe_limit))
+    return F.when(raised, F.lit(HIGH)).otherwise(usual)

@@ -85,12 +85,12 @@ def alerts_tiered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def alerts_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.apply_rules(data.readings(spark, sf_dir), rules.MULTI, clock=data.CLOCK, stamp=True)
+    return rules.apply_rules(data.measured(data.readings(spark, sf_dir)), rules.MULTI, clock=data.CLOCK, stamp=True)
 
 
 @query
 def alerts_case(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.apply_rules(data.readings(spark, sf_dir), rules.CASE)
+    return rules.apply_rules(data.measured(data.readings(spark, sf_dir)), rules.CASE)
 
 
 @query
@@ -165,7 +165,7 @@ def alerts_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = data.tiered_alerts(rows).withColumn("arrival", F.lit(0))
     again = sent.withColumn("arrival", F.lit(1)).withColumn("description", F.lit("sent again"))
     repeated = sent.unionByName(again)
-    other = rules.apply_rules(rows, rules.MULTI)
+    other = rules.apply_rules(data.measured(rows), rules.MULTI)
     jobs.store_alerts(repeated, 0, table, clock=data.CLOCK, arrival=("arrival",))
     for _ in range(2):
         jobs.store_alerts(other, 1, table, clock=data.CLOCK, arrival=("description",), ids_carry_time=True)
@@ -186,7 +186,7 @@ def alerts_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
 def alerts_stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, topic = _alert_table(spark), scratch_path(spark, "alert-topic")
     jobs.start_alerts(
-        data.derive_readings(data.events_stream(spark, sf_dir)),
+        data.measured(data.derive_readings(data.events_stream(spark, sf_dir))),
         rules.TIERED,
         table,
         lambda batch, n: write_topic_files(batch, topic, n),

@@ -74,6 +74,15 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive_readings(events(spark, sf_dir))
 
 
+def once(rows: DataFrame, *columns: str) -> DataFrame:
+    """The rows with the given columns computed once.
+
+    Filters cannot be pushed through a generator, so a condition on a derived
+    column does not derive it again.
+    """
+    return rows.select(F.inline(F.array(F.struct(*columns))))
+
+
 def raw_messages(rows: DataFrame) -> DataFrame:
     """Readings as JSON text with faults planted by ``event_id % 101``."""
     head = F.concat(
@@ -95,10 +104,14 @@ def raw_messages(rows: DataFrame) -> DataFrame:
     return rows.select("event_id", text.alias("value"))
 
 
+def measured(rows: DataFrame) -> DataFrame:
+    """What the alert rules read."""
+    return once(rows, "event_id", "sensor_id", "vehicle_id", "ts_ms", "pressure_kpa", "temperature_c")
+
+
 def legacy_readings(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        "vehicle_id", "tire_position", "pressure_psi", "temperature_c", F.col("ts_ms").alias("timestamp")
-    )
+    legacy = rows.withColumn("timestamp", F.col("ts_ms"))
+    return once(legacy, "vehicle_id", "tire_position", "pressure_psi", "temperature_c", "timestamp")
 
 
 def tire_data_messages(rows: DataFrame) -> DataFrame:
@@ -116,7 +129,7 @@ def tire_data_messages(rows: DataFrame) -> DataFrame:
 
 
 def tiered_alerts(rows: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    return apply_rules(rows, TIERED, carry=carry)
+    return apply_rules(measured(rows), TIERED, carry=carry)
 
 
 def alert_table(rows: DataFrame) -> DataFrame:
