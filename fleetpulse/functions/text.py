@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Beyond this size 20*x is no longer an exact integer range of a double.
+# Far beyond any measure; from here on 20*x leaves the exact integers of a
+# double, and Java's own formatting is used.
 _EXACT_LIMIT = 1e14
 
 

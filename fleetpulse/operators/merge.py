@@ -42,8 +42,10 @@ def upsert(existing: DataFrame, batch: DataFrame, key: str, updated: Sequence[st
         .agg(F.count(F.lit(1)).alias("_n"), *[F.first(name).alias(f"_new_{name}") for name in updated])
         .withColumn(
             "_n",
-            F.when(F.col("_n") == 1, F.col("_n")).otherwise(
-                F.raise_error(F.concat(F.lit("key repeated in one upsert batch: "), F.col(key))).cast("bigint")
+            F.when((F.col("_n") == 1) & F.col(key).isNotNull(), F.col("_n")).otherwise(
+                F.raise_error(
+                    F.concat(F.lit("key repeated or missing in one upsert batch: "), F.coalesce(F.col(key), F.lit("NULL")))
+                ).cast("bigint")
             ),
         )
     )

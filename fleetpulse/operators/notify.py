@@ -1,8 +1,7 @@
 """Owner and driver notifications.
 
-Contacts are unique per vehicle. No broadcast is forced: Spark broadcasts the
-contacts only while their size is under its threshold, and beyond that the
-sort-merge join splits a hot vehicle's alerts (AQE skew join).
+Contacts are unique per vehicle. They are broadcast only if their measured
+size allows; otherwise a hot vehicle's alerts are split over several tasks.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.functions.text import iso_timestamp, or_none_text
+from fleetpulse.operators.lookup import lookup_join
 
 # Message layout.
 INDENT = " " * 8
@@ -61,16 +61,17 @@ def body(time_text: Column) -> Column:
     return F.concat_ws("\n", F.lit(""), *[F.concat(F.lit(INDENT), line) for line in lines])
 
 
-def notifications(alerts: DataFrame, vehicles: DataFrame) -> DataFrame:
+def notifications(alerts: DataFrame, vehicles: DataFrame, **sizes: int) -> DataFrame:
     """One message per alert of a vehicle that has contacts.
 
     ``timestamp`` may be a timestamp or the ISO text of an alert message.
+    ``sizes`` overrides the limits of the lookup join.
     """
     time_text = F.col("timestamp")
     if dict(alerts.dtypes)["timestamp"] != "string":
         time_text = iso_timestamp(time_text)
     contacts = contactable(vehicles).select("vehicle_id", "owner_email", "driver_email")
-    return alerts.join(contacts, "vehicle_id").select(
+    return lookup_join(alerts, contacts, "vehicle_id", "alert_id", **sizes).select(
         "alert_id",
         "vehicle_id",
         recipients(F.col("owner_email"), F.col("driver_email")).alias("recipients"),
@@ -79,6 +80,7 @@ def notifications(alerts: DataFrame, vehicles: DataFrame) -> DataFrame:
     )
 
 
-def unroutable(alerts: DataFrame, vehicles: DataFrame) -> DataFrame:
+def unroutable(alerts: DataFrame, vehicles: DataFrame, **sizes: int) -> DataFrame:
     """Alerts whose vehicle is unknown or has no owner address."""
-    return alerts.join(contactable(vehicles).select("vehicle_id"), "vehicle_id", "left_anti")
+    known = contactable(vehicles).select("vehicle_id")
+    return lookup_join(alerts, known, "vehicle_id", "alert_id", how="left_anti", **sizes)

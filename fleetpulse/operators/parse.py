@@ -21,6 +21,8 @@ from fleetpulse.functions.times import event_time, from_epoch_seconds
 
 _STRICT_JSON = {"allowSingleQuotes": "false"}
 
+_QUOTED_WORDS = ('"NaN"', '"Infinity"', '"-Infinity"')
+
 MALFORMED = "malformed"
 MISSING_FIELD = "missing_field"
 BAD_VALUE = "bad_value"
@@ -155,5 +157,9 @@ def _tolerant(o: Column) -> list[Column]:
 
 
 def _number(text: Column) -> Column:
-    # A cast would also take the Java suffixes of 1.5d and 1.5f.
-    return F.when(~F.lower(text).rlike(r"[0-9.][df]\s*$"), text.try_cast("double"))
+    # A cast would also take the Java suffixes of 1.5d and 1.5f. The bare words
+    # NaN and Infinity arrive in quotes when read as text.
+    suffixed = F.lower(text).rlike(r"[0-9.][df]\s*$")
+    return F.when(text.isin(*_QUOTED_WORDS), F.btrim(text, F.lit('"')).try_cast("double")).when(
+        ~suffixed, text.try_cast("double")
+    )
