@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 _EXACT_LIMIT = 1e14
 
 
-def one_decimal(x: Column) -> Column:
-    """``x`` with one decimal, rounding the exact binary value half to even.
+def one_decimal(column: str) -> Column:
+    """The column with one decimal, rounding the exact binary value half to even.
 
     ``format_string`` rounds the shortest decimal text half up instead, so
     175.35 (which is stored slightly below) would print as 175.4.
@@ -20,25 +20,20 @@ def one_decimal(x: Column) -> Column:
     whole odd s can be a tie. The sign of the exact residual 20|x| - s settles
     it: both 16|x| and 4|x| are exact, and so are the two differences.
     """
-    size = F.abs(x)
-    scaled = size * F.lit(20.0)
-    whole = F.floor(scaled)
-    residual = size * F.lit(4.0) - (scaled - size * F.lit(16.0))
+    size = f"abs({column})"
+    scaled = f"({size} * 20D)"
+    whole = f"floor({scaled})"
+    residual = f"({size} * 4D - ({scaled} - {size} * 16D))"
     round_down = (
-        (scaled == whole.cast("double"))
-        & (whole % 2 == 1)
-        & ((residual < 0) | ((residual == 0) & (whole % 4 == 1)))
+        f"({scaled} = CAST({whole} AS DOUBLE) AND {whole} % 2 = 1"
+        f" AND ({residual} < 0D OR ({residual} = 0D AND {whole} % 4 = 1)))"
     )
-    tenths = F.shiftright(whole + 1, 1) - F.when(round_down, F.lit(1)).otherwise(F.lit(0))
-    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
-    digits = F.concat(
-        sign,
-        F.call_function("div", tenths, F.lit(10)).cast("string"),
-        F.lit("."),
-        (tenths % 10).cast("string"),
+    tenths = f"(shiftright({whole} + 1, 1) - CASE WHEN {round_down} THEN 1 ELSE 0 END)"
+    digits = f"concat(CASE WHEN {column} < 0D THEN '-' ELSE '' END, {tenths} div 10, '.', {tenths} % 10)"
+    words = f"replace(lower(format_string('%.1f', {column})), 'infinity', 'inf')"
+    return F.expr(
+        f"CASE WHEN {size} < {_EXACT_LIMIT}D THEN {digits} WHEN {size} >= {_EXACT_LIMIT}D THEN {words} END"
     )
-    words = F.replace(F.lower(F.format_string("%.1f", x)), F.lit("infinity"), F.lit("inf"))
-    return F.when(size < F.lit(_EXACT_LIMIT), digits).when(size >= F.lit(_EXACT_LIMIT), words)
 
 
 def iso_timestamp(ts: Column) -> Column:

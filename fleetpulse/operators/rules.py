@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +39,8 @@ class Rule:
     severity: str
     severe_limit: float | None = None
 
-    def hit(self) -> Column:
-        return beyond(F.col(self.measure), self.side, self.limit)
+    def hit(self) -> str:
+        return beyond(self.measure, self.side, self.limit)
 
     def lead(self) -> str:
         return f"{MEASURE_TEXT[self.measure][0]} "
@@ -70,8 +69,26 @@ class RuleSet:
     def limit_text(self, rule: Rule) -> str:
         return str(float(rule.limit)) if self.float_limits else f"{rule.limit:g}"
 
-    def any_hit(self) -> Column:
-        return reduce(lambda a, b: a | b, [rule.hit() for rule in self.rules])
+    def any_hit(self) -> str:
+        return " OR ".join(f"({rule.hit()})" for rule in self.rules)
+
+    def first_hit(self, outcome: Callable[[int, Rule], str]) -> Column:
+        """Outcome of the first rule that hits."""
+        branches = [f"WHEN {rule.hit()} THEN {outcome(n, rule)}" for n, rule in enumerate(self.rules)]
+        return F.expr(f"CASE {' '.join(branches)} END")
+
+    def by_rule(self, text: Callable[[Rule], str]) -> Column:
+        """Constant text looked up by rule number; keeps the generated code small."""
+        return F.get(F.lit([text(rule) for rule in self.rules]), F.col("_rule"))
+
+    def severities(self) -> Column:
+        raised = [
+            f"(_rule = {n} AND {beyond('_value', rule.side, rule.severe_limit)})"
+            for n, rule in enumerate(self.rules)
+            if rule.severe_limit is not None
+        ]
+        usual = self.by_rule(lambda rule: rule.severity)
+        return F.when(F.expr(" OR ".join(raised)), F.lit(HIGH)).otherwise(usual) if raised else usual
 
 
 # The four deployed sets of limits.
@@ -93,15 +110,15 @@ CASE = RuleSet("case", _WIDE, id_with_code=False, rounded_text=False)
 LEGACY_PSI_LIMIT, LEGACY_TEMPERATURE_LIMIT = 90, 80
 
 
-def beyond(measure: Column, side: str, limit: float) -> Column:
-    """Strict comparison in which NaN is beyond nothing.
+def beyond(measure: str, side: str, limit: float) -> str:
+    """Strict comparison, as SQL, in which NaN is beyond nothing.
 
     Spark orders NaN above every number. The upper bound by infinity keeps
     NaN out and, unlike ``isnan``, can still be pushed into a Parquet scan.
     """
     if side == BELOW:
-        return measure < F.lit(float(limit))
-    return (measure > F.lit(float(limit))) & (measure <= F.lit(float("inf")))
+        return f"{measure} < {float(limit)}D"
+    return f"{measure} > {float(limit)}D AND {measure} <= DOUBLE('Infinity')"
 
 
 def apply_rules(
@@ -112,57 +129,55 @@ def apply_rules(
     ``stamp`` adds ``processed_at`` from the clock. ``carry`` names input
     columns to keep.
     """
-    wanted = readings
-    for name in (*rule_set.needs, "sensor_id", "vehicle_id", "ts_ms"):
-        wanted = wanted.filter(F.col(name).isNotNull())
-    wanted = wanted.filter(rule_set.any_hit())
+    present = [f"{name} IS NOT NULL" for name in (*rule_set.needs, "sensor_id", "vehicle_id", "ts_ms")]
+    wanted = readings.filter(" AND ".join([*present, f"({rule_set.any_hit()})"]))
 
     kept = ["sensor_id", "vehicle_id", "ts_ms", *carry]
     if rule_set.emit == "all":
-        outcomes = [
-            F.when(rule.hit(), F.struct(F.lit(n).alias("rule"), F.col(rule.measure).alias("value")))
+        outcomes = ", ".join(
+            f"CASE WHEN {rule.hit()} THEN struct({n} AS rule, {rule.measure} AS value) END"
             for n, rule in enumerate(rule_set.rules)
-        ]
+        )
         found = (
-            wanted.select(*kept, F.explode(F.array(*outcomes)).alias("_hit"))
-            .filter(F.col("_hit").isNotNull())
-            .select(*kept, F.col("_hit.rule").alias("_rule"), F.col("_hit.value").alias("_value"))
+            wanted.selectExpr(*kept, f"explode(array({outcomes})) AS _hit")
+            .filter("_hit IS NOT NULL")
+            .selectExpr(*kept, "_hit.rule AS _rule", "_hit.value AS _value")
         )
     else:
         found = wanted.select(
             *kept,
-            _first_hit(rule_set, lambda n, rule: F.lit(n)).alias("_rule"),
-            _first_hit(rule_set, lambda n, rule: F.col(rule.measure)).alias("_value"),
+            rule_set.first_hit(lambda n, rule: str(n)).alias("_rule"),
+            rule_set.first_hit(lambda n, rule: rule.measure).alias("_value"),
         )
 
-    value = F.col("_value")
-    shown = one_decimal(value) if rule_set.rounded_text else value.cast("string")
-    code = _by_rule(rule_set, lambda rule: CODES[rule.alert_type])
+    shown = one_decimal("_value") if rule_set.rounded_text else F.expr("CAST(_value AS STRING)")
+    millis = F.expr("CAST(ts_ms AS STRING)")
     if rule_set.id_with_code:
-        alert_id = F.concat_ws("-", "sensor_id", code, F.col("ts_ms").cast("string"))
+        code = rule_set.by_rule(lambda rule: CODES[rule.alert_type])
+        alert_id = F.concat_ws("-", "sensor_id", code, millis)
     else:
-        alert_id = F.concat(F.col("sensor_id"), F.lit("_"), F.col("ts_ms").cast("string"))
-    lead = _by_rule(rule_set, Rule.lead)
-    tail = _by_rule(rule_set, lambda rule: rule.tail(rule_set.limit_text(rule)))
+        alert_id = F.concat("sensor_id", F.lit("_"), millis)
+    lead = rule_set.by_rule(Rule.lead)
+    tail = rule_set.by_rule(lambda rule: rule.tail(rule_set.limit_text(rule)))
     return found.select(
         alert_id.alias("alert_id"),
         "sensor_id",
         "vehicle_id",
         event_time(F.col("ts_ms")).alias("timestamp"),
-        _by_rule(rule_set, lambda rule: rule.alert_type).alias("alert_type"),
-        _severity(rule_set, value).alias("severity"),
+        rule_set.by_rule(lambda rule: rule.alert_type).alias("alert_type"),
+        rule_set.severities().alias("severity"),
         F.concat(lead, shown, tail).alias("description"),
-        value.alias("triggering_value"),
+        F.col("_value").alias("triggering_value"),
         *([at(clock).alias("processed_at")] if stamp else []),
         *carry,
     )
 
 
-def legacy_hit() -> Column:
+def legacy_hit() -> str:
     """Low psi, or a known psi and a hot tire."""
-    low = F.col("pressure_psi") < F.lit(float(LEGACY_PSI_LIMIT))
-    hot = beyond(F.col("temperature_c"), ABOVE, LEGACY_TEMPERATURE_LIMIT)
-    return low | (F.col("pressure_psi").isNotNull() & hot)
+    low = beyond("pressure_psi", BELOW, LEGACY_PSI_LIMIT)
+    hot = beyond("temperature_c", ABOVE, LEGACY_TEMPERATURE_LIMIT)
+    return f"{low} OR (pressure_psi IS NOT NULL AND {hot})"
 
 
 def legacy_alerts(readings: DataFrame) -> DataFrame:
@@ -179,8 +194,7 @@ def legacy_checks(readings: DataFrame) -> DataFrame:
 
 def label(readings: DataFrame) -> DataFrame:
     """Every reading as ALERT or NORMAL under the wide limits."""
-    alert = F.coalesce(reduce(lambda a, b: a | b, [rule.hit() for rule in _WIDE]), F.lit(False))
-    return readings.withColumn("label", F.when(alert, F.lit("ALERT")).otherwise(F.lit("NORMAL")))
+    return readings.withColumn("label", F.expr(f"CASE WHEN {CASE.any_hit()} THEN 'ALERT' ELSE 'NORMAL' END"))
 
 
 def smoke_classes(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -195,7 +209,7 @@ def smoke_classes(messages: DataFrame, value: str = "value") -> DataFrame:
     from fleetpulse.operators.parse import json_fields, with_object
 
     low_rule, hot_rule = _WIDE[0], _WIDE[2]
-    low, hot = low_rule.hit(), hot_rule.hit()
+    low, hot = F.expr(low_rule.hit()), F.expr(hot_rule.hit())
     named = F.array_contains(F.col("_keys"), "sensor_id")
     temperature_ok = F.col("temperature_c").isNotNull() | ~F.array_contains(F.col("_keys"), "temperature_c")
     return (
@@ -207,25 +221,3 @@ def smoke_classes(messages: DataFrame, value: str = "value") -> DataFrame:
         .filter(F.col("class").isNull() | named)
         .select(*messages.columns, "class")
     )
-
-
-def _first_hit(rule_set: RuleSet, outcome: Callable[[int, Rule], Column]) -> Column:
-    """Outcome of the first rule that hits."""
-    chosen = F
-    for n, rule in enumerate(rule_set.rules):
-        chosen = chosen.when(rule.hit(), outcome(n, rule))
-    return chosen
-
-
-def _by_rule(rule_set: RuleSet, text: Callable[[Rule], str]) -> Column:
-    """Constant text looked up by rule number; keeps the generated code small."""
-    return F.get(F.array(*[F.lit(text(rule)) for rule in rule_set.rules]), F.col("_rule"))
-
-
-def _severity(rule_set: RuleSet, value: Column) -> Column:
-    usual = _by_rule(rule_set, lambda rule: rule.severity)
-    raised = F.lit(False)
-    for n, rule in enumerate(rule_set.rules):
-        if rule.severe_limit is not None:
-            raised = raised | ((F.col("_rule") == n) & beyond(value, rule.side, rule.severe_limit))
-    return F.when(raised, F.lit(HIGH)).otherwise(usual)

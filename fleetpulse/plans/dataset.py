@@ -10,11 +10,10 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetpulse.functions.times import event_time
 from fleetpulse.operators.aggregates import tumbling_aggregates
 from fleetpulse.operators.rules import TIERED, apply_rules
 from fleetpulse.sources.tables import read_parquet, stream_parquet
@@ -45,28 +44,27 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def derive_readings(rows: DataFrame) -> DataFrame:
     """Events to readings (with the fixture columns kept)."""
-    event_id, v, k = F.col("event_id"), F.col("v"), F.col("k")
-    staged = rows.select(
+    staged = rows.selectExpr(
         "event_id",
-        _vehicle_id(1 + F.col("user_id") % 5).alias("vehicle_id"),
-        F.when(event_id % 4 == 0, "FL").when(event_id % 4 == 1, "FR").when(event_id % 4 == 2, "RL").otherwise("RR")
-        .alias("tire_position"),
-        (F.lit(START_MS) + event_id * 500).cast("bigint").alias("ts_ms"),
-        F.round(F.col("value") * 100).cast("bigint").alias("v"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        f"{_vehicle_id('(1 + user_id % 5)')} AS vehicle_id",
+        "CASE event_id % 4 WHEN 0 THEN 'FL' WHEN 1 THEN 'FR' WHEN 2 THEN 'RL' ELSE 'RR' END AS tire_position",
+        f"{START_MS} + event_id * 500 AS ts_ms",
+        "CAST(round(value * 100) AS BIGINT) AS v",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
     )
-    odd = k < 30
-    return staged.select(
+    return staged.selectExpr(
         "event_id",
-        F.concat("vehicle_id", F.lit("-"), "tire_position").alias("sensor_id"),
+        "concat(vehicle_id, '-', tire_position) AS sensor_id",
         "vehicle_id",
         "tire_position",
         "ts_ms",
-        event_time(F.col("ts_ms")).alias("ts"),
-        _hundredths(F.when(odd, 15000 + (v * 37) % 20001).otherwise(20000 + (v * 37) % 8001)).alias("pressure_kpa"),
-        _hundredths(F.when(odd, 7500 + (v * 13) % 2001).otherwise(6500 + (v * 13) % 1301)).alias("temperature_c"),
-        _hundredths(280 + event_id % 61).alias("battery_voltage"),
-        (60 + v % 61).cast("double").alias("pressure_psi"),
+        "timestamp_millis(ts_ms) AS ts",
+        "CAST(CASE WHEN k < 30 THEN 15000 + (v * 37) % 20001 ELSE 20000 + (v * 37) % 8001 END AS DOUBLE) / 100D"
+        " AS pressure_kpa",
+        "CAST(CASE WHEN k < 30 THEN 7500 + (v * 13) % 2001 ELSE 6500 + (v * 13) % 1301 END AS DOUBLE) / 100D"
+        " AS temperature_c",
+        "CAST(280 + event_id % 61 AS DOUBLE) / 100D AS battery_voltage",
+        "CAST(60 + v % 61 AS DOUBLE) AS pressure_psi",
     )
 
 
@@ -85,23 +83,19 @@ def once(rows: DataFrame, *columns: str) -> DataFrame:
 
 def raw_messages(rows: DataFrame) -> DataFrame:
     """Readings as JSON text with faults planted by ``event_id % 101``."""
-    head = F.concat(
-        F.lit('{"sensor_id":"'), "sensor_id", F.lit('","vehicle_id":"'), "vehicle_id",
-        F.lit('","timestamp":'), F.col("ts_ms").cast("string"),
-    )
-    pressure = F.col("pressure_kpa").cast("string")
-    temperature = F.concat(F.lit(',"temperature_c":'), F.col("temperature_c").cast("string"))
-    battery = F.concat(F.lit(',"battery_voltage":'), F.col("battery_voltage").cast("string"))
-    fault = F.col("event_id") % 101
-    text = (
-        F.when(fault == 0, F.lit("{bad"))
-        .when(fault == 1, F.concat(head, temperature, F.lit("}")))
-        .when(fault == 2, F.concat(head, F.lit(',"pressure_kpa":"'), pressure, F.lit('"'), temperature, F.lit("}")))
-        .when(fault == 3, F.concat(head, F.lit(',"pressure_kpa":null'), temperature, F.lit("}")))
-        .when(fault == 4, F.lit("[1,2]"))
-        .otherwise(F.concat(head, F.lit(',"pressure_kpa":'), pressure, temperature, battery, F.lit("}")))
+    head = """'{"sensor_id":"', sensor_id, '","vehicle_id":"', vehicle_id, '","timestamp":', ts_ms"""
+    temperature = """',"temperature_c":', temperature_c"""
+    return rows.selectExpr(
+        "event_id",
+        f"""CASE event_id % 101
+          WHEN 0 THEN '{{bad'
+          WHEN 1 THEN concat({head}, {temperature}, '}}')
+          WHEN 2 THEN concat({head}, ',"pressure_kpa":"', pressure_kpa, '"', {temperature}, '}}')
+          WHEN 3 THEN concat({head}, ',"pressure_kpa":null', {temperature}, '}}')
+          WHEN 4 THEN '[1,2]'
+          ELSE concat({head}, ',"pressure_kpa":', pressure_kpa, {temperature}, ',"battery_voltage":', battery_voltage, '}}')
+        END AS value""",
     )
-    return rows.select("event_id", text.alias("value"))
 
 
 def measured(rows: DataFrame) -> DataFrame:
@@ -116,16 +110,11 @@ def legacy_readings(rows: DataFrame) -> DataFrame:
 
 def tire_data_messages(rows: DataFrame) -> DataFrame:
     """Ingest messages; every second one carries its time as text."""
-    seconds = (F.col("ts_ms") / F.lit(1000)).cast("decimal(20,1)").cast("string")
-    time_json = F.when(F.col("event_id") % 2 == 0, seconds).otherwise(F.concat(F.lit('"'), seconds, F.lit('"')))
-    return rows.select(
-        F.concat(
-            F.lit('{"tire_id":"'), "sensor_id",
-            F.lit('","pressure":'), F.col("pressure_kpa").cast("string"),
-            F.lit(',"temperature":'), F.col("temperature_c").cast("string"),
-            F.lit(',"timestamp":'), time_json, F.lit("}"),
-        ).alias("value")
-    )
+    return rows.withColumn("seconds", F.expr("CAST(ts_ms / 1000 AS DECIMAL(20, 1))")).selectExpr(
+        """concat('{"tire_id":"', sensor_id, '","pressure":', pressure_kpa, ',"temperature":', temperature_c,
+             ',"timestamp":', CASE WHEN event_id % 2 = 0 THEN concat(seconds) ELSE concat('"', seconds, '"') END, '}')
+           AS value"""
+    )
 
 
 def tiered_alerts(rows: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -148,32 +137,24 @@ def aggregate_table(rows: DataFrame) -> DataFrame:
 
 def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One vehicle per customer, from V002 on; some without an owner address."""
-    customer = read_parquet(spark, f"{sf_dir}/customer.parquet")
-    owner = F.concat(F.lit("owner"), F.col("c_custkey").cast("string"), F.lit("@example.com"))
-    driver = F.concat(F.lit("driver"), F.col("c_custkey").cast("string"), F.lit("@example.com"))
-    return customer.select(
-        _vehicle_id(F.col("c_custkey") + 2).alias("vehicle_id"),
-        F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(owner).alias("owner_email"),
-        F.when(F.col("c_mktsegment") == "AUTOMOBILE", owner).otherwise(driver).alias("driver_email"),
-        F.timestamp_micros(F.lit(int(REGISTERED_AT.timestamp()) * 1_000_000)).alias("created_at"),
+    return read_parquet(spark, f"{sf_dir}/customer.parquet").selectExpr(
+        f"{_vehicle_id('(c_custkey + 2)')} AS vehicle_id",
+        "CASE WHEN c_acctbal < 0 THEN '' ELSE concat('owner', c_custkey, '@example.com') END AS owner_email",
+        "concat(CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'owner' ELSE 'driver' END, c_custkey, '@example.com')"
+        " AS driver_email",
+        f"timestamp_seconds({int(REGISTERED_AT.timestamp())}) AS created_at",
     )
 
 
 def contact_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every supplier takes over one vehicle: known ones change, others are new."""
-    supplier = read_parquet(spark, f"{sf_dir}/supplier.parquet")
-    key = F.col("s_suppkey").cast("string")
-    return supplier.select(
-        _vehicle_id(F.col("s_suppkey") * 20 + 1).alias("vehicle_id"),
-        F.concat(F.lit("fleet"), key, F.lit("@example.com")).alias("owner_email"),
-        F.concat(F.lit("desk"), key, F.lit("@example.com")).alias("driver_email"),
+    return read_parquet(spark, f"{sf_dir}/supplier.parquet").selectExpr(
+        f"{_vehicle_id('(s_suppkey * 20 + 1)')} AS vehicle_id",
+        "concat('fleet', s_suppkey, '@example.com') AS owner_email",
+        "concat('desk', s_suppkey, '@example.com') AS driver_email",
     )
 
 
-def _vehicle_id(number: Column) -> Column:
-    digits = number.cast("string")
-    return F.concat(F.lit("V"), F.when(number < 1000, F.lpad(digits, 3, "0")).otherwise(digits))
-
-
-def _hundredths(units: Column) -> Column:
-    return units.cast("double") / F.lit(100)
+def _vehicle_id(number: str) -> str:
+    digits = f"CAST({number} AS STRING)"
+    return f"concat('V', CASE WHEN {number} < 1000 THEN lpad({digits}, 3, '0') ELSE {digits} END)"

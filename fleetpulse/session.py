@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", app: str = "fleetpulse", shuffle_parti
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.memory", "8g")
         .config(

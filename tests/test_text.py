@@ -16,13 +16,14 @@ def test_one_decimal_equals_exact_rounding(spark):
     values += [n / 20 + d for n in range(0, 2000) for d in (1e-13, -1e-13)]
     values = [v for v in values if str(v) != "-0.0"]
     values += [1e14, 123456789012345680.0, float("inf"), float("-inf"), float("nan")]
-    rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", one_decimal(F.col("x")).alias("t"))
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", one_decimal("x").alias("t"))
     wrong = [(r.x, r.t, f"{r.x:.1f}") for r in rows.collect() if r.t != f"{r.x:.1f}"]
     assert wrong == []
 
 
 def test_one_decimal_of_null(spark):
-    assert spark.range(1).select(one_decimal(F.lit(None).cast("double")).alias("t")).first().t is None
+    nothing = spark.createDataFrame([(None,)], "x double")
+    assert nothing.select(one_decimal("x").alias("t")).first().t is None
 
 
 def test_iso_timestamp_omits_zero_fraction(spark):
