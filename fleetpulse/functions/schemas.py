@@ -87,7 +87,7 @@ AGGREGATE = _struct(
     ("record_count", _LONG),
 )
 
-STORED_AGGREGATE = T.StructType([*AGGREGATE.fields, T.StructField("created_at", _TS)])
+STORED_AGGREGATE = T.StructType([T.StructField("id", _LONG), *AGGREGATE.fields, T.StructField("created_at", _TS)])
 
 VEHICLE = _struct(("vehicle_id", _STR), ("owner_email", _STR), ("driver_email", _STR), ("created_at", _TS))
 

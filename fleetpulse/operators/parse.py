@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetpulse.functions import schemas
-from fleetpulse.functions.times import event_time, from_epoch_seconds
+from fleetpulse.functions.times import event_time, from_epoch_seconds, parse_timestamp_text
 
 _STRICT_JSON = {"allowSingleQuotes": "false"}
 
@@ -114,6 +114,11 @@ def parse_alert_messages(messages: DataFrame, value: str = "value") -> DataFrame
     return _plain(messages, value, schemas.ALERT_MESSAGE)
 
 
+def typed_alerts(alert_messages: DataFrame) -> DataFrame:
+    """Published alerts with their time text read back as a timestamp."""
+    return alert_messages.withColumn("timestamp", parse_timestamp_text(F.col("timestamp")))
+
+
 def parse_tire_data(messages: DataFrame, value: str = "value") -> DataFrame:
     """Ingest messages with an epoch-seconds time, number or text."""
     return (

@@ -26,6 +26,20 @@ ALERT_COLUMNS = [
     "description",
     "triggering_value",
 ]
+AGGREGATE_COLUMNS = [
+    "sensor_id",
+    "vehicle_id",
+    "window_start",
+    "window_end",
+    "window_size",
+    "avg_pressure",
+    "avg_temperature",
+    "min_pressure",
+    "max_pressure",
+    "min_temperature",
+    "max_temperature",
+    "record_count",
+]
 ALERT_TIES = ["alert_id"]
 AGGREGATE_TIES = ["sensor_id", "vehicle_id"]
 
@@ -40,6 +54,16 @@ def latest_aggregations(aggregates: DataFrame, limit: int = LATEST_LIMIT) -> Dat
     return aggregates.orderBy(F.desc("window_end"), *AGGREGATE_TIES).limit(limit)
 
 
+def alert_response(alerts: DataFrame) -> DataFrame:
+    """Stored alerts in the order of the response contract."""
+    return alerts.select(*ALERT_COLUMNS, "id", "is_resolved", "created_at")
+
+
+def aggregate_response(aggregates: DataFrame) -> DataFrame:
+    """Stored aggregates in the order of the response contract."""
+    return aggregates.select(*AGGREGATE_COLUMNS, "id", "created_at")
+
+
 def latest_of_vehicle(rows: DataFrame, vehicle_id: str, ties: list[str], limit: int = PER_VEHICLE_LIMIT) -> DataFrame:
     """Newest rows of one vehicle."""
     return rows.filter(F.col("vehicle_id") == vehicle_id).orderBy(F.desc("timestamp"), *ties).limit(limit)

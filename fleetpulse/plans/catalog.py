@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from fleetpulse.functions import schemas
 from fleetpulse.functions.text import iso_timestamp
 from fleetpulse.functions.times import event_time_whole_seconds, naive
-from fleetpulse.operators import aggregates, merge, notify, parse, rules, serving
+from fleetpulse.operators import aggregates, constraints, merge, notify, parse, rules, serving
 from fleetpulse.plans import dataset as data
 from fleetpulse.session import scratch_path, use_utc
 from fleetpulse.sinks.tables import BatchTable, VersionedTable, append_rows
@@ -47,12 +47,12 @@ def tumble_agg_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def tumble_agg_1m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = BatchTable(spark, scratch_path(spark, "windows"), schemas.AGGREGATE)
+    table = BatchTable(spark, scratch_path(spark, "windows"), schemas.STORED_AGGREGATE)
     stream = data.derive_readings(data.events_stream(spark, sf_dir))
     jobs.start_aggregates(
         stream, table, scratch_path(spark, "windows-checkpoint"), exact_scale=data.MEASURE_DECIMALS
     ).awaitTermination()
-    return table.read()
+    return table.read().select(*serving.AGGREGATE_COLUMNS)
 
 
 @query
@@ -64,14 +64,25 @@ def tumble_agg_ingest_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def aggregates_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = BatchTable(spark, scratch_path(spark, "aggregates"), schemas.STORED_AGGREGATE, day_of="window_start")
-    rows = data.aggregate_table(data.readings(spark, sf_dir)).withColumn("created_at", _clock())
+    """Stored with ids and whole-second bounds; the first batch is replayed."""
+    table = _aggregate_table(spark)
+    rows = data.aggregate_table(data.readings(spark, sf_dir))
     for name in ("window_start", "window_end"):
         rows = rows.withColumn(name, event_time_whole_seconds(F.unix_millis(name)))
-    table.append(rows, batch_id=0)
-    table.append(table.read(), batch_id=1, writer="copy")
-    table.append(rows, batch_id=0)  # replayed batch
-    return table.read(without=("copy", 1))
+    for _ in range(2):
+        jobs.store_aggregates(rows, 0, table, clock=data.CLOCK)
+    return table.read()
+
+
+@query
+def windows_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages to windows; those without a value for every column stay out."""
+    return _json_windows(spark, sf_dir).valid
+
+
+@query
+def windows_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _json_windows(spark, sf_dir).rejected.select("sensor_id", "window_start", "record_count", "reason")
 
 
 # Alert rules
@@ -115,6 +126,14 @@ def smoke_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.smoke_classes(_messages(spark, sf_dir)).select("event_id", "value", "class")
 
 
+@query
+def alerts_legacy_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Legacy messages in, legacy alert messages out."""
+    readings = data.legacy_readings(data.readings(spark, sf_dir))
+    messages = as_messages(readings).select("value")
+    return as_messages(rules.legacy_alerts(parse.parse_legacy(messages))).select("value")
+
+
 # Parsing
 
 
@@ -157,6 +176,13 @@ def alert_json_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse.parse_alert_messages(messages.select("value"))
 
 
+@query
+def alerts_from_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published alerts read back with real timestamps."""
+    messages = as_messages(data.tiered_alerts(data.readings(spark, sf_dir)))
+    return parse.typed_alerts(parse.parse_alert_messages(messages.select("value")))
+
+
 @query
 def alerts_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeats inside a batch, ids known from an earlier batch, a replayed batch."""
@@ -256,6 +282,20 @@ def latest_aggregations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.latest_aggregations(data.aggregate_table(data.readings(spark, sf_dir)))
 
 
+@query
+def stored_latest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _alert_table(spark)
+    jobs.store_alerts(data.tiered_alerts(data.readings(spark, sf_dir)), 0, table, clock=data.CLOCK)
+    return serving.alert_response(serving.latest_alerts(table.read()))
+
+
+@query
+def stored_latest_aggregations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _aggregate_table(spark)
+    jobs.store_aggregates(data.aggregate_table(data.readings(spark, sf_dir)), 0, table, clock=data.CLOCK)
+    return serving.aggregate_response(serving.latest_aggregations(table.read()))
+
+
 @query
 def vehicle_latest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.latest_per_vehicle(
@@ -367,6 +407,16 @@ def _alert_table(spark: SparkSession) -> BatchTable:
     return BatchTable(spark, scratch_path(spark, "alerts"), schemas.STORED_ALERT, day_of="timestamp")
 
 
+def _aggregate_table(spark: SparkSession) -> BatchTable:
+    return BatchTable(spark, scratch_path(spark, "aggregates"), schemas.STORED_AGGREGATE, day_of="window_start")
+
+
+def _json_windows(spark: SparkSession, sf_dir: str) -> constraints.Split:
+    readings = parse.with_event_time(parse.parse_strict(_messages(spark, sf_dir)).valid)
+    windows = aggregates.tumbling_aggregates(readings, exact_scale=data.MEASURE_DECIMALS)
+    return constraints.split_storable(windows, constraints.AGGREGATE_REQUIRED, constraints.AGGREGATE_LENGTHS)
+
+
 def _both_branches(spark: SparkSession, table: BatchTable, topic: str) -> DataFrame:
     """Which alerts reached the table and which the topic."""
     published = parse.parse_alert_messages(
@@ -380,11 +430,5 @@ def _both_branches(spark: SparkSession, table: BatchTable, topic: str) -> DataFr
     )
 
 
-def _clock():
-    from fleetpulse.functions.times import at
-
-    return at(data.CLOCK)
-
-
 def _zoneless(rows: DataFrame) -> DataFrame:
     return rows.select(*[naive(F.col(c)).alias(c) if kind == "timestamp" else F.col(c) for c, kind in rows.dtypes])

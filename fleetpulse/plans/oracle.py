@@ -123,6 +123,19 @@ SELECT t.alert_id, t.vehicle_id,
 FROM tiered t JOIN vehicles v ON t.vehicle_id = v.vehicle_id WHERE owner_email <> ''"""
 )
 
+_JSON_WINDOWS = """, json_aggs AS (
+  SELECT sensor_id, vehicle_id, w AS window_start, w + INTERVAL 1 MINUTE AS window_end, '1m' AS window_size,
+    CAST(sum(CAST(round(p * 100) AS BIGINT)) AS DOUBLE) / 100 / count(p) AS avg_pressure,
+    CAST(sum(CAST(round(temperature_c * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*) AS avg_temperature,
+    min(p) AS min_pressure, max(p) AS max_pressure,
+    min(temperature_c) AS min_temperature, max(temperature_c) AS max_temperature, count(*) AS record_count
+  FROM (SELECT *, CASE WHEN fault NOT IN (2, 3) THEN pressure_kpa END AS p, time_bucket(INTERVAL 1 MINUTE, ts) AS w
+        FROM messages WHERE fault NOT IN (0, 1, 4))
+  GROUP BY sensor_id, vehicle_id, w
+)"""
+
+_AGGREGATE_ID = "row_number() OVER (ORDER BY window_start, sensor_id, vehicle_id)"
+
 _CLOCK = "TIMESTAMP '2024-06-01 12:00:00'"
 
 
@@ -143,7 +156,15 @@ def oracles() -> dict[str, str]:
         "tumble_agg_ingest_time": _READINGS
         + _windows("ts + to_seconds(event_id % 7)")
         + f" SELECT {_AGGREGATE_COLUMNS} FROM aggs",
-        "aggregates_to_table": windows + f" SELECT {_AGGREGATE_COLUMNS}, {_CLOCK} AS created_at FROM aggs",
+        "aggregates_to_table": windows + f" SELECT {_AGGREGATE_ID} AS id, {_AGGREGATE_COLUMNS}, {_CLOCK} AS created_at FROM aggs",
+        "windows_from_json": messages
+        + _JSON_WINDOWS
+        + f" SELECT {_AGGREGATE_COLUMNS} FROM json_aggs WHERE avg_pressure IS NOT NULL",
+        "windows_rejected": messages
+        + _JSON_WINDOWS
+        + " SELECT sensor_id, window_start, record_count,"
+        " 'avg_pressure is null; min_pressure is null; max_pressure is null' AS reason"
+        " FROM json_aggs WHERE avg_pressure IS NULL",
         "alerts_tiered": tiered + f" SELECT {_ALERT_COLUMNS}, iso_time FROM tiered",
         "alerts_multi": _READINGS + _MULTI + f" SELECT {_ALERT_COLUMNS}, {_CLOCK} AS processed_at FROM multi",
         "alerts_case": _READINGS
@@ -163,6 +184,11 @@ FROM readings WHERE pressure_kpa < 180 OR pressure_kpa > 300 OR temperature_c >
         " FROM readings WHERE pressure_psi < 90 OR temperature_c > 80",
         "alerts_legacy_check": _READINGS
         + " SELECT vehicle_id, 'Check tire' AS alert FROM readings WHERE pressure_psi < 90 OR temperature_c > 80",
+        "alerts_legacy_json": _READINGS
+        + """
+SELECT concat('{"vehicle_id":"', vehicle_id, '","tire_position":"', tire_position, '","pressure_psi":', pressure_psi,
+  ',"temperature_c":', temperature_c, ',"alert":true,"timestamp":', ts_ms, '}') AS value
+FROM readings WHERE pressure_psi < 90 OR temperature_c > 80""",
         "reading_labels": _READINGS
         + " SELECT sensor_id, ts_ms, pressure_kpa, temperature_c, CASE WHEN pressure_kpa < 180 OR pressure_kpa > 300"
         " OR temperature_c > 80 THEN 'ALERT' ELSE 'NORMAL' END AS label FROM readings",
@@ -191,6 +217,7 @@ FROM readings WHERE pressure_kpa < 180 OR pressure_kpa > 300 OR temperature_c >
         "alert_json_payload": tiered
         + ' SELECT alert_id, sensor_id, vehicle_id, iso_time AS "timestamp", alert_type, severity, description,'
         " triggering_value FROM tiered",
+        "alerts_from_topic": tiered + f" SELECT {_ALERT_COLUMNS} FROM tiered",
         "alerts_insert_ignore": tiered
         + _MULTI
         + f"""
@@ -220,6 +247,16 @@ FROM vehicles v FULL JOIN changes c ON v.vehicle_id = c.vehicle_id""",
         "latest_alerts": alerts + ' SELECT * FROM alert_table ORDER BY "timestamp" DESC, alert_id LIMIT 20',
         "latest_aggregations": windows
         + f" SELECT {_AGGREGATE_COLUMNS} FROM aggs ORDER BY window_end DESC, sensor_id, vehicle_id LIMIT 20",
+        "stored_latest_alerts": tiered
+        + f"""
+SELECT {_ALERT_COLUMNS}, id, false AS is_resolved, {_CLOCK} AS created_at
+FROM (SELECT *, row_number() OVER (ORDER BY "timestamp", alert_id) AS id FROM tiered)
+ORDER BY "timestamp" DESC, alert_id LIMIT 20""",
+        "stored_latest_aggregations": windows
+        + f"""
+SELECT {_AGGREGATE_COLUMNS}, id, {_CLOCK} AS created_at
+FROM (SELECT *, {_AGGREGATE_ID} AS id FROM aggs)
+ORDER BY window_end DESC, sensor_id, vehicle_id LIMIT 20""",
         "vehicle_latest_metrics": _READINGS
         + """
 SELECT vehicle_id, sensor_id, ts AS "timestamp", pressure_kpa, temperature_c, CAST(rank AS INT) AS rank

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetpulse.functions.times import Clock
+from fleetpulse.functions.times import Clock, at
 from fleetpulse.operators.aggregates import WATERMARK_DELAY, WINDOW, tumbling_aggregates, with_watermark
+from fleetpulse.operators.constraints import AGGREGATE_REQUIRED, split_storable
 from fleetpulse.operators.merge import insert_ignore, with_alert_defaults, with_serial_id
 from fleetpulse.operators.notify import notifications
 from fleetpulse.operators.parse import parse_tire_data
@@ -65,6 +66,27 @@ def store_alerts(
     table.append(fresh, batch_id, writer)
 
 
+def store_aggregates(
+    rows: DataFrame,
+    batch_id: int,
+    table: BatchTable,
+    writer: str = "aggregates",
+    clock: Clock = None,
+    serial: bool = True,
+) -> None:
+    """Plain append of one batch of windows; a replay replaces the batch.
+
+    Windows that lack a required value stay out, as a NOT NULL column demands.
+    """
+    stamped = split_storable(rows, AGGREGATE_REQUIRED).valid.withColumn("created_at", at(clock))
+    if serial:
+        highest = table.read(without=(writer, batch_id)).agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+        stamped = with_serial_id(stamped, ["window_start", "sensor_id", "vehicle_id"], start=highest)
+    else:
+        stamped = stamped.withColumn("id", F.lit(None).cast("bigint"))
+    table.append(stamped, batch_id, writer)
+
+
 def fan_out(
     alerts: DataFrame,
     batch_id: int,
@@ -133,11 +155,15 @@ def start_aggregates(
     length: str = WINDOW,
     delay: str = WATERMARK_DELAY,
     exact_scale: int | None = None,
+    clock: Clock = None,
 ) -> StreamingQuery:
     """Readings stream to closed windows, each written once."""
     closed = tumbling_aggregates(with_watermark(readings, time_col, delay), time_col, length, exact_scale)
-    stamped = closed.withColumn("created_at", F.current_timestamp()) if "created_at" in table.schema.names else closed
-    return start_append(stamped, table, checkpoint, trigger, writer)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store_aggregates(batch, batch_id, table, writer, clock, serial=False)
+
+    return _start(closed, write, checkpoint, trigger)
 
 
 def start_notifications(
