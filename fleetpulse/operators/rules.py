@@ -13,8 +13,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetpulse.functions.schemas import RAW_STRICT
 from fleetpulse.functions.text import one_decimal
 from fleetpulse.functions.times import Clock, at, event_time
+from fleetpulse.operators.parse import json_fields, with_object
 
 BELOW, ABOVE = "below", "above"
 
@@ -205,19 +207,18 @@ def smoke_classes(messages: DataFrame, value: str = "value") -> DataFrame:
     temperature never alerts. An explicit null or text measure that gets
     compared drops the message.
     """
-    from fleetpulse.functions.schemas import RAW_STRICT
-    from fleetpulse.operators.parse import json_fields, with_object
-
     low_rule, hot_rule = _WIDE[0], _WIDE[2]
-    low, hot = F.expr(low_rule.hit()), F.expr(hot_rule.hit())
-    named = F.array_contains(F.col("_keys"), "sensor_id")
-    temperature_ok = F.col("temperature_c").isNotNull() | ~F.array_contains(F.col("_keys"), "temperature_c")
-    return (
+    # Keys are listed (a second parse) only where a NULL leaves it open
+    # whether the field is there.
+    classed = (
         with_object(messages, value, RAW_STRICT)
-        .filter(F.col("pressure_kpa").isNotNull())
         .withColumn("_keys", F.map_keys(json_fields(F.col(value))))
-        .withColumn("class", F.when(low, F.lit("LOW PRESSURE")).when(hot, F.lit("HIGH TEMP")))
-        .filter(low | temperature_ok)
-        .filter(F.col("class").isNull() | named)
-        .select(*messages.columns, "class")
+        .withColumn("class", F.expr(f"CASE WHEN {low_rule.hit()} THEN 'LOW PRESSURE' WHEN {hot_rule.hit()} THEN 'HIGH TEMP' END"))
     )
+    named = "CASE WHEN sensor_id IS NOT NULL THEN TRUE ELSE array_contains(_keys, 'sensor_id') END"
+    measured = "CASE WHEN temperature_c IS NOT NULL THEN TRUE ELSE NOT array_contains(_keys, 'temperature_c') END"
+    return classed.filter(
+        f"""pressure_kpa IS NOT NULL
+        AND CASE WHEN {low_rule.hit()} THEN TRUE ELSE {measured} END
+        AND CASE WHEN class IS NULL THEN TRUE ELSE {named} END"""
+    ).select(*messages.columns, "class")

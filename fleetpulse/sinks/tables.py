@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetpulse.functions.times import Clock, at
 from fleetpulse.session import scratch_path
 
 
@@ -111,9 +112,7 @@ class VersionedTable:
 
 
 def append_rows(
-    table: BatchTable, rows: DataFrame, batch_id: int, time_col: str = "timestamp", clock=None, writer: str = "api"
+    table: BatchTable, rows: DataFrame, batch_id: int, time_col: str = "timestamp", clock: Clock = None, writer: str = "api"
 ) -> None:
     """Direct insert; a missing time becomes the clock's."""
-    from fleetpulse.functions.times import at
-
     table.append(rows.withColumn(time_col, F.coalesce(F.col(time_col), at(clock))), batch_id, writer)

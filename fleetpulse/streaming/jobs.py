@@ -51,19 +51,27 @@ def store_alerts(
     event times, as for rule-made ids; then only the stored days that the
     batch touches are compared. ``serial`` numbers the rows.
     """
-    days = None
-    if ids_carry_time and table.day_of is not None:
-        day = F.to_date(table.day_of)
-        days = tuple(alerts.agg(F.min(day), F.max(day)).first())
-    own = (writer, batch_id)
-    stored = table.read(without=own, days=days if days and days[0] is not None else None)
-    fresh = with_alert_defaults(insert_ignore(alerts, stored, "alert_id", arrival), clock)
-    if serial:
-        highest = table.read(without=own).agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
-        fresh = with_serial_id(fresh, ["timestamp", "alert_id"], start=highest)
-    else:
-        fresh = fresh.withColumn("id", F.lit(None).cast("bigint"))
-    table.append(fresh, batch_id, writer)
+    by_day = ids_carry_time and table.day_of is not None
+    keep = by_day and not alerts.is_cached
+    if keep:
+        alerts.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        days = None
+        if by_day:
+            day = F.to_date(table.day_of)
+            days = tuple(alerts.agg(F.min(day), F.max(day)).first())
+        own = (writer, batch_id)
+        stored = table.read(without=own, days=days if days and days[0] is not None else None)
+        fresh = with_alert_defaults(insert_ignore(alerts, stored, "alert_id", arrival), clock)
+        if serial:
+            highest = table.read(without=own).agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+            fresh = with_serial_id(fresh, ["timestamp", "alert_id"], start=highest)
+        else:
+            fresh = fresh.withColumn("id", F.lit(None).cast("bigint"))
+        table.append(fresh, batch_id, writer)
+    finally:
+        if keep:
+            alerts.unpersist()
 
 
 def store_aggregates(

@@ -4,7 +4,6 @@ import json
 
 import pytest
 from helpers import alerts, readings, vehicles, write_ordered
-from pyspark.sql import functions as F
 
 from fleetpulse.functions import schemas
 from fleetpulse.operators import parse, rules, serving
