@@ -38,13 +38,20 @@ class BatchTable:
     schema: T.StructType
     day_of: str | None = None
 
-    def append(self, rows: DataFrame, batch_id: int, writer: str = "main") -> None:
+    def append(self, rows: DataFrame, batch_id: int, writer: str = "main", clustered: bool = False) -> None:
+        """Writes one batch.
+
+        Unless ``clustered`` (already in day order), rows are ranged by day and
+        a hash: a task then writes few days, and a hot day has many tasks.
+        """
         out = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
         target = f"{self.path}/writer={writer}/batch_id={batch_id}"
         if self.day_of is None:
             out.write.mode("overwrite").parquet(target)
         else:
             days = out.withColumn("day", F.to_date(self.day_of))
+            if not clustered:
+                days = days.repartitionByRange("day", F.xxhash64(*self.schema.names))
             days.write.mode("overwrite").partitionBy("day").parquet(target)
 
     def read(self, without: tuple[str, int] | None = None, days: tuple | None = None) -> DataFrame:

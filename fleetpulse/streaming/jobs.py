@@ -68,7 +68,7 @@ def store_alerts(
             fresh = with_serial_id(fresh, ["timestamp", "alert_id"], start=highest)
         else:
             fresh = fresh.withColumn("id", F.lit(None).cast("bigint"))
-        table.append(fresh, batch_id, writer)
+        table.append(fresh, batch_id, writer, clustered=serial)
     finally:
         if keep:
             alerts.unpersist()
@@ -92,7 +92,7 @@ def store_aggregates(
         stamped = with_serial_id(stamped, ["window_start", "sensor_id", "vehicle_id"], start=highest)
     else:
         stamped = stamped.withColumn("id", F.lit(None).cast("bigint"))
-    table.append(stamped, batch_id, writer)
+    table.append(stamped, batch_id, writer, clustered=serial)
 
 
 def fan_out(

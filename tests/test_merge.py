@@ -100,3 +100,26 @@ def test_append_rows_fills_missing_time(spark, tmp_path):
     got = {r.tire_id: r.ms for r in table.read().selectExpr("tire_id", "unix_millis(timestamp) ms").collect()}
     assert got["t"] == int(CLOCK.timestamp() * 1000) and len(got) == 2
     assert table.read().count() == 2
+
+
+def test_a_batch_writes_few_files_and_splits_a_hot_day(spark, tmp_path):
+    table = BatchTable(spark, str(tmp_path / "t"), schemas.TIRE_DATA, day_of="timestamp")
+    rows = spark.range(0, 6000, numPartitions=8).selectExpr(
+        "CAST(id AS STRING) AS tire_id",
+        "CAST(id AS DOUBLE) AS pressure",
+        "1D AS temperature",
+        "timestamp_seconds(1704067200 + 86400 * CASE WHEN id % 3 = 0 THEN 0 ELSE id % 31 END) AS timestamp",
+    )
+    table.append(rows, 0)
+    files = list((tmp_path / "t").glob("**/*.parquet"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(files) <= 31 + partitions
+    assert table.read().count() == 6000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table.append(rows, 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    hot = [f for f in (tmp_path / "t").glob("**/*.parquet") if "day=2024-01-01" in str(f)]
+    assert len(hot) >= 3
+    assert table.read().count() == 6000
