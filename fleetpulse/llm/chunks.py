@@ -11,7 +11,10 @@ _ODD_POINTS = "0b-0c 1c-1f 85 a0 1680 180e 2000-200f 2028-202f 205f-2064 3000 fe
 _ODD = re.compile("[" + "".join("-".join(chr(int(x, 16)) for x in r.split("-")) for r in _ODD_POINTS.split()) + "]")
 # Letters, digits and signs that every Unicode version classes alike and that are their own normal form.
 SETTLED = re.compile(f"[\t\n\r -~{chr(0xA1)}-{chr(0xAC)}{chr(0xAE)}-{chr(0x24F)}]*")
-_WORDS = re.compile(r"[^ \t\r\n]+")
+# Lowered letters, plain white space, stops and commas.
+_PLAIN = re.compile(f"[\t\n\r a-z.,{chr(0xDF)}-{chr(0xF6)}{chr(0xF8)}-{chr(0x24F)}]*")
+# Where split() cuts though a library may not.
+_DOUBTFUL = [chr(c) for c in (0x1C, 0x1D, 0x1E, 0x1F, 0x85)]
 _SPACED_WORDS = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
 
 
@@ -60,6 +63,11 @@ def lowered_pre_tokens(tokenizer_json: str) -> Callable[[str], list[str]] | None
     return regex.compile(steps[0]["pattern"]["Regex"]).findall
 
 
+def is_plain(text: str) -> bool:
+    """Whether every stop and comma of a lowered, settled text is a pre-token of its own, and all else words."""
+    return _PLAIN.fullmatch(text) is not None and not any(two in text for two in ("..", ",,", ".,", ",."))
+
+
 def _listed(step: dict | None, inner: str) -> list[dict]:
     return step.get(inner, [step]) if step else []
 
@@ -76,7 +84,9 @@ def _skips_white_space(pattern: str) -> bool:
 
 
 def cut(text: str, style: str) -> list[str]:
-    """The chunks of a text; one chunk if it has white space that is not plain."""
-    if style == "whole" or _ODD.search(text):
-        return [text]
-    return (_WORDS if style == "dropped" else _SPACED_WORDS).findall(text)
+    """The chunks of a text; one chunk if it has signs that not every library takes for white space."""
+    if style == "dropped" and not any(sign in text for sign in _DOUBTFUL):
+        return text.split()
+    if style == "leading" and not _ODD.search(text):
+        return _SPACED_WORDS.findall(text)
+    return [text]

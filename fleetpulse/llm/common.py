@@ -79,20 +79,33 @@ def one_per_task(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
 
 
 class Memo(dict):
-    """A cache of short texts, of bounded size: it starts again when it is full."""
+    """A cache of short texts in two generations of bounded size.
+
+    When the young one is full it becomes the old one; what is asked for again
+    comes back from there.
+    """
 
     LONGEST = 64
 
     def __init__(self, limit: int):
         super().__init__()
         self.limit = limit
+        self.old: dict = {}
 
     def trim(self) -> None:
-        if len(self) >= self.limit:
+        if len(self) >= self.limit // 2:
+            self.old = dict(self)
             self.clear()
 
+    def recall(self, text):
+        """The old generation's value, which is young again, or None."""
+        value = self.old.pop(text, None)
+        if value is not None:
+            self[text] = value
+        return value
+
     def keep(self, text, value) -> None:
-        if len(text) <= self.LONGEST and len(self) < self.limit:
+        if len(text) <= self.LONGEST:
             self[text] = value
 
 

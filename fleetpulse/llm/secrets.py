@@ -95,6 +95,8 @@ class SecretFinder:
 
     def _random(self, run: str) -> bool:
         verdict = self.verdicts.get(run)
+        if verdict is None:
+            verdict = self.verdicts.recall(run)
         if verdict is None:
             verdict = not is_known(run) and len(run) < self.limit * len(self.encoder.encode_ordinary(run))
             self.verdicts.trim()

@@ -73,8 +73,9 @@ class TextCounter:
         return sum(n for n in found if n) + sum(cached)
 
     def _pre_token(self, token: str) -> int:
-        if token in self.memo:
-            return self.memo[token]
+        count = self.memo.get(token) or self.memo.recall(token)
+        if count is not None:
+            return count
         spelled = token.encode().decode("latin-1").translate(chunks.BYTE_LETTERS)
         count = len(self.tokenizer.model.tokenize(spelled))
         self.memo.keep(token, count)

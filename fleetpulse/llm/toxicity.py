@@ -26,6 +26,7 @@ from fleetpulse.llm.common import Batches, Memo, held_out, map_batches, texts_of
 
 SAMPLE_PER_CLASS = 4_000
 LEAST_TOXIC_TEXTS = 5
+LEAST_TOXIC_SHARE = 0.01
 LEAST_LOG_ODDS = 3.0
 STEM_LENGTHS = range(3, 9)
 NEGATION_REACH = 3
@@ -110,6 +111,8 @@ class Lexicon:
 
     def look_up(self, word: str) -> tuple[str, float]:
         hit = self.seen.get(word)
+        if hit is None:
+            hit = self.seen.recall(word)
         if hit is None:
             hit = next(((("insult", self.stems[s])) for s in spellings(word)[::-1] if s in self.stems), None)
             hit = hit or (self.seeds.get(word, "other"), 0.0)
@@ -174,11 +177,12 @@ def log_odds(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
 
 def choose_stems(counts: list[tuple[str, int, int]], all_toxic: int, all_clean: int) -> dict[str, float]:
     """The shortest spellings that mark toxic texts; longer ones below them add nothing."""
+    least = max(LEAST_TOXIC_TEXTS, LEAST_TOXIC_SHARE * all_toxic)
     chosen: dict[str, float] = {}
     for stem, toxic, clean in sorted(counts, key=lambda c: (len(c[0].rstrip("$")), c[0])):
         weight = log_odds(toxic, clean, all_toxic, all_clean)
         below = any(stem[:n] in chosen for n in STEM_LENGTHS if n <= len(stem.rstrip("$")))
-        if toxic >= LEAST_TOXIC_TEXTS and weight >= LEAST_LOG_ODDS and not below:
+        if toxic >= least and weight >= LEAST_LOG_ODDS and not below:
             chosen[stem] = weight
     return chosen
 
