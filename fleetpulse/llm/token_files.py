@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from fleetpulse.llm import chunks
 from fleetpulse.llm.common import Batches, Memo, make_folder, map_batches, offsets, one_per_task, publish, shared_files, texts_of
 
-CACHED = 600_000
+CACHED = 1_000_000
 PARTS_SCHEMA = "part string, n_docs bigint, n_tokens bigint"
 
 
@@ -43,9 +43,9 @@ class TokenFolder:
 class TextEncoder:
     """Ids of whole texts as the tokenizers library gives them.
 
-    Chunks seen before come from a bounded cache. A new chunk of settled
-    characters is lowered and cut into pre-tokens, and the library's model
-    encodes those that are new; any other chunk goes through the whole library.
+    A text of settled characters is lowered and cut into pre-tokens; those seen
+    before come from a bounded cache and the library's model encodes new ones.
+    Chunks of any other text go through the whole library, with a cache too.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -64,28 +64,40 @@ class TextEncoder:
     def __call__(self, text: str) -> bytes:
         self.chunks.trim()
         self.words.trim()
+        if self.pre_tokens and chunks.SETTLED.fullmatch(text) and not any(s in text for s in self.special):
+            low = text.lower()
+            if chunks.is_plain(low):
+                words = low.replace(",", " , ").replace(".", " . ").split()
+            else:
+                words = self.pre_tokens(low)
+            found = list(map(self.words.get, words))
+            if None in found:
+                found = [self._word(w) if i is None else i for w, i in zip(words, found)]
+            return b"".join(found)
         cuts = chunks.cut(text, self.style)
         found = list(map(self.chunks.get, cuts))
         if None in found:
             found = [self._chunk(c) if i is None else i for c, i in zip(cuts, found)]
         return b"".join(found)
 
-    def _chunk(self, chunk: str) -> bytes:
-        if self.pre_tokens and chunks.SETTLED.fullmatch(chunk) and not any(s in chunk for s in self.special):
-            words = self.pre_tokens(chunk.lower())
-            found = list(map(self.words.get, words))
-            if None in found:
-                found = [self._word(w) if i is None else i for w, i in zip(words, found)]
-            ids = b"".join(found)
-        else:
-            ids = array(self.code, self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
-        self.chunks.keep(chunk, ids)
+    def _word(self, word: str) -> bytes:
+        """Ids of a lowered pre-token."""
+        ids = self.words.get(word)
+        if ids is None:
+            ids = self.words.recall(word)
+        if ids is None:
+            spelled = word.encode().decode("latin-1").translate(chunks.BYTE_LETTERS)
+            ids = array(self.code, [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
+            self.words.keep(word, ids)
         return ids
 
-    def _word(self, word: str) -> bytes:
-        spelled = word.encode().decode("latin-1").translate(chunks.BYTE_LETTERS)
-        ids = array(self.code, [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
-        self.words.keep(word, ids)
+    def _chunk(self, chunk: str) -> bytes:
+        ids = self.chunks.get(chunk)
+        if ids is None:
+            ids = self.chunks.recall(chunk)
+        if ids is None:
+            ids = array(self.code, self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+            self.chunks.keep(chunk, ids)
         return ids
 
 
@@ -200,17 +212,17 @@ def read_tokens(spark: SparkSession, folder: TokenFolder, with_ids: bool = False
                 index = mapped(f"{uri}/{part['part']}.idx", "<i8")
                 tokens = mapped(f"{uri}/{part['part']}.bin", dtype)
                 for low in range(0, n, 1_000):
-                    out = []
-                    for d in range(low, min(low + 1_000, n)):
-                        ids = tokens[index[1 + d] : index[2 + d]]
-                        row = {
-                            "doc_id": None if index[2 + 2 * n + d] else int(index[2 + n + d]),
-                            "start": part["first_token"] + int(index[1 + d]),
-                            "n_tokens": len(ids),
-                            "ids_crc32": zlib.crc32(ids.astype("<u4").tobytes()),
-                        }
-                        out.append(row | {"ids": ids.astype(np.int64)} if with_ids else row)
-                    yield pa.RecordBatch.from_pylist(out, schema=types)
+                    high = min(low + 1_000, n)
+                    own = [tokens[index[1 + d] : index[2 + d]] for d in range(low, high)]
+                    columns = {
+                        "doc_id": pa.array(index[2 + n + low : 2 + n + high], mask=index[2 + 2 * n + low : 2 + 2 * n + high] != 0),
+                        "start": pa.array(index[1 + low : 1 + high] + part["first_token"]),
+                        "n_tokens": pa.array(np.diff(index[1 + low : 2 + high])),
+                        "ids_crc32": pa.array([zlib.crc32(ids.astype("<u4").tobytes()) for ids in own], pa.int64()),
+                    }
+                    if with_ids:
+                        columns["ids"] = pa.array([ids.astype(np.int64) for ids in own], pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_pydict(columns, schema=types)
 
     parts = one_per_task(spark, list(folder.parts), f"{PARTS_SCHEMA}, first_doc bigint, first_token bigint")
     return map_batches(parts, read, schema)
