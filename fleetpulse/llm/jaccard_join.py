@@ -3,14 +3,16 @@
 The Jaccard distance of two word-shingle sets is a metric. Texts whose sets are
 equal are one node. Two nodes within the radius share one of their rarest
 shingles, so the nodes that hold a rare shingle form a region, and every link
-lies inside some region. Small regions compare their pairs. A larger region
-takes a pivot, measures every node's distance to it and falls into an inner
-cell (within the radius: one class), a boundary (within twice the radius) and an
-outer cell. By the triangle inequality no link joins inner and outer cell, so
-the boundary is copied to both sides, inner with boundary and boundary with
-outer, and these smaller regions are joined the same way. A region whose nodes
-already are one class is done, which is how large groups of near copies end.
-Distances are counted over whole sets.
+lies inside some region. Each node first meets one pivot, that of its largest
+region; nodes within the radius of a pivot are one class, and regions of one
+class are done, which ends most large groups of copies. Regions that overlap
+and fit into a task are joined there exactly. A larger one takes a pivot and
+falls into an inner cell (within the radius: one class), a boundary (within
+twice the radius) and an outer cell. By the triangle inequality no link joins
+inner and outer cell, so the boundary is copied to both sides, inner with
+boundary and boundary with outer, and these regions are joined the same way;
+what is too large after some levels is joined block by block. Distances are
+counted over whole sets.
 """
 
 from __future__ import annotations
@@ -33,8 +35,9 @@ SHINGLE_WORDS = 5
 SIMILAR = 80  # per cent
 BUCKETS = 1 << 18
 _BLOCK = 1 << 12
-SMALL_REGION = 8
-MOST_LEVELS = 12
+SMALL_REGION = 32
+MOST_LEVELS = 4
+TASK_ITEMS = 2_000_000  # shingles of a region that one task joins, 16 MB
 
 # Unrelated odd multipliers, one for each place in a shingle, and those of a mixing step.
 _PLACES = [xxhash.xxh3_64_intdigest(str(k)) | 1 for k in range(SHINGLE_WORDS)]
@@ -43,13 +46,16 @@ _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 class WordHashes(Memo):
     def __missing__(self, word: bytes) -> int:
+        value = self.recall(word)
+        if value is not None:
+            return value
         value = xxhash.xxh3_64_intdigest(word)
         self.trim()
         self.keep(word, value)
         return value
 
 
-_WORDS = WordHashes(500_000)
+_WORDS = WordHashes(300_000)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -168,13 +174,20 @@ def node_sets(documents: DataFrame, members: DataFrame, wanted: DataFrame, key:
             yield pa.RecordBatch.from_arrays([*columns, pa.array([s.tobytes() for s in sets], pa.binary())], schema=types)
 
     chosen = lookup_join(rows, carriers, "carrier", "text_key", how="left_semi")
-    return materialize(map_batches(chosen.select("text"), run, schema).dropDuplicates(["node"]), "sets")
+    sets = map_batches(chosen.select("text"), run, schema)
+    again = members.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    return materialize(sets if again.isEmpty() else sets.dropDuplicates(["node"]), "sets")
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b`` with both set sizes and their common shingles; a popular b is split by adaptive execution."""
+    """``a, b`` with both set sizes and their common shingles; a popular b is split by adaptive execution.
+
+    Only the sets that pairs name are moved.
+    """
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("items_a"))
     right = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("items_b"))
+    pairs = materialize(pairs, "pairs")
+    right = lookup_join(right, pairs.select("b").distinct(), "b", "b", how="left_semi")
     schema = "a bigint, b bigint, n_a bigint, n_b bigint, common bigint"
     types = pa.schema([(c, pa.int64()) for c in ("a", "b", "n_a", "n_b", "common")])
 
@@ -187,13 +200,8 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in types.names[:4]), pa.array(common, pa.int64())], schema=types)
 
-    joined = pairs.join(left, "a").join(right, "b")
-    return map_batches(joined, run, schema)
-
-
-def within(common: Column, n_a: Column, n_b: Column, per_cent: int) -> Column:
-    """Whether the similarity is at least ``per_cent``, in whole numbers."""
-    return 100 * common >= per_cent * (n_a + n_b - common)
+    joined = lookup_join(left, pairs, "a", "a").join(right, "b")
+    return map_batches(joined.select("a", "b", "n_a", "n_b", "items_a", "items_b"), run, schema)
 
 
 def _sizes_allow(n_a: Column, n_b: Column, per_cent: int) -> Column:
@@ -201,20 +209,29 @@ def _sizes_allow(n_a: Column, n_b: Column, per_cent: int) -> Column:
 
 
 class _Join:
-    """State of one join: the nodes, the links found and their classes so far."""
+    """State of one join: the sets, and the links found, kept as the classes that they make."""
 
-    def __init__(self, nodes: DataFrame, similar: int):
-        self.nodes = nodes  # node, n
+    def __init__(self, similar: int):
         self.similar = similar
         self.boundary = max(0, 2 * similar - 100)  # similarity at twice the radius
-        self.spark = nodes.sparkSession
-        self.links = None
         self.classes = None
 
-    def add(self, links: DataFrame) -> None:
-        found = links if self.links is None else self.links.unionByName(links)
-        self.classes = materialize(components(found), "classes")
-        self.links = self.classes.select(F.col("node").alias("u"), F.col("comp").alias("v"))
+    def measure(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Measures pairs, takes the links among them and returns all, written."""
+        found = materialize(overlaps(pairs, sets), "overlaps")
+        self.link(found.filter(self.within(self.similar)).select("a", "b"))
+        return found
+
+    def link(self, links: DataFrame) -> None:
+        links = links.toDF("u", "v")
+        if self.classes is not None:
+            links = links.unionByName(self.classes.select(F.col("node").alias("u"), F.col("comp").alias("v")))
+        self.classes = materialize(components(links), "classes")
+
+    @staticmethod
+    def within(per_cent: int) -> Column:
+        """Whether a measured pair's similarity is at least ``per_cent``, in whole numbers."""
+        return 100 * F.col("common") >= per_cent * (F.col("n_a") + F.col("n_b") - F.col("common"))
 
     def classed(self, members: DataFrame) -> DataFrame:
         """Members with their class so far."""
@@ -223,78 +240,197 @@ class _Join:
         joined = members.join(self.classes, "node", "left")
         return joined.withColumn("comp", F.coalesce("comp", "node"))
 
-    def sized(self, pairs: DataFrame) -> DataFrame:
-        """``a, b`` with their set sizes."""
-        sizes = self.nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"))
-        others = self.nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"))
-        return pairs.join(sizes, "a").join(others, "b")
-
-
-def _pairs_of(members: DataFrame) -> DataFrame:
-    """Pairs of different classes in regions of bounded size, each once."""
-    left = members.select("region", F.col("node").alias("a"), F.col("comp").alias("comp_a"))
-    right = members.select("region", F.col("node").alias("b"), F.col("comp").alias("comp_b"))
-    return left.join(right, "region").filter("a < b AND comp_a <> comp_b").select("a", "b")
-
-
-def _measured(members: DataFrame) -> DataFrame:
-    """Regions that hold more than one class, each set of members once: region, size, pivot."""
-    regions = members.groupBy("region").agg(
-        F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot"), F.min("comp").alias("low"), F.max("comp").alias("high"),
-        F.bit_xor(F.xxhash64("node")).alias("mark"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("mark2"),
-    )
-    open_ = regions.filter("size > 1 AND low < high")
-    return open_.groupBy("size", "pivot", "mark", "mark2").agg(F.min("region").alias("region")).select("region", "size", "pivot")
-
-
-def _split(members: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
-    """Members of small and of large open regions, the latter with their pivot."""
-    regions = materialize(_measured(members), "regions")
-    kept = materialize(lookup_join(members, regions, "region", "node"), "members")
-    return kept.filter(F.col("size") <= small), kept.filter(F.col("size") > small)
+    def open_regions(self, members: DataFrame) -> DataFrame:
+        """Members (region, node, n) of the regions that hold more than one class, with items (shingles), size and pivot."""
+        classed = self.classed(members)
+        regions = classed.groupBy("region").agg(
+            F.count(F.lit(1)).alias("size"), F.sum("n").alias("region_items"), F.min(F.struct("node", "n")).alias("pivot"),
+            F.min("comp").alias("low"), F.max("comp").alias("high"),
+            F.bit_xor(F.xxhash64("node")).alias("mark"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("mark2"),
+        ).filter("size > 1 AND low < high")
+        once = regions.groupBy("size", "region_items", "pivot", "mark", "mark2").agg(F.min("region").alias("region"))
+        once = once.select("region", "size", "region_items", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("n_pivot"))
+        return materialize(lookup_join(members, materialize(once, "regions"), "region", "node"), "members")
+
+    def local(self, members: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links ``u, v`` that join the classes inside each region (region, node) of bounded size; one task a region."""
+        similar = self.similar
+        types = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+        def join(rows: pa.Table) -> pa.Table:
+            rows = rows.sort_by("node")
+            nodes = rows.column("node").to_pylist()
+            items = [np.frombuffer(i, np.uint64) for i in rows.column("items").to_pylist()]
+            links = task_links(items, rows.column("comp").to_pylist(), similar)
+            return pa.table({"u": [nodes[x] for x, _ in links], "v": [nodes[y] for _, y in links]}, schema=types)
+
+        placed = materialize(self.classed(members.select("region", "node")), "placed")
+        rows = lookup_join(sets.select("node", "items"), placed, "node", "node").select("region", "node", "comp", "items")
+        return rows.groupBy("region").applyInArrow(join, "u bigint, v bigint")
+
+
+def task_links(items: list[np.ndarray], classes: list[int], similar: int) -> list[tuple[int, int]]:
+    """Similar pairs that join sets of different classes, as many as it takes to join them all.
+
+    Sets are met by size; a set finds the earlier ones with which it shares one
+    of its rarest shingles.
+    """
+    _, numbers = np.unique(np.concatenate(items), return_inverse=True)
+    counts = np.bincount(numbers)
+    rank = np.empty(len(counts), np.int64)
+    rank[np.argsort(counts, kind="stable")] = np.arange(len(counts))
+    ends = np.cumsum([len(i) for i in items])
+    ranked = [np.sort(rank[numbers[e - len(i) : e]]) for i, e in zip(items, ends)]
+    parent = list(range(len(items)))
+    first: dict[int, int] = {}
+    for x, own in enumerate(classes):
+        parent[x] = first.setdefault(own, x)
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    postings: dict[int, list[int]] = {}
+    marked = np.zeros(len(counts), bool)
+    links = []
+    for x in sorted(range(len(items)), key=lambda i: len(ranked[i])):
+        own, n = ranked[x], len(ranked[x])
+        met: set[int] = set()
+        for r in own[: prefix_length(n, similar)].tolist():
+            met.update(postings.get(r, ()))
+        marked[own] = True
+        for y in met:
+            theirs = ranked[y]
+            if 100 * len(theirs) < similar * n or root(x) == root(y):
+                continue
+            common = int(np.count_nonzero(marked[theirs]))
+            if 100 * common >= similar * (n + len(theirs) - common):
+                parent[root(y)] = root(x)
+                links.append((x, y))
+        marked[own] = False
+        # Later sets are not smaller, so a similar one shares one of these.
+        for r in own[: n + (-2 * similar * n // (100 + similar)) + 1].tolist():
+            postings.setdefault(r, []).append(x)
+    return links
+
+
+def _pairs_of(members: DataFrame, similar: int) -> DataFrame:
+    """Pairs of fitting sizes in regions of bounded size, once a region; ``meets`` tells whether a link may be found there."""
+    left, right = (members.select("region", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "place")]) for x in "ab")
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    overlap = _overlap(n_a, n_b, similar)
+    meets = (F.col("place_a") <= n_a - overlap) & (F.col("place_b") <= n_b - overlap)
+    joined = left.join(right, "region").filter("node_a < node_b").filter(_sizes_allow(n_a, n_b, similar))
+    return joined.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "n_a", "n_b", meets.alias("meets"))
 
 
 def node_classes(
-    members: DataFrame, reps: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similar: int = SIMILAR, small: int = SMALL_REGION
-) -> DataFrame | None:
-    """``node, comp`` of all linked nodes, or None if there are none.
+    reps: DataFrame,
+    sets_of: Callable[[DataFrame], DataFrame],
+    similar: int = SIMILAR,
+    small: int = SMALL_REGION,
+    task_items: int = TASK_ITEMS,
+) -> DataFrame:
+    """``node, comp`` of all linked nodes.
 
     ``reps`` has node, n and prefix of each node; ``sets_of`` gives the sets of
-    wanted nodes.
+    wanted nodes. Of two similar sets the smaller has a common shingle among its
+    first few (it leads there), the larger among those that its size and the
+    smaller's leave; a node that can be neither in a region is not in it.
     """
-    join = _Join(materialize(reps.select("node", "n"), "sizes"), similar)
-    postings = reps.select("node", "n", F.explode("prefix").alias("region"))
-    shared = postings.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("a"), F.max("node").alias("b"))
+    join = _Join(similar)
+    postings = reps.select("node", "n", F.posexplode("prefix").alias("place", "region"))
+    lead = F.col("place") < F.col("n") - _overlap(F.col("n"), F.col("n"), similar) + 1
+    shared = postings.groupBy("region").agg(
+        F.count(F.lit(1)).alias("size"), F.min("node").alias("a"), F.max("node").alias("b"),
+        F.min("n").alias("n_a"), F.max("n").alias("n_b"), F.min(F.when(lead, F.col("n"))).alias("least"),
+    )
     shared = materialize(shared.filter("size > 1"), "shared")
-    several = shared.filter("size > 2").select("region", F.col("size").alias("shared_by"))
-    posted = materialize(lookup_join(postings.drop("n"), several, "region", "node"), "posted")
-    few = posted.filter(F.col("shared_by") <= small).withColumn("comp", F.col("node"))
-    pairs = shared.filter("size = 2").select("a", "b").unionByName(_pairs_of(few))
-    counted = join.sized(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")))
-    near = materialize(counted.filter(_can_link(similar)).select("a", "b"), "near")
-    _, large = _split(join.classed(posted.filter(F.col("shared_by") > small).select("region", "node")), 1)
+    several = shared.filter("size > 2").select("region", F.col("size").alias("shared_by"), "least")
+    posted = materialize(lookup_join(postings, several, "region", "node"), "posted")
+    few, crowd = posted.filter(F.col("shared_by") <= small), posted.filter(F.col("shared_by") > small)
+    twos = shared.filter("size = 2").filter(_sizes_allow(F.col("n_a"), F.col("n_b"), similar)).select("a", "b", "n_a", "n_b", F.lit(True).alias("meets"))
+    pairs = twos.unionByName(_pairs_of(few, similar)).groupBy("a", "b")
+    counted = pairs.agg(
+        F.count(F.lit(1)).alias("c"), F.max("meets").alias("meets"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")
+    )
+    counted = materialize(counted.filter("meets").withColumn("strong", _can_link(similar)), "counted")
+    # Nodes of crowded regions may share more than these counts tell, so their pairs stay.
+    crowded = materialize(crowd.select("node").distinct(), "crowded")
+    weak = counted.filter("NOT strong").join(crowded.toDF("a"), "a", "left_semi").join(crowded.toDF("b"), "b", "left_semi")
+    near = materialize(counted.filter("strong").select("a", "b").unionByName(weak.select("a", "b")), "near")
+    partner = F.greatest("least", F.ceil(F.lit(similar) * F.col("n") / 100))
+    follows = (partner <= F.col("n")) & (F.col("place") < F.col("n") - _overlap(F.col("n"), partner, similar) + 1)
+    large = join.open_regions(crowd.filter(lead | follows).select("region", "node", "n"))
     wanted = near.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
     sets = sets_of(materialize(wanted, "wanted"))
 
+    home = large.groupBy("node").agg(F.max(F.struct("size", "pivot", "n", "n_pivot")).alias("home"))
+    home = home.filter("node <> home.pivot").filter(_sizes_allow(F.col("home.n"), F.col("home.n_pivot"), similar))
+    join.measure(home.select(F.col("node").alias("a"), F.col("home.pivot").alias("b")), sets)
+    large = join.open_regions(large.select("region", "node", "n"))
+    near = _between_classes(join, near)
+    large, near = _joined_in_tasks(join, large, near, sets, task_items)
+    if not near.isEmpty():
+        join.measure(near, sets)
+
     for _ in range(MOST_LEVELS):
-        stars = large.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-        close = join.sized(stars).filter(_sizes_allow(F.col("n_a"), F.col("n_b"), join.boundary)).select("a", "b")
-        found = materialize(overlaps(near.unionByName(close), sets), "overlaps")
-        linked = within(F.col("common"), F.col("n_a"), F.col("n_b"), similar)
-        join.add(found.filter(linked).select(F.col("a").alias("u"), F.col("b").alias("v")))
-        cells = _cells(join, large, found, linked)
-        little, large = _split(join.classed(cells), small)
-        near = join.sized(_pairs_of(little).distinct()).filter(_sizes_allow(F.col("n_a"), F.col("n_b"), similar)).select("a", "b")
-        near = materialize(near, "near")
-        if near.isEmpty() and large.isEmpty():
+        large = join.open_regions(large.select("region", "node", "n"))
+        if large.isEmpty():
             return join.classes
-    last = join.sized(_pairs_of(join.classed(large.select("region", "node"))).unionByName(near).distinct())
-    found = overlaps(last.filter(_sizes_allow(F.col("n_a"), F.col("n_b"), similar)).select("a", "b"), sets)
-    linked = within(F.col("common"), F.col("n_a"), F.col("n_b"), similar)
-    join.add(found.filter(linked).select(F.col("a").alias("u"), F.col("b").alias("v")))
+        fits = F.col("region_items") <= task_items
+        join.link(join.local(large.filter(fits), sets))
+        large = large.filter(~fits)
+        stars = large.filter("node <> pivot").filter(_sizes_allow(F.col("n"), F.col("n_pivot"), join.boundary))
+        found = join.measure(stars.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), sets)
+        large = materialize(_cells(join, large, found), "cells")
+    large = join.open_regions(large)
+    if not large.isEmpty():
+        join.link(join.local(_block_pairs(large, task_items), sets))
     return join.classes
 
 
+def _between_classes(join: _Join, pairs: DataFrame) -> DataFrame:
+    """The pairs whose nodes are not one class already."""
+    first = join.classes.select(F.col("node").alias("a"), F.col("comp").alias("comp_a"))
+    second = join.classes.select(F.col("node").alias("b"), F.col("comp").alias("comp_b"))
+    joined = pairs.join(first, "a", "left").join(second, "b", "left")
+    apart = F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")
+    return materialize(joined.filter(apart).select("a", "b"), "near")
+
+
+def _joined_in_tasks(
+    join: _Join, large: DataFrame, near: DataFrame, sets: DataFrame, task_items: int
+) -> tuple[DataFrame, DataFrame]:
+    """Joins what overlaps, directly or not, in one task if it fits; returns the regions and pairs that do not."""
+    edges = large.select(F.col("node").alias("u"), F.col("region").alias("v"))
+    union = materialize(components(edges.unionByName(near.toDF("u", "v"))), "unions").withColumnRenamed("comp", "union")
+    members = union.join(sets.select("node", "n"), "node")
+    weights = members.groupBy("union").agg(F.sum("n").alias("items"))
+    sized = materialize(lookup_join(union, materialize(weights, "weights"), "union", "node"), "sized")
+    fits = sized.filter(F.col("items") <= task_items).select(F.col("union").alias("region"), "node")
+    join.link(join.local(fits, sets))
+    beyond = materialize(sized.filter(F.col("items") > task_items).select("node"), "beyond")
+    return large.join(beyond, "node", "left_semi"), near.join(beyond.toDF("a"), "a", "left_semi")
+
+
+def _block_pairs(large: DataFrame, task_items: int) -> DataFrame:
+    """Regions cut into blocks by hash, as regions of two blocks each: every pair of nodes meets in one of them."""
+    blocks = F.greatest(F.lit(1), F.ceil(4 * F.col("region_items") / F.lit(task_items))).cast("bigint")
+    own = F.pmod(F.xxhash64("node", "region"), F.col("blocks"))
+    rows = large.withColumn("blocks", blocks).withColumn("own", own)
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
+    paired = rows.select("region", "node", "own", other)
+    return paired.select(F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")).alias("region"), "node")
+
+
+def _overlap(n_a: Column, n_b: Column, similar: int) -> Column:
+    """Fewest common shingles of similar sets of these sizes."""
+    return F.ceil(similar * (n_a + n_b) / (100 + similar))
+
+
 def _can_link(similar: int) -> Column:
     """Whether a pair with ``c`` common prefix shingles, and no common large region, can be similar.
 
@@ -306,18 +442,19 @@ def _can_link(similar: int) -> Column:
     return _sizes_allow(n_a, n_b, similar) & ((100 + similar) * (F.col("c") + F.greatest(*rest)) >= similar * (n_a + n_b))
 
 
-def _cells(join: _Join, large: DataFrame, found: DataFrame, linked: Column) -> DataFrame:
+def _cells(join: _Join, large: DataFrame, found: DataFrame) -> DataFrame:
     """The regions below each large one: inner cell with boundary, and boundary with outer cell.
 
     The pivot has met all others and leaves. An inner cell without boundary is
     one class and ends here.
     """
-    at_boundary = within(F.col("common"), F.col("n_a"), F.col("n_b"), join.boundary)
-    cell = F.when(linked, 0).when(at_boundary, 1).otherwise(2)
-    measured = materialize(found.select(F.col("a").alias("node"), F.col("b").alias("pivot"), cell.alias("cell")).distinct(), "cells")
-    placed = large.select("region", "node", "pivot").filter("node <> pivot").join(measured, ["node", "pivot"], "left")
+    cell = F.when(join.within(join.similar), 0).when(join.within(join.boundary), 1).otherwise(2)
+    measured = found.select(F.col("a").alias("node"), F.col("b").alias("pivot"), cell.alias("cell"))
+    members = large.select("region", "node", "n", "pivot").filter("node <> pivot")
+    placed = members.join(measured, ["node", "pivot"], "left")
     sides = F.when(F.col("cell") == 0, F.array(F.lit(0))).when(F.col("cell") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
-    return placed.select("node", "region", F.explode(sides).alias("side")).select(F.xxhash64("region", "side").alias("region"), "node")
+    below = placed.select("node", "n", "region", F.explode(sides).alias("side"))
+    return below.select(F.xxhash64("region", "side").alias("region"), "node", "n")
 
 
 def members_of(documents: DataFrame, key: str = "doc_id", similar: int = SIMILAR) -> tuple[DataFrame, DataFrame]:
@@ -327,7 +464,7 @@ def members_of(documents: DataFrame, key: str = "doc_id", similar: int = SIMILAR
     members = materialize(signatures(documents, counts, key), "signatures")
     reps = members.filter("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     reps = materialize(reps, "nodes")
-    classes = node_classes(members, reps, lambda wanted: node_sets(documents, members, wanted, key), similar)
+    classes = node_classes(reps, lambda wanted: node_sets(documents, members, wanted, key), similar)
     return members, classes
 
 
