@@ -30,6 +30,7 @@ from fleetpulse.operators.lookup import lookup_join
 from fleetpulse.sinks.tables import materialize
 
 REVISIT_BYTES = 1000
+LEVEL = 6
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -119,7 +120,7 @@ def write_monolithic(pages: DataFrame, uri: str, date: str = "1970-01-01T00:00:0
 
         def stream(out: pa.NativeFile) -> None:
             nonlocal count
-            with gzip.GzipFile(fileobj=out, mode="wb", mtime=0) as packed:
+            with gzip.GzipFile(fileobj=out, mode="wb", compresslevel=LEVEL, mtime=0) as packed:
                 batch = first
                 while batch is not None:
                     facts = batch.drop_columns(["html"]).to_pylist()
@@ -220,7 +221,7 @@ def normalise(spark: SparkSession, files: list[tuple[str, int]], source_uri: str
                     at = 0
                     with reader.open_input_stream(path, compression=None) as source:
                         for fields, record in records_in(source):
-                            member = gzip.compress(record, mtime=0)
+                            member = gzip.compress(record, compresslevel=LEVEL, mtime=0)
                             out.write(member)
                             entry = {"offset": at, "length": len(member), "type": fields["warc-type"]}
                             index.append(entry | {"id": fields["warc-record-id"], "target": unquote(fields["warc-target-uri"])})
