@@ -29,7 +29,7 @@ def one_decimal(column: str) -> Column:
         f" AND ({residual} < 0D OR ({residual} = 0D AND {whole} % 4 = 1)))"
     )
     tenths = f"(shiftright({whole} + 1, 1) - CASE WHEN {round_down} THEN 1 ELSE 0 END)"
-    digits = f"concat(CASE WHEN {column} < 0D THEN '-' ELSE '' END, {tenths} div 10, '.', {tenths} % 10)"
+    digits = f"concat(CASE WHEN {column} < 0D OR CAST({column} AS STRING) = '-0.0' THEN '-' ELSE '' END, {tenths} div 10, '.', {tenths} % 10)"
     words = f"replace(lower(format_string('%.1f', {column})), 'infinity', 'inf')"
     return F.expr(
         f"CASE WHEN {size} < {_EXACT_LIMIT}D THEN {digits} WHEN {size} >= {_EXACT_LIMIT}D THEN {words} END"

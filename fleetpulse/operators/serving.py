@@ -129,11 +129,12 @@ def active_vehicles(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count_distinct("vehicle_id").alias("active_vehicles"))
 
 
-def table_counts(alerts: DataFrame, aggregates: DataFrame) -> DataFrame:
-    """Row counts of both tables as integers, one row."""
-    return alerts.agg(F.count(F.lit(1)).cast("int").alias("alert_count")).select(
+def table_counts(alerts: DataFrame, aggregates: DataFrame, as_int: bool = False) -> DataFrame:
+    """Row counts of both tables, one row; ``as_int`` for tables that never pass 2^31 - 1 rows."""
+    kind = "int" if as_int else "bigint"
+    return alerts.agg(F.count(F.lit(1)).cast(kind).alias("alert_count")).select(
         "alert_count",
-        aggregates.agg(F.count(F.lit(1)).cast("int")).scalar().alias("agg_count"),
+        aggregates.agg(F.count(F.lit(1)).cast(kind)).scalar().alias("agg_count"),
     )
 
 

@@ -227,9 +227,7 @@ def alerts_stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = BatchTable(spark, scratch_path(spark, "distinct-alerts"), schemas.ALERT)
     alerts = data.tiered_alerts(data.derive_readings(data.events_stream(spark, sf_dir)))
     twice = alerts.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    jobs.start_append(
-        jobs.distinct_alerts(twice), table, scratch_path(spark, "distinct-checkpoint")
-    ).awaitTermination()
+    jobs.start_distinct(twice, table, scratch_path(spark, "distinct-checkpoint")).awaitTermination()
     return table.read()
 
 
@@ -341,7 +339,7 @@ def alert_severities(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = data.readings(spark, sf_dir)
-    return serving.table_counts(data.alert_table(rows), data.aggregate_table(rows))
+    return serving.table_counts(data.alert_table(rows), data.aggregate_table(rows), as_int=True)
 
 
 @query

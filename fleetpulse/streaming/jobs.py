@@ -12,11 +12,12 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetpulse.functions.times import Clock, at
 from fleetpulse.operators.aggregates import WATERMARK_DELAY, WINDOW, tumbling_aggregates, with_watermark
-from fleetpulse.operators.constraints import AGGREGATE_REQUIRED, split_storable
+from fleetpulse.operators.constraints import AGGREGATE_LENGTHS, AGGREGATE_REQUIRED, ALERT_LENGTHS, ALERT_REQUIRED, split_storable
 from fleetpulse.operators.merge import insert_ignore, with_alert_defaults, with_serial_id
 from fleetpulse.operators.notify import notifications
 from fleetpulse.operators.parse import parse_tire_data
@@ -34,6 +35,13 @@ def every(interval: str) -> dict:
     return {"processingTime": interval}
 
 
+def rejected_table(table: BatchTable) -> BatchTable:
+    """Where rows that a table does not take are kept, with the reason."""
+    fields = [f for f in table.schema.fields if f.name not in ("id", "is_resolved", "created_at")]
+    schema = T.StructType([*fields, T.StructField("reason", T.StringType())])
+    return BatchTable(table.spark, f"{table.path}-rejected", schema)
+
+
 def store_alerts(
     alerts: DataFrame,
     batch_id: int,
@@ -49,20 +57,24 @@ def store_alerts(
     The batch's own folder is left out of the stored keys, or a replay would
     reject its own rows. ``ids_carry_time`` says that equal ids imply equal
     event times, as for rule-made ids; then only the stored days that the
-    batch touches are compared. ``serial`` numbers the rows.
+    batch touches are compared. ``serial`` numbers the rows. Alerts without a
+    required value, or with too long a text, go to ``rejected_table``.
     """
     by_day = ids_carry_time and table.day_of is not None
     keep = by_day and not alerts.is_cached
     if keep:
         alerts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        split = split_storable(alerts, ALERT_REQUIRED, ALERT_LENGTHS)
+        rejected_table(table).append(split.rejected, batch_id, writer)
+        alerts_in = split.valid
         days = None
         if by_day:
             day = F.to_date(table.day_of)
-            days = tuple(alerts.agg(F.min(day), F.max(day)).first())
+            days = tuple(alerts_in.agg(F.min(day), F.max(day)).first())
         own = (writer, batch_id)
         stored = table.read(without=own, days=days if days and days[0] is not None else None)
-        fresh = with_alert_defaults(insert_ignore(alerts, stored, "alert_id", arrival), clock)
+        fresh = with_alert_defaults(insert_ignore(alerts_in, stored, "alert_id", arrival), clock)
         if serial:
             highest = table.read(without=own).agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
             fresh = with_serial_id(fresh, ["timestamp", "alert_id"], start=highest)
@@ -84,9 +96,12 @@ def store_aggregates(
 ) -> None:
     """Plain append of one batch of windows; a replay replaces the batch.
 
-    Windows that lack a required value stay out, as a NOT NULL column demands.
+    Windows that lack a required value go to ``rejected_table``, as a NOT NULL
+    column demands.
     """
-    stamped = split_storable(rows, AGGREGATE_REQUIRED).valid.withColumn("created_at", at(clock))
+    split = split_storable(rows, AGGREGATE_REQUIRED, AGGREGATE_LENGTHS)
+    rejected_table(table).append(split.rejected, batch_id, writer)
+    stamped = split.valid.withColumn("created_at", at(clock))
     if serial:
         highest = table.read(without=(writer, batch_id)).agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
         stamped = with_serial_id(stamped, ["window_start", "sensor_id", "vehicle_id"], start=highest)
@@ -141,9 +156,17 @@ def start_alerts(
     return _start(apply_rules(readings, rule_set), write, checkpoint, trigger)
 
 
-def distinct_alerts(alerts: DataFrame, time_col: str = "timestamp", delay: str = WATERMARK_DELAY) -> DataFrame:
-    """Repeats of an alert id dropped with state bounded by the watermark."""
-    return alerts.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(["alert_id"])
+def store_distinct(alerts: DataFrame, batch_id: int, table: BatchTable, writer: str = "distinct") -> None:
+    """Insert-ignore of one batch by alert id, however late an alert is; without an id it is refused."""
+    stored = table.read(without=(writer, batch_id))
+    table.append(insert_ignore(alerts, stored, "alert_id"), batch_id, writer)
+
+
+def start_distinct(
+    alerts: DataFrame, table: BatchTable, checkpoint: str, trigger: dict = AVAILABLE_NOW, writer: str = "distinct"
+) -> StreamingQuery:
+    """Alerts stream to a table that holds each alert id once. No lateness limit."""
+    return _start(alerts, lambda batch, batch_id: store_distinct(batch, batch_id, table, writer), checkpoint, trigger)
 
 
 def start_append(

@@ -4,6 +4,7 @@ import json
 
 import pytest
 from helpers import alerts, readings, vehicles, write_ordered
+from pyspark.sql import functions as F
 
 from fleetpulse.functions import schemas
 from fleetpulse.operators import parse, rules, serving
@@ -94,10 +95,32 @@ def test_repeats_across_batches_are_dropped(spark, tmp_path):
     folder = write_ordered(frames, tmp_path / "in")
     source = spark.readStream.schema(schemas.ALERT).option("maxFilesPerTrigger", 1).parquet(folder)
     table = BatchTable(spark, str(tmp_path / "out"), schemas.ALERT)
-    jobs.start_append(jobs.distinct_alerts(source), table, str(tmp_path / "cp")).awaitTermination()
+    jobs.start_distinct(source, table, str(tmp_path / "cp")).awaitTermination()
     assert sorted(r.alert_id for r in table.read().collect()) == ["a", "b", "c"]
 
 
+def test_first_alerts_are_kept_however_late(spark, tmp_path):
+    seconds = [("a", 100), ("b", 200), ("late", 50), ("b", 200), ("d", 300)]
+    folder = write_ordered([alerts(spark, [(i, "V001", s, "HIGH")]) for i, s in seconds], tmp_path / "in")
+    source = spark.readStream.schema(schemas.ALERT).option("maxFilesPerTrigger", 1).parquet(folder)
+    table = BatchTable(spark, str(tmp_path / "out"), schemas.ALERT)
+    query = jobs.start_distinct(source, table, str(tmp_path / "cp"))
+    query.awaitTermination()
+    assert sorted(r.alert_id for r in table.read().collect()) == ["a", "b", "d", "late"]
+    assert query.lastProgress["batchId"] >= 3
+
+
+def test_alerts_that_the_table_refuses_are_kept_apart(spark, tmp_path):
+    batch = alerts(spark, [("a", "V001", 0, "HIGH"), ("b", "V001", 1, "S" * 21), ("c", "V001", 2, None)])
+    batch = batch.unionByName(alerts(spark, [("d", "V001", 3, "HIGH")]).withColumn("timestamp", F.lit(None).cast("timestamp")))
+    table = BatchTable(spark, str(tmp_path / "alerts"), schemas.STORED_ALERT, day_of="timestamp")
+    for batch_id in range(3):
+        jobs.store_alerts(batch, batch_id, table, ids_carry_time=True)
+    assert [r.alert_id for r in table.read().collect()] == ["a"]
+    first = jobs.rejected_table(table).read().filter("alert_id IS NOT NULL").select("alert_id", "reason").distinct().collect()
+    assert sorted(map(tuple, first)) == [("b", "severity is longer than 20"), ("c", "severity is null"), ("d", "timestamp is null")]
+
+
 def test_alert_job_fans_out_and_insert_ignores(spark, tmp_path):
     one = readings(spark, [("V001-FL", 0, 170.0, 70.0), ("V001-FR", 0, 250.0, 99.0), ("V001-RL", 0, 250.0, 70.0)]).drop("ts")
     two = readings(spark, [("V001-FL", 0, 170.0, 70.0), ("V001-RR", 1, 190.0, 70.0)]).drop("ts")

@@ -14,8 +14,7 @@ def test_one_decimal_equals_exact_rounding(spark):
     values += [rng.uniform(-1e6, 1e6) for _ in range(5000)]
     values += [rng.uniform(0, 1e13) for _ in range(2000)]
     values += [n / 20 + d for n in range(0, 2000) for d in (1e-13, -1e-13)]
-    values = [v for v in values if str(v) != "-0.0"]
-    values += [1e14, 123456789012345680.0, float("inf"), float("-inf"), float("nan")]
+    values += [-0.0, 1e14, 123456789012345680.0, float("inf"), float("-inf"), float("nan")]
     rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", one_decimal("x").alias("t"))
     wrong = [(r.x, r.t, f"{r.x:.1f}") for r in rows.collect() if r.t != f"{r.x:.1f}"]
     assert wrong == []
