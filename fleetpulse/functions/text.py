@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fleetpulse.functions.times import DAY_MICROS, utc_day
+
 # Far beyond any measure; from here on 20*x leaves the exact integers of a
 # double, and Java's own formatting is used.
 _EXACT_LIMIT = 1e14
@@ -37,10 +39,20 @@ def one_decimal(column: str) -> Column:
 
 
 def iso_timestamp(ts: Column) -> Column:
-    """ISO-8601 text without zone; the fraction is left out when it is zero."""
-    fraction = F.date_format(ts, "SSSSSS")
-    seconds = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    return F.when(fraction == "000000", seconds).otherwise(F.concat(seconds, F.lit("."), fraction))
+    """ISO-8601 text in UTC, without zone; the fraction is left out when it is zero.
+
+    The text does not depend on the session's zone.
+    """
+    micros = F.pmod(F.unix_micros(ts), F.lit(DAY_MICROS))
+
+    def part(unit: int, size: int, digits: int) -> Column:
+        value = F.pmod(F.call_function("div", micros, F.lit(unit)), F.lit(size))
+        return F.lpad(value.cast("string"), digits, "0")
+
+    hours, minutes, seconds = part(3_600_000_000, 24, 2), part(60_000_000, 60, 2), part(1_000_000, 60, 2)
+    whole = F.concat(utc_day(ts).cast("string"), F.lit("T"), hours, F.lit(":"), minutes, F.lit(":"), seconds)
+    fraction = part(1, 1_000_000, 6)
+    return F.when(fraction == "000000", whole).otherwise(F.concat(whole, F.lit("."), fraction))
 
 
 def or_none_text(text: Column) -> Column:

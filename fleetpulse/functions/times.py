@@ -25,6 +25,16 @@ def from_epoch_seconds(seconds: Column) -> Column:
     return F.timestamp_micros(F.round(seconds.try_cast("double") * F.lit(1e6)).try_cast("bigint"))
 
 
+DAY_MICROS = 86_400_000_000
+
+
+def utc_day(ts: Column) -> Column:
+    """Calendar day of an instant in UTC, whatever the session's zone."""
+    micros = F.unix_micros(ts)
+    days = F.call_function("div", micros - F.pmod(micros, F.lit(DAY_MICROS)), F.lit(DAY_MICROS))
+    return F.date_add(F.date_from_unix_date(F.lit(0)), days.cast("int"))
+
+
 def parse_timestamp_text(text: Column) -> Column:
     """Text to timestamp; unreadable text becomes NULL."""
     return F.try_to_timestamp(text)

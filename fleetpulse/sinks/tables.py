@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetpulse.functions.times import Clock, at
+from fleetpulse.functions.times import Clock, at, utc_day
 from fleetpulse.session import scratch_path
 
 
@@ -49,7 +49,7 @@ class BatchTable:
         if self.day_of is None:
             out.write.mode("overwrite").parquet(target)
         else:
-            days = out.withColumn("day", F.to_date(self.day_of))
+            days = out.withColumn("day", utc_day(F.col(self.day_of)))
             if not clustered:
                 days = days.repartitionByRange("day", F.xxhash64(*self.schema.names))
             days.write.mode("overwrite").partitionBy("day").parquet(target)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetpulse.functions.times import Clock, at
+from fleetpulse.functions.times import Clock, at, utc_day
 from fleetpulse.operators.aggregates import WATERMARK_DELAY, WINDOW, tumbling_aggregates, with_watermark
 from fleetpulse.operators.constraints import AGGREGATE_LENGTHS, AGGREGATE_REQUIRED, ALERT_LENGTHS, ALERT_REQUIRED, split_storable
 from fleetpulse.operators.merge import insert_ignore, with_alert_defaults, with_serial_id
@@ -70,7 +70,7 @@ def store_alerts(
         alerts_in = split.valid
         days = None
         if by_day:
-            day = F.to_date(table.day_of)
+            day = utc_day(F.col(table.day_of))
             days = tuple(alerts_in.agg(F.min(day), F.max(day)).first())
         own = (writer, batch_id)
         stored = table.read(without=own, days=days if days and days[0] is not None else None)

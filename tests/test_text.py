@@ -1,9 +1,11 @@
 import random
+from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from fleetpulse.functions.text import iso_timestamp, one_decimal
-from fleetpulse.functions.times import event_time_whole_seconds, from_epoch_seconds, parse_timestamp_text
+from fleetpulse.functions.times import event_time_whole_seconds, from_epoch_seconds, parse_timestamp_text, utc_day
 
 
 def test_one_decimal_equals_exact_rounding(spark):
@@ -31,6 +33,21 @@ def test_iso_timestamp_omits_zero_fraction(spark):
     assert texts == ["2024-01-01T00:00:00", "2024-01-01T00:00:00.500000", "2023-12-31T23:59:59.001000"]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_utc_text_and_day_in_any_session_zone(spark, zone):
+    millis = [1704067200000, 1704067199999, -1, 0, 1710054000500, 4102444799001]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    rows = spark.createDataFrame([(m,) for m in millis], "ms long").withColumn("ts", F.timestamp_millis("ms"))
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        found = rows.select("ms", iso_timestamp(F.col("ts")).alias("t"), utc_day(F.col("ts")).cast("string").alias("d")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    for r in found:
+        exact = datetime(1970, 1, 1) + timedelta(milliseconds=r.ms)
+        assert (r.t, r.d) == (exact.isoformat(), exact.date().isoformat())
+
+
 def test_time_conversions(spark):
     row = spark.createDataFrame([(1704067200999, "1704067200.25", "2024-01-01T00:00:01")], "ms long, s string, t string")
     out = row.select(
