@@ -106,4 +106,7 @@ NOTIFICATION = T.StructType(
     ]
 )
 
+# Messages that could not be read.
+QUARANTINE = _struct(("value", _STR), ("reason", _STR))
+
 TOPIC = _struct(("key", _STR), ("value", _STR))

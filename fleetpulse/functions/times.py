@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -56,6 +56,13 @@ def before(clock: Clock, interval: str) -> Column:
     return at(clock) - F.expr(f"INTERVAL {interval}")
 
 
+def day_before(instant: datetime, interval: timedelta) -> date:
+    """UTC day of the instant that lies ``interval`` before; without a zone it is UTC."""
+    if instant.tzinfo is None:
+        instant = instant.replace(tzinfo=timezone.utc)
+    return (instant.astimezone(timezone.utc) - interval).date()
+
+
 def naive(ts: Column) -> Column:
     """Timestamp without zone, for engines that keep UTC wall-clock times."""
     return ts.cast("timestamp_ntz")

@@ -21,13 +21,14 @@ def first_per_key(rows: DataFrame, key: str, arrival: Sequence[str]) -> DataFram
     return rows.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") == 1).drop("_nth")
 
 
-def insert_ignore(new: DataFrame, stored: DataFrame, key: str = "alert_id", arrival: Sequence[str] = ()) -> DataFrame:
+def insert_ignore(new: DataFrame, stored: DataFrame, arrival: Sequence[str], key: str = "alert_id") -> DataFrame:
     """Rows of ``new`` that a unique key lets in; a NULL key is refused.
 
-    ``arrival`` orders repeats of a key within ``new``.
+    ``arrival`` names the columns by which repeats of a key within ``new`` came
+    in, such as a topic position; the first one wins.
     """
     keyed = new.filter(F.col(key).isNotNull())
-    first = first_per_key(keyed, key, arrival or [name for name in new.columns if name != key])
+    first = first_per_key(keyed, key, arrival)
     return first.join(stored.select(key), key, "left_anti").select(*new.columns)
 
 

@@ -65,37 +65,61 @@ def has_fields(value: Column, names: Iterable[str]) -> Column:
     return F.size(F.array_intersect(F.map_keys(json_fields(value)), F.array(*wanted))) == len(wanted)
 
 
-def parse_strict(messages: DataFrame, value: str = "value") -> Parsed:
-    """Readings whose five required keys are present.
+def judge_strict(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Every message with its reading, and the reason why it is not one (NULL if it is).
 
-    A null or non-numeric measure passes as NULL. Keys are listed (a second
-    parse) only for messages in which some required field came out NULL.
+    A reading has the five required keys; a null or non-numeric measure passes
+    as NULL. Keys are listed (a second parse) only for messages in which some
+    required field came out NULL.
     """
-    carried = _carried(messages, value)
-    staged = with_object(messages, value, schemas.RAW_STRICT)
     complete = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in schemas.REQUIRED_FIELDS])
-    named = F.when(complete, F.lit(True)).when(
-        F.col("_object"), F.coalesce(has_fields(F.col(value), schemas.REQUIRED_FIELDS), F.lit(False))
+    named = F.coalesce(has_fields(F.col(value), schemas.REQUIRED_FIELDS), F.lit(False))
+    reason = F.when(complete, F.lit(None)).when(F.col("_object").isNull(), MALFORMED).when(~named, MISSING_FIELD)
+    return _judged(messages, value, with_object(messages, value, schemas.RAW_STRICT), reason, _reading_columns())
+
+
+def judge_tolerant(messages: DataFrame, value: str = "value") -> DataFrame:
+    """As ``judge_strict``, but a reading has numbers or numeric text as measures."""
+    readable = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in schemas.REQUIRED_FIELDS])
+    reason = F.when(F.col("_object").isNull(), MALFORMED).when(~readable, BAD_VALUE)
+    staged = with_object(messages, value, schemas.RAW_TOLERANT, convert=_tolerant)
+    return _judged(messages, value, staged, reason, _reading_columns())
+
+
+def judge_tire_data(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Ingest messages (epoch-seconds time, number or text), judged."""
+    staged = with_object(messages, value, schemas.TIRE_DATA_MESSAGE).withColumn(
+        "timestamp", from_epoch_seconds(F.col("timestamp"))
     )
-    reason = F.when(F.col("_object").isNull(), F.lit(MALFORMED)).otherwise(F.lit(MISSING_FIELD))
+    usable = F.col("tire_id").isNotNull() & F.col("timestamp").isNotNull()
+    reason = F.when(F.col("_object").isNull(), MALFORMED).when(~usable, BAD_VALUE)
+    return _judged(messages, value, staged, reason, schemas.TIRE_DATA_MESSAGE.names)
+
+
+def judge_alert_messages(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Alert topic messages, judged; the time stays the text that was published."""
+    reason = F.when(F.col("_object").isNull(), MALFORMED)
+    staged = with_object(messages, value, schemas.ALERT_MESSAGE)
+    return _judged(messages, value, staged, reason, schemas.ALERT_MESSAGE.names)
+
+
+def split(judged: DataFrame) -> Parsed:
+    """Judged messages as readable rows and a quarantine that keeps the columns carried along."""
+    carried = judged.columns[: judged.columns.index("value")]
     return Parsed(
-        valid=staged.filter(named).select(*carried, *_reading_columns()),
-        quarantine=staged.filter(~F.coalesce(named, F.lit(False))).select(
-            *carried, F.col(value).alias("value"), reason.alias("reason")
-        ),
+        valid=judged.filter("reason IS NULL").drop("value", "reason"),
+        quarantine=judged.filter("reason IS NOT NULL").select(*carried, "value", "reason"),
     )
 
 
+def parse_strict(messages: DataFrame, value: str = "value") -> Parsed:
+    """Readings whose five required keys are present."""
+    return split(judge_strict(messages, value))
+
+
 def parse_tolerant(messages: DataFrame, value: str = "value") -> Parsed:
-    """Readings whose measures are numbers or numeric text; the rest drops."""
-    carried = _carried(messages, value)
-    staged = with_object(messages, value, schemas.RAW_TOLERANT, convert=_tolerant)
-    readable = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in schemas.REQUIRED_FIELDS])
-    reason = F.when(F.col("_object").isNull(), F.lit(MALFORMED)).otherwise(F.lit(BAD_VALUE))
-    return Parsed(
-        valid=staged.filter(readable).select(*carried, *_reading_columns()),
-        quarantine=staged.filter(~readable).select(*carried, F.col(value).alias("value"), reason.alias("reason")),
-    )
+    """Readings whose measures are numbers or numeric text."""
+    return split(judge_tolerant(messages, value))
 
 
 def parse_sql_table(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -111,7 +135,7 @@ def parse_legacy(messages: DataFrame, value: str = "value") -> DataFrame:
 
 def parse_alert_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Alert topic messages; the time stays the text that was published."""
-    return _plain(messages, value, schemas.ALERT_MESSAGE)
+    return split(judge_alert_messages(messages, value)).valid
 
 
 def typed_alerts(alert_messages: DataFrame) -> DataFrame:
@@ -120,12 +144,8 @@ def typed_alerts(alert_messages: DataFrame) -> DataFrame:
 
 
 def parse_tire_data(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Ingest messages with an epoch-seconds time, number or text."""
-    return (
-        _plain(messages, value, schemas.TIRE_DATA_MESSAGE)
-        .withColumn("timestamp", from_epoch_seconds(F.col("timestamp")))
-        .filter(F.col("tire_id").isNotNull() & F.col("timestamp").isNotNull())
-    )
+    """Ingest messages that can be read."""
+    return split(judge_tire_data(messages, value)).valid
 
 
 def with_event_time(readings: DataFrame, ms: str = "ts_ms", ts: str = "ts") -> DataFrame:
@@ -146,6 +166,13 @@ def _plain(messages: DataFrame, value: str, schema: T.StructType) -> DataFrame:
     return objects.select(*_carried(messages, value), *schema.names)
 
 
+def _judged(
+    messages: DataFrame, value: str, staged: DataFrame, reason: Column, columns: list[Column | str]
+) -> DataFrame:
+    carried = _carried(messages, value)
+    return staged.select(*carried, F.col(value).alias("value"), reason.alias("reason"), *columns)
+
+
 def _carried(messages: DataFrame, value: str) -> list[str]:
     return [name for name in messages.columns if name != value]
 

@@ -58,6 +58,7 @@ class RuleSet:
 
     ``emit`` is ``first`` (first hit wins) or ``all`` (one alert per hit).
     ``needs`` lists measures without which a reading raises nothing.
+    ``epoch_time`` publishes the event time as epoch milliseconds.
     """
 
     name: str
@@ -67,6 +68,7 @@ class RuleSet:
     id_with_code: bool = True
     rounded_text: bool = True
     float_limits: bool = False
+    epoch_time: bool = False
 
     def limit_text(self, rule: Rule) -> str:
         return str(float(rule.limit)) if self.float_limits else f"{rule.limit:g}"
@@ -107,8 +109,10 @@ _WIDE = (
     Rule(HIGH_PRESSURE, "pressure_kpa", ABOVE, 300, HIGH),
     Rule(HIGH_TEMPERATURE, "temperature_c", ABOVE, 80, MEDIUM),
 )
-MULTI = RuleSet("multi", _WIDE, emit="all", needs=("pressure_kpa", "temperature_c"), float_limits=True)
-CASE = RuleSet("case", _WIDE, id_with_code=False, rounded_text=False)
+MULTI = RuleSet(
+    "multi", _WIDE, emit="all", needs=("pressure_kpa", "temperature_c"), float_limits=True, epoch_time=True
+)
+CASE = RuleSet("case", _WIDE, id_with_code=False, rounded_text=False, epoch_time=True)
 LEGACY_PSI_LIMIT, LEGACY_TEMPERATURE_LIMIT = 90, 80
 
 

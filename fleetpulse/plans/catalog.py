@@ -6,6 +6,7 @@ Each runs over whole tables. Times are returned without zone.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +14,13 @@ from pyspark.sql import functions as F
 
 from fleetpulse.functions import schemas
 from fleetpulse.functions.text import iso_timestamp
-from fleetpulse.functions.times import event_time_whole_seconds, naive
+from fleetpulse.functions.times import day_before, event_time_whole_seconds, naive
 from fleetpulse.operators import aggregates, constraints, merge, notify, parse, rules, serving
 from fleetpulse.plans import dataset as data
 from fleetpulse.session import scratch_path, use_utc
 from fleetpulse.sinks.tables import BatchTable, VersionedTable, append_rows
-from fleetpulse.sinks.topics import as_messages, write_topic_files
-from fleetpulse.sources.topics import read_topic_files
+from fleetpulse.sinks.topics import alert_messages, as_messages, write_topic_files
+from fleetpulse.sources.topics import ARRIVAL, read_topic_files
 from fleetpulse.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +86,29 @@ def windows_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _json_windows(spark, sf_dir).rejected.select("sensor_id", "window_start", "record_count", "reason")
 
 
+@query
+def short_windows_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows so short that many hold no readable pressure, refused by the table."""
+    table = _aggregate_table(spark)
+    readings = parse.with_event_time(parse.parse_strict(_messages(spark, sf_dir)).valid)
+    windows = aggregates.tumbling_aggregates(readings, length="10 seconds", exact_scale=data.MEASURE_DECIMALS)
+    jobs.store_aggregates(windows, 0, table, clock=data.CLOCK, serial=False)
+    return jobs.rejected_table(table).read().select("sensor_id", "window_start", "record_count", "reason")
+
+
+@query
+def windows_json_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that arrive in parts, some behind the watermark; the job is started again for every part."""
+    table = _aggregate_table(spark)
+    topic, checkpoint = scratch_path(spark, "raw-topic"), scratch_path(spark, "windows-checkpoint")
+    for part in data.arriving_parts(data.readings(spark, sf_dir)):
+        data.raw_messages(part).select("value").write.mode("append").parquet(topic)
+        jobs.start_json_windows(
+            read_topic_files(spark, topic), table, checkpoint, exact_scale=data.MEASURE_DECIMALS
+        ).awaitTermination()
+    return table.read().select(*serving.AGGREGATE_COLUMNS)
+
+
 # Alert rules
 
 
@@ -176,6 +200,42 @@ def alert_json_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse.parse_alert_messages(messages.select("value"))
 
 
+@query
+def alert_payload_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event time as epoch milliseconds."""
+    alerts = rules.apply_rules(data.measured(data.readings(spark, sf_dir)), rules.CASE)
+    return alert_messages(alerts, rules.CASE).select("value")
+
+
+@query
+def alert_payload_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event time as epoch milliseconds, and when the alert was made."""
+    readings = data.measured(data.readings(spark, sf_dir))
+    alerts = rules.apply_rules(readings, rules.MULTI, clock=data.CLOCK, stamp=True)
+    return alert_messages(alerts, rules.MULTI).select("value")
+
+
+@query
+def alerts_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts that the table refuses, kept with the reason."""
+    table = _alert_table(spark)
+    jobs.store_alerts(
+        data.faulty_alerts(data.readings(spark, sf_dir)), 0, table, ("event_id",), ids_carry_time=True, serial=False
+    )
+    return jobs.rejected_table(table).read().select("alert_id", "alert_type", "severity", "reason")
+
+
+@query
+def alerts_json_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages in parts, with repeats of which the first arrival counts."""
+    return _json_alerts(spark, sf_dir).read().select(*serving.ALERT_COLUMNS)
+
+
+@query
+def alerts_json_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.quarantine_table(_json_alerts(spark, sf_dir)).read()
+
+
 @query
 def alerts_from_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published alerts read back with real timestamps."""
@@ -192,9 +252,9 @@ def alerts_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = sent.withColumn("arrival", F.lit(1)).withColumn("description", F.lit("sent again"))
     repeated = sent.unionByName(again)
     other = rules.apply_rules(data.measured(rows), rules.MULTI)
-    jobs.store_alerts(repeated, 0, table, clock=data.CLOCK, arrival=("arrival",))
+    jobs.store_alerts(repeated, 0, table, ("arrival",), clock=data.CLOCK)
     for _ in range(2):
-        jobs.store_alerts(other, 1, table, clock=data.CLOCK, arrival=("description",), ids_carry_time=True)
+        jobs.store_alerts(other, 1, table, ("description",), clock=data.CLOCK, ids_carry_time=True)
     return table.read()
 
 
@@ -203,7 +263,7 @@ def alerts_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, topic = _alert_table(spark), scratch_path(spark, "alert-topic")
     alerts = data.tiered_alerts(data.readings(spark, sf_dir))
     jobs.fan_out(
-        alerts, 0, table, lambda batch, n: write_topic_files(batch, topic, n), clock=data.CLOCK, serial=False
+        alerts, 0, table, lambda batch, n: write_topic_files(batch, topic, n), ("alert_id",), clock=data.CLOCK, serial=False
     )
     return _both_branches(spark, table, topic)
 
@@ -217,6 +277,7 @@ def alerts_stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
         table,
         lambda batch, n: write_topic_files(batch, topic, n),
         scratch_path(spark, "alerts-checkpoint"),
+        arrival=("event_id",),
     ).awaitTermination()
     return _both_branches(spark, table, topic)
 
@@ -226,8 +287,8 @@ def alerts_stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every alert arrives twice; the stream keeps one."""
     table = BatchTable(spark, scratch_path(spark, "distinct-alerts"), schemas.ALERT)
     alerts = data.tiered_alerts(data.derive_readings(data.events_stream(spark, sf_dir)))
-    twice = alerts.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    jobs.start_distinct(twice, table, scratch_path(spark, "distinct-checkpoint")).awaitTermination()
+    twice = alerts.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    jobs.start_distinct(twice, table, scratch_path(spark, "distinct-checkpoint"), ("copy",)).awaitTermination()
     return table.read()
 
 
@@ -253,6 +314,18 @@ def tire_data_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+@query
+def ingest_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest messages that cannot be read, kept with the reason."""
+    topic = scratch_path(spark, "tire-data-topic")
+    data.faulty_tire_data(data.readings(spark, sf_dir)).write.parquet(topic)
+    table = BatchTable(spark, scratch_path(spark, "tire-data"), schemas.TIRE_DATA, day_of="timestamp")
+    jobs.start_ingest(
+        read_topic_files(spark, topic), table, scratch_path(spark, "tire-data-checkpoint")
+    ).awaitTermination()
+    return jobs.quarantine_table(table).read()
+
+
 @query
 def tire_data_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Direct inserts, the time left out for hot tires, then the full scan."""
@@ -283,15 +356,26 @@ def latest_aggregations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stored_latest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _alert_table(spark)
-    jobs.store_alerts(data.tiered_alerts(data.readings(spark, sf_dir)), 0, table, clock=data.CLOCK)
-    return serving.alert_response(serving.latest_alerts(table.read()))
+    jobs.store_alerts(data.tiered_alerts(data.readings(spark, sf_dir)), 0, table, ("alert_id",), clock=data.CLOCK)
+    return serving.alert_response(serving.latest_alerts(table.newest(serving.LATEST_LIMIT)))
 
 
 @query
 def stored_latest_aggregations(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _aggregate_table(spark)
     jobs.store_aggregates(data.aggregate_table(data.readings(spark, sf_dir)), 0, table, clock=data.CLOCK)
-    return serving.aggregate_response(serving.latest_aggregations(table.read()))
+    return serving.aggregate_response(serving.latest_aggregations(table.newest(serving.LATEST_LIMIT, slack=1)))
+
+
+@query
+def stored_recent_aggregations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last hour up to the newest window, from the days that can hold it."""
+    table = _aggregate_table(spark)
+    jobs.store_aggregates(data.aggregate_table(data.readings(spark, sf_dir)), 0, table, clock=data.CLOCK, serial=False)
+    newest = table.newest(1).agg(F.unix_seconds(F.max("window_start"))).first()[0]
+    as_of = datetime.fromtimestamp(newest, timezone.utc)
+    recent = table.read(since=day_before(as_of, timedelta(hours=1)))
+    return serving.recent_aggregations(recent, as_of).select(*serving.AGGREGATE_COLUMNS)
 
 
 @query
@@ -381,7 +465,7 @@ def notifications_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_messages(data.tiered_alerts(data.readings(spark, sf_dir))).write.parquet(topic)
     outbox = BatchTable(spark, scratch_path(spark, "outbox"), schemas.NOTIFICATION)
     jobs.start_notifications(
-        parse.parse_alert_messages(read_topic_files(spark, topic)),
+        read_topic_files(spark, topic),
         lambda: data.vehicles(spark, sf_dir),
         outbox,
         scratch_path(spark, "outbox-checkpoint"),
@@ -415,6 +499,23 @@ def _json_windows(spark: SparkSession, sf_dir: str) -> constraints.Split:
     return constraints.split_storable(windows, constraints.AGGREGATE_REQUIRED, constraints.AGGREGATE_LENGTHS)
 
 
+def _json_alerts(spark: SparkSession, sf_dir: str) -> BatchTable:
+    table = _alert_table(spark)
+    topic, published = scratch_path(spark, "raw-topic"), scratch_path(spark, "alert-topic")
+    checkpoint = scratch_path(spark, "alerts-checkpoint")
+    for part in data.arriving_parts(data.readings(spark, sf_dir)):
+        data.raw_messages(data.with_repeats(part)).select("value").write.mode("append").parquet(topic)
+        jobs.start_json_alerts(
+            read_topic_files(spark, topic, positions=True),
+            rules.TIERED,
+            table,
+            lambda batch, n: write_topic_files(batch, published, n, rule_set=rules.TIERED),
+            checkpoint,
+            ARRIVAL,
+        ).awaitTermination()
+    return table
+
+
 def _both_branches(spark: SparkSession, table: BatchTable, topic: str) -> DataFrame:
     """Which alerts reached the table and which the topic."""
     published = parse.parse_alert_messages(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,8 @@ REGISTERED_AT = datetime(2024, 1, 1, tzinfo=timezone.utc)
 CLOCK = datetime(2024, 6, 1, 12, 0, tzinfo=timezone.utc)
 MEASURE_DECIMALS = 2
 RESOLUTION_DELAY = timedelta(seconds=2)
+PARTS = 4
+LATE_BY = 2
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +100,36 @@ def raw_messages(rows: DataFrame) -> DataFrame:
     )
 
 
+def arriving_parts(rows: DataFrame) -> list[DataFrame]:
+    """The rows in the order of arrival: spans of ``event_id``, with some rows ``LATE_BY`` parts late."""
+    size = rows.agg(F.coalesce(F.max("event_id"), F.lit(0)) + 1).first()[0]
+    event_id = F.col("event_id")
+
+    def span(n: int) -> Column:
+        return (event_id >= -(-n * size // PARTS)) & (event_id < -(-(n + 1) * size // PARTS))
+
+    late = (event_id % 97 == 5) & (event_id < -(-(PARTS - LATE_BY) * size // PARTS))
+    return [rows.filter((span(n) & ~late) | (span(n - LATE_BY) & late)) for n in range(PARTS)]
+
+
+def with_repeats(rows: DataFrame) -> DataFrame:
+    """Some readings are followed by a repeat with the same time and a very low pressure."""
+    copies = F.explode(F.expr("CASE WHEN event_id % 50 = 7 THEN array(0, 1) ELSE array(0) END"))
+    pressure = F.expr("CASE WHEN copy = 1 THEN 150D ELSE pressure_kpa END")
+    return rows.withColumn("copy", copies).withColumn("pressure_kpa", pressure).drop("copy")
+
+
+def faulty_alerts(rows: DataFrame) -> DataFrame:
+    """Tiered alerts, some without a severity and some with too long a type."""
+    alerts = tiered_alerts(rows, carry=("event_id",))
+    return alerts.withColumns(
+        {
+            "severity": F.expr("CASE WHEN event_id % 10 <> 3 THEN severity END"),
+            "alert_type": F.expr("CASE WHEN event_id % 10 = 7 THEN repeat(alert_type, 5) ELSE alert_type END"),
+        }
+    )
+
+
 def measured(rows: DataFrame) -> DataFrame:
     """What the alert rules read."""
     return once(rows, "event_id", "sensor_id", "vehicle_id", "ts_ms", "pressure_kpa", "temperature_c")
@@ -117,6 +149,18 @@ def tire_data_messages(rows: DataFrame) -> DataFrame:
     )
 
 
+def faulty_tire_data(rows: DataFrame) -> DataFrame:
+    """Ingest messages of which some cannot be read."""
+    return rows.selectExpr(
+        """CASE event_id % 53
+             WHEN 0 THEN '{bad'
+             WHEN 1 THEN concat('{"pressure":', pressure_kpa, ',"timestamp":', ts_ms, '}')
+             WHEN 2 THEN concat('{"tire_id":"', sensor_id, '","timestamp":"soon"}')
+             ELSE concat('{"tire_id":"', sensor_id, '","pressure":', pressure_kpa, ',"timestamp":', event_id, '}')
+           END AS value"""
+    )
+
+
 def tiered_alerts(rows: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     return apply_rules(measured(rows), TIERED, carry=carry)
 

@@ -60,6 +60,18 @@ _MULTI = """, multi AS (
   FROM readings WHERE temperature_c > 80
 )"""
 
+_CASE = """, cases AS (
+SELECT concat(sensor_id, '_', ts_ms) AS alert_id, sensor_id, vehicle_id, ts AS "timestamp",
+  -- Fixed values: names, levels and texts of the three rules.
+  ['LOW_PRESSURE', 'HIGH_PRESSURE', 'HIGH_TEMPERATURE'][hit] AS alert_type, ['HIGH', 'HIGH', 'MEDIUM'][hit] AS severity,
+  concat(['Pressure ', 'Pressure ', 'Temperature '][hit], CAST(found AS VARCHAR),
+    [' kPa is below threshold 180 kPa', ' kPa is above threshold 300 kPa', '°C is above threshold 80°C'][hit]) AS description,
+  found AS triggering_value
+FROM (SELECT *, CASE WHEN hit < 3 THEN pressure_kpa ELSE temperature_c END AS found
+      FROM (SELECT *, list_position([pressure_kpa < 180, pressure_kpa > 300, temperature_c > 80], true) AS hit FROM readings))
+WHERE hit > 0
+)"""
+
 _ALERT_COLUMNS = "alert_id, sensor_id, vehicle_id, \"timestamp\", alert_type, severity, description, triggering_value"
 
 _ALERT_TABLE = f""", alert_table AS (
@@ -134,6 +146,47 @@ _JSON_WINDOWS = """, json_aggs AS (
   GROUP BY sensor_id, vehicle_id, w
 )"""
 
+_JSON_ALERTS = (
+    _READINGS
+    + ", readable AS (SELECT * FROM readings WHERE event_id % 101 NOT IN (0, 1, 3, 4))"
+    + _tiered("readable")
+    + f"""
+SELECT {_ALERT_COLUMNS} FROM tiered
+UNION ALL
+SELECT concat(sensor_id, '-LP-', ts_ms), sensor_id, vehicle_id, ts, 'LOW_PRESSURE', 'HIGH',
+  'Pressure 150.0 kPa is below threshold 200 kPa', 150.0::DOUBLE
+FROM readable r WHERE event_id % 50 = 7 AND NOT EXISTS (SELECT 1 FROM tiered t WHERE t.alert_id = concat(r.sensor_id, '-LP-', r.ts_ms))"""
+)
+
+# A row that is sent late counts only if its window was still open when it came.
+_WINDOWS_JSON_STREAM = (
+    _READINGS
+    + _MESSAGES
+    + f""", sent AS (
+  SELECT *, CASE WHEN event_id % 97 = 5 AND part < 2 THEN part + 2 ELSE part END AS sent_in
+  FROM (SELECT *, event_id * 4 // (SELECT max(event_id) + 1 FROM events) AS part,
+          CASE WHEN fault NOT IN (2, 3) THEN pressure_kpa END AS p, time_bucket(INTERVAL 1 MINUTE, ts) AS w
+        FROM messages) WHERE fault NOT IN (0, 1, 4)
+), marks AS (
+  SELECT n AS sent_in, (SELECT max(ts) - INTERVAL 5 SECOND FROM sent WHERE sent_in < n) AS mark FROM range(5) t(n)
+), kept AS (
+  SELECT s.* FROM sent s JOIN marks m ON s.sent_in = m.sent_in WHERE mark IS NULL OR w + INTERVAL 1 MINUTE > mark
+), stream_aggs AS (
+  SELECT sensor_id, vehicle_id, w AS window_start, w + INTERVAL 1 MINUTE AS window_end, '1m' AS window_size,
+    CAST(sum(CAST(round(p * 100) AS BIGINT)) AS DOUBLE) / 100 / count(p) AS avg_pressure,
+    CAST(sum(CAST(round(temperature_c * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*) AS avg_temperature,
+    min(p) AS min_pressure, max(p) AS max_pressure,
+    min(temperature_c) AS min_temperature, max(temperature_c) AS max_temperature, count(*) AS record_count
+  FROM kept GROUP BY sensor_id, vehicle_id, w
+)
+SELECT {_AGGREGATE_COLUMNS} FROM stream_aggs
+WHERE avg_pressure IS NOT NULL AND window_end <= (SELECT mark FROM marks WHERE sent_in = 4)"""
+)
+
+_PAYLOAD = """concat('{"alert_id":"', alert_id, '","sensor_id":"', sensor_id, '","vehicle_id":"', vehicle_id,
+  '","timestamp":', epoch_ms("timestamp"), ',"alert_type":"', alert_type, '","severity":"', severity,
+  '","description":"', description, '","triggering_value":', triggering_value"""
+
 _AGGREGATE_ID = "row_number() OVER (ORDER BY window_start, sensor_id, vehicle_id)"
 
 _CLOCK = "TIMESTAMP '2024-06-01 12:00:00'"
@@ -148,6 +201,7 @@ def oracles() -> dict[str, str]:
     reading_out = "sensor_id, vehicle_id, ts_ms"
     battery = "CASE WHEN fault IN (1, 2, 3) THEN NULL ELSE battery_voltage END AS battery_voltage"
     strict_pressure = "CASE WHEN fault IN (1, 2, 3) THEN NULL ELSE pressure_kpa END AS pressure_kpa"
+    case = _READINGS + _CASE
     return {
         "tumble_agg_1m": windows + f" SELECT {_AGGREGATE_COLUMNS} FROM aggs",
         "tumble_agg_1m_stream": windows
@@ -165,19 +219,35 @@ def oracles() -> dict[str, str]:
         + " SELECT sensor_id, window_start, record_count,"
         " 'avg_pressure is null; min_pressure is null; max_pressure is null' AS reason"
         " FROM json_aggs WHERE avg_pressure IS NULL",
+        "short_windows_rejected": messages
+        + " SELECT sensor_id, w AS window_start, count(*) AS record_count,"
+        " 'avg_pressure is null; min_pressure is null; max_pressure is null' AS reason"
+        " FROM (SELECT *, time_bucket(INTERVAL 10 SECOND, ts) AS w FROM messages WHERE fault NOT IN (0, 1, 4))"
+        " GROUP BY sensor_id, vehicle_id, w HAVING count(*) FILTER (fault NOT IN (2, 3)) = 0",
+        "windows_json_stream": _WINDOWS_JSON_STREAM,
         "alerts_tiered": tiered + f" SELECT {_ALERT_COLUMNS}, iso_time FROM tiered",
         "alerts_multi": _READINGS + _MULTI + f" SELECT {_ALERT_COLUMNS}, {_CLOCK} AS processed_at FROM multi",
-        "alerts_case": _READINGS
+        "alerts_case": case + f" SELECT {_ALERT_COLUMNS} FROM cases",
+        "alert_payload_case": case + f" SELECT {_PAYLOAD}, '}}') AS value FROM cases",
+        "alert_payload_multi": _READINGS
+        + _MULTI
+        + f""" SELECT {_PAYLOAD}, ',"processed_at":"2024-06-01T12:00:00"}}') AS value FROM multi""",
+        "alerts_rejected": tiered
         + """
-SELECT concat(sensor_id, '_', ts_ms) AS alert_id, sensor_id, vehicle_id, ts AS "timestamp",
-  -- Fixed values: names, levels and texts of the three rules.
-  ['LOW_PRESSURE', 'HIGH_PRESSURE', 'HIGH_TEMPERATURE'][hit] AS alert_type, ['HIGH', 'HIGH', 'MEDIUM'][hit] AS severity,
-  concat(['Pressure ', 'Pressure ', 'Temperature '][hit], CAST(found AS VARCHAR),
-    [' kPa is below threshold 180 kPa', ' kPa is above threshold 300 kPa', '°C is above threshold 80°C'][hit]) AS description,
-  found AS triggering_value
-FROM (SELECT *, CASE WHEN hit < 3 THEN pressure_kpa ELSE temperature_c END AS found
-      FROM (SELECT *, list_position([pressure_kpa < 180, pressure_kpa > 300, temperature_c > 80], true) AS hit FROM readings))
-WHERE hit > 0""",
+SELECT alert_id, CASE WHEN event_id % 10 = 7 THEN repeat(alert_type, 5) ELSE alert_type END AS alert_type,
+  CASE WHEN event_id % 10 <> 3 THEN severity END AS severity,
+  CASE WHEN event_id % 10 = 3 THEN 'severity is null' ELSE 'alert_type is longer than 50' END AS reason
+FROM tiered WHERE event_id % 10 IN (3, 7)""",
+        "alerts_json_stream": _JSON_ALERTS,
+        "alerts_json_stream_quarantine": messages
+        + " SELECT value, CASE WHEN fault IN (1, 3) THEN 'bad_value' ELSE 'malformed' END AS reason"
+        " FROM messages, range(2) c(copy) WHERE fault IN (0, 1, 3, 4) AND (copy = 0 OR event_id % 50 = 7)",
+        "ingest_rejected": _READINGS
+        + """
+SELECT CASE event_id % 53 WHEN 0 THEN '{bad' WHEN 1 THEN concat('{"pressure":', pressure_kpa, ',"timestamp":', ts_ms, '}')
+    ELSE concat('{"tire_id":"', sensor_id, '","timestamp":"soon"}') END AS value,
+  CASE event_id % 53 WHEN 0 THEN 'malformed' ELSE 'bad_value' END AS reason
+FROM readings WHERE event_id % 53 < 3""",
         "alerts_legacy_psi": _READINGS
         + ' SELECT vehicle_id, tire_position, pressure_psi, temperature_c, true AS alert, ts_ms AS "timestamp"'
         " FROM readings WHERE pressure_psi < 90 OR temperature_c > 80",
@@ -256,6 +326,9 @@ ORDER BY "timestamp" DESC, alert_id LIMIT 20""",
 SELECT {_AGGREGATE_COLUMNS}, id, {_CLOCK} AS created_at
 FROM (SELECT *, {_AGGREGATE_ID} AS id FROM aggs)
 ORDER BY window_end DESC, sensor_id, vehicle_id LIMIT 20""",
+        "stored_recent_aggregations": windows
+        + f" SELECT {_AGGREGATE_COLUMNS} FROM aggs"
+        " WHERE window_start >= (SELECT max(window_start) - INTERVAL 1 HOUR FROM aggs)",
         "vehicle_latest_metrics": _READINGS
         + """
 SELECT vehicle_id, sensor_id, ts AS "timestamp", pressure_kpa, temperature_c, CAST(rank AS INT) AS rank

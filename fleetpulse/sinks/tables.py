@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,9 +32,10 @@ def materialize(rows: DataFrame, label: str) -> DataFrame:
 class BatchTable:
     """Append-only table with one folder per writer and batch.
 
-    A replayed batch replaces its own folder, so appending is idempotent.
-    Rows with a day column are laid out by day as well, which lets readers
-    prune.
+    A replayed batch replaces its own folder, so appending is idempotent. With
+    ``day_of`` the day comes first in the layout, so that a reader opens and
+    lists only the days it asks for. There a replay replaces the days it holds,
+    which are the same ones, as a stream repeats the same input.
     """
 
     spark: SparkSession
@@ -45,46 +50,98 @@ class BatchTable:
         a hash: a task then writes few days, and a hot day has many tasks.
         """
         out = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-        target = f"{self.path}/writer={writer}/batch_id={batch_id}"
         if self.day_of is None:
-            out.write.mode("overwrite").parquet(target)
-        else:
-            days = out.withColumn("day", utc_day(F.col(self.day_of)))
-            if not clustered:
-                days = days.repartitionByRange("day", F.xxhash64(*self.schema.names))
-            days.write.mode("overwrite").partitionBy("day").parquet(target)
-
-    def read(self, without: tuple[str, int] | None = None, days: tuple | None = None) -> DataFrame:
-        """All rows; ``without`` leaves one (writer, batch) out, ``days`` prunes."""
-        rows = self._scan()
+            out.write.mode("overwrite").parquet(f"{self.path}/writer={writer}/batch_id={batch_id}")
+            return
+        days = out.withColumn("day", utc_day(F.col(self.day_of)))
+        if not clustered:
+            days = days.repartitionByRange("day", F.xxhash64(*self.schema.names))
+        placed = days.withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id)})
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "day", "writer", "batch_id"
+        ).parquet(self.path)
+
+    def read(
+        self,
+        without: tuple[str, int] | None = None,
+        only: tuple[str, int] | None = None,
+        days: Iterable[date] | None = None,
+        since: date | None = None,
+    ) -> DataFrame:
+        """All rows, or less.
+
+        ``without`` leaves one (writer, batch) out and ``only`` keeps one.
+        ``days`` and ``since`` open just those day folders; rows without a time
+        are in none of them.
+        """
+        folders = [self.path]
+        if days is not None or since is not None:
+            wanted = None if days is None else set(days)
+            kept = [d for d in self.stored_days() if (wanted is None or d in wanted) and (since is None or d >= since)]
+            folders = [f"{self.path}/day={d}" for d in kept]
+        rows = self._scan(folders) if folders else None
         if rows is None:
             return self.spark.createDataFrame([], self.schema)
         if without is not None:
             rows = rows.filter((F.col("writer") != without[0]) | (F.col("batch_id") != without[1]))
-        if days is not None and self.day_of is not None:
-            rows = rows.filter(F.col("day").between(*days))
+        if only is not None:
+            rows = rows.filter((F.col("writer") == only[0]) & (F.col("batch_id") == only[1]))
+        if since is not None:
+            rows = rows.filter(F.col("day") >= F.lit(since))
         return rows.select(*self.schema.names)
 
-    def _scan(self) -> DataFrame | None:
+    def newest(self, rows: int, slack: int = 0) -> DataFrame:
+        """The newest days that together hold ``rows`` rows, found from the newest back.
+
+        ``slack`` adds days before them, for an order by another time that is at
+        most so many days off ``day_of``. Rows without a time come in when the
+        dated ones are too few.
+        """
+        days = sorted(self.stored_days(), reverse=True)
+        taken = 1
+        while taken <= len(days):
+            since = days[taken - 1]
+            if self.read(since=since).limit(rows).count() >= rows:
+                return self.read(since=since - timedelta(days=slack))
+            taken *= 2
+        return self.read()
+
+    def stored_days(self) -> list[date]:
+        """Days that have a folder: one listing of the table's top level."""
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        files = root.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        if not files.exists(root):
+            return []
+        found = (re.fullmatch(r"day=(\d{4}-\d\d-\d\d)", entry.getPath().getName()) for entry in files.listStatus(root))
+        return [date.fromisoformat(match[1]) for match in found if match]
+
+    def _scan(self, folders: list[str]) -> DataFrame | None:
         layout = [T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())]
         if self.day_of is not None:
-            layout.append(T.StructField("day", T.DateType()))
+            layout.insert(0, T.StructField("day", T.DateType()))
         reader = self.spark.read.schema(T.StructType([*self.schema.fields, *layout]))
         try:
-            return reader.option("basePath", self.path).parquet(self.path)
+            return reader.option("basePath", self.path).parquet(*folders)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
 
 
+class LostRace(RuntimeError):
+    """Another writer committed this version first: read again and repeat."""
+
+
 @dataclass(frozen=True)
 class VersionedTable:
     """Table replaced as a whole: write a new version, then commit its number.
 
     The commit is one small appended file. Readers follow the highest number
     committed, so a half-written version is never seen and the version being
-    read is never overwritten.
+    read is never overwritten. Each attempt has a folder of its own; if two
+    writers commit the same number, the earlier commit file counts and the later
+    writer gets ``LostRace``.
     """
 
     spark: SparkSession
@@ -93,30 +150,45 @@ class VersionedTable:
 
     def version(self) -> int | None:
         """Highest committed version (a single value)."""
-        try:
-            commits = self.spark.read.schema("version bigint").parquet(f"{self.path}/commits")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        return commits.agg(F.max("version")).first()[0]
+        current = self._committed()
+        return None if current is None else current.version
 
     def read(self) -> DataFrame:
-        current = self.version()
+        current = self._committed()
         if current is None:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/data/version={current}")
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/data/{current.folder}")
 
     def replace(self, rows: DataFrame) -> int:
         current = self.version()
         number = 0 if current is None else current + 1
+        folder = f"version={number}-{uuid.uuid4().hex}"
         out = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-        out.write.mode("overwrite").parquet(f"{self.path}/data/version={number}")
-        self.spark.range(number, number + 1, numPartitions=1).toDF("version").write.mode("append").parquet(
-            f"{self.path}/commits"
-        )
+        out.write.parquet(f"{self.path}/data/{folder}")
+        self._commit(number, folder)
         return number
 
+    def _commit(self, number: int, folder: str) -> None:
+        record = self.spark.range(number, number + 1, numPartitions=1).select(
+            F.col("id").alias("version"), F.lit(folder).alias("folder")
+        )
+        record.write.mode("append").parquet(f"{self.path}/commits")
+        if self._committed(number).folder != folder:
+            raise LostRace(f"version {number} of {self.path} was committed by another writer")
+
+    def _committed(self, number: int | None = None) -> Row | None:
+        """The commit that counts, of the given version or of the highest one."""
+        try:
+            commits = self.spark.read.schema("version bigint, folder string").parquet(f"{self.path}/commits")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+        if number is not None:
+            commits = commits.filter(F.col("version") == number)
+        written = F.col("_metadata.file_modification_time")
+        return commits.select("version", "folder", written.alias("at")).orderBy(F.desc("version"), "at", "folder").first()
+
 
 def append_rows(
     table: BatchTable, rows: DataFrame, batch_id: int, time_col: str = "timestamp", clock: Clock = None, writer: str = "api"

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.functions.text import iso_timestamp
+from fleetpulse.operators.rules import RuleSet
 
 # Producer batching.
 PRODUCER_OPTIONS = {"kafka.batch.size": "16384", "kafka.linger.ms": "5"}
@@ -23,16 +24,31 @@ def as_messages(rows: DataFrame) -> DataFrame:
     return rows.select(F.lit(None).cast("string").alias("key"), value.alias("value"))
 
 
+def alert_messages(alerts: DataFrame, rule_set: RuleSet) -> DataFrame:
+    """Alerts as the rule set publishes them: event time as ISO text or as epoch milliseconds."""
+    if rule_set.epoch_time:
+        alerts = alerts.withColumn("timestamp", F.unix_millis("timestamp"))
+    return as_messages(alerts)
+
+
 def kafka_sink_options(servers: str, topic: str, batched: bool = False) -> dict[str, str]:
     options = {"kafka.bootstrap.servers": servers, "topic": topic}
     return options | PRODUCER_OPTIONS if batched else options
 
 
-def write_kafka(rows: DataFrame, servers: str, topic: str, batched: bool = False) -> None:
+def write_kafka(
+    rows: DataFrame, servers: str, topic: str, batched: bool = False, rule_set: RuleSet | None = None
+) -> None:
     """Publishes a batch (inside ``foreachBatch`` or on its own)."""
-    as_messages(rows).write.format("kafka").options(**kafka_sink_options(servers, topic, batched)).save()
+    _messages(rows, rule_set).write.format("kafka").options(**kafka_sink_options(servers, topic, batched)).save()
 
 
-def write_topic_files(rows: DataFrame, path: str, batch_id: int, writer: str = "main") -> None:
+def write_topic_files(
+    rows: DataFrame, path: str, batch_id: int, writer: str = "main", rule_set: RuleSet | None = None
+) -> None:
     """Publishes a batch to a folder that stands in for a topic."""
-    as_messages(rows).write.mode("overwrite").parquet(f"{path}/writer={writer}/batch_id={batch_id}")
+    _messages(rows, rule_set).write.mode("overwrite").parquet(f"{path}/writer={writer}/batch_id={batch_id}")
+
+
+def _messages(rows: DataFrame, rule_set: RuleSet | None) -> DataFrame:
+    return as_messages(rows) if rule_set is None else alert_messages(rows, rule_set)

@@ -7,20 +7,22 @@ rows. ``writer`` must be unique per checkpoint.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from fleetpulse.functions import schemas
 from fleetpulse.functions.times import Clock, at, utc_day
+from fleetpulse.operators import parse
 from fleetpulse.operators.aggregates import WATERMARK_DELAY, WINDOW, tumbling_aggregates, with_watermark
 from fleetpulse.operators.constraints import AGGREGATE_LENGTHS, AGGREGATE_REQUIRED, ALERT_LENGTHS, ALERT_REQUIRED, split_storable
 from fleetpulse.operators.merge import insert_ignore, with_alert_defaults, with_serial_id
 from fleetpulse.operators.notify import notifications
-from fleetpulse.operators.parse import parse_tire_data
 from fleetpulse.operators.rules import RuleSet, apply_rules
 from fleetpulse.operators.serving import ALERT_COLUMNS
 from fleetpulse.sinks.tables import BatchTable
@@ -28,6 +30,7 @@ from fleetpulse.sinks.tables import BatchTable
 AVAILABLE_NOW: dict = {"availableNow": True}
 
 Publish = Callable[[DataFrame, int], None]
+Judge = Callable[[DataFrame], DataFrame]
 
 
 def every(interval: str) -> dict:
@@ -42,22 +45,27 @@ def rejected_table(table: BatchTable) -> BatchTable:
     return BatchTable(table.spark, f"{table.path}-rejected", schema)
 
 
+def quarantine_table(table: BatchTable) -> BatchTable:
+    """Where messages meant for a table are kept that could not be read, with the reason."""
+    return BatchTable(table.spark, f"{table.path}-quarantine", schemas.QUARANTINE)
+
+
 def store_alerts(
     alerts: DataFrame,
     batch_id: int,
     table: BatchTable,
+    arrival: tuple[str, ...],
     writer: str = "main",
     clock: Clock = None,
-    arrival: tuple[str, ...] = (),
     ids_carry_time: bool = False,
     serial: bool = True,
 ) -> None:
     """Insert-ignore of one batch into the alert table.
 
-    The batch's own folder is left out of the stored keys, or a replay would
+    ``arrival`` names the columns that say which repeat came first. The batch's own folder is left out of the stored keys, or a replay would
     reject its own rows. ``ids_carry_time`` says that equal ids imply equal
     event times, as for rule-made ids; then only the stored days that the
-    batch touches are compared. ``serial`` numbers the rows. Alerts without a
+    batch touches are opened. ``serial`` numbers the rows. Alerts without a
     required value, or with too long a text, go to ``rejected_table``.
     """
     by_day = ids_carry_time and table.day_of is not None
@@ -71,16 +79,11 @@ def store_alerts(
         days = None
         if by_day:
             day = utc_day(F.col(table.day_of))
-            days = tuple(alerts_in.agg(F.min(day), F.max(day)).first())
-        own = (writer, batch_id)
-        stored = table.read(without=own, days=days if days and days[0] is not None else None)
-        fresh = with_alert_defaults(insert_ignore(alerts_in, stored, "alert_id", arrival), clock)
-        if serial:
-            highest = table.read(without=own).agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
-            fresh = with_serial_id(fresh, ["timestamp", "alert_id"], start=highest)
-        else:
-            fresh = fresh.withColumn("id", F.lit(None).cast("bigint"))
-        table.append(fresh, batch_id, writer, clustered=serial)
+            held = table.stored_days()
+            days = [row.day for row in alerts_in.select(day.alias("day")).filter(F.col("day").isin(held)).distinct().collect()]
+        stored = table.read(without=(writer, batch_id), days=days)
+        fresh = with_alert_defaults(insert_ignore(alerts_in, stored, arrival), clock)
+        _append_numbered(fresh, ["timestamp", "alert_id"], table, batch_id, writer, serial)
     finally:
         if keep:
             alerts.unpersist()
@@ -102,12 +105,32 @@ def store_aggregates(
     split = split_storable(rows, AGGREGATE_REQUIRED, AGGREGATE_LENGTHS)
     rejected_table(table).append(split.rejected, batch_id, writer)
     stamped = split.valid.withColumn("created_at", at(clock))
-    if serial:
-        highest = table.read(without=(writer, batch_id)).agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
-        stamped = with_serial_id(stamped, ["window_start", "sensor_id", "vehicle_id"], start=highest)
-    else:
-        stamped = stamped.withColumn("id", F.lit(None).cast("bigint"))
-    table.append(stamped, batch_id, writer, clustered=serial)
+    _append_numbered(stamped, ["window_start", "sensor_id", "vehicle_id"], table, batch_id, writer, serial)
+
+
+_ID_RECORD = T.StructType([T.StructField("start", T.LongType()), T.StructField("last", T.LongType())])
+
+
+def _append_numbered(
+    rows: DataFrame, order: list[str], table: BatchTable, batch_id: int, writer: str, serial: bool
+) -> None:
+    """Appends a batch, with serial ids if wanted.
+
+    One record a batch keeps the ids it took. The next batch goes on from the
+    highest of them, so the table itself is not read, and a replay starts from
+    its own record, so its rows keep their ids. One writer numbers at a time.
+    """
+    if not serial:
+        table.append(rows.withColumn("id", F.lit(None).cast("bigint")), batch_id, writer)
+        return
+    records = BatchTable(table.spark, f"{table.path}-ids", _ID_RECORD)
+    own = records.read(only=(writer, batch_id)).agg(F.max("start")).first()[0]
+    if own is None:
+        own = records.read().agg(F.coalesce(F.max("last"), F.lit(0))).first()[0]
+    numbered = with_serial_id(rows, order, start=own)
+    taken = numbered.agg(F.lit(own).alias("start"), F.coalesce(F.max("id"), F.lit(own)).alias("last"))
+    records.append(taken, batch_id, writer)
+    table.append(numbered, batch_id, writer, clustered=True)
 
 
 def fan_out(
@@ -115,9 +138,9 @@ def fan_out(
     batch_id: int,
     table: BatchTable,
     publish: Publish,
+    arrival: tuple[str, ...],
     writer: str = "main",
     clock: Clock = None,
-    arrival: tuple[str, ...] = (),
     ids_carry_time: bool = False,
     serial: bool = True,
 ) -> None:
@@ -127,8 +150,8 @@ def fan_out(
     """
     alerts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        store_alerts(alerts, batch_id, table, writer, clock, arrival, ids_carry_time, serial)
-        publish(alerts.select(*ALERT_COLUMNS), batch_id)
+        store_alerts(alerts, batch_id, table, arrival, writer, clock, ids_carry_time, serial)
+        publish(alerts.select([name for name in (*ALERT_COLUMNS, "processed_at") if name in alerts.columns]), batch_id)
     finally:
         alerts.unpersist()
 
@@ -139,34 +162,99 @@ def start_alerts(
     table: BatchTable,
     publish: Publish,
     checkpoint: str,
+    arrival: tuple[str, ...],
     trigger: dict = AVAILABLE_NOW,
     writer: str = "alerts",
     clock: Clock = None,
     serial: bool = False,
+    stamp: bool = False,
 ) -> StreamingQuery:
     """Readings stream to alerts, stored and published.
 
-    Serial ids look up the highest stored id in every batch; they are off here
-    and ``alert_id`` is the key.
+    ``arrival`` names columns of the readings that say which came first. Serial
+    ids are off here and ``alert_id`` is the key. ``stamp`` publishes
+    ``processed_at`` as well.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fan_out(batch, batch_id, table, publish, writer, clock, ids_carry_time=True, serial=serial)
+        fan_out(batch, batch_id, table, publish, arrival, writer, clock, ids_carry_time=True, serial=serial)
+
+    return _start(apply_rules(readings, rule_set, clock, stamp, carry=arrival), write, checkpoint, trigger)
+
+
+def start_json_alerts(
+    messages: DataFrame,
+    rule_set: RuleSet,
+    table: BatchTable,
+    publish: Publish,
+    checkpoint: str,
+    arrival: tuple[str, ...],
+    judge: Judge = parse.judge_tolerant,
+    trigger: dict = AVAILABLE_NOW,
+    writer: str = "alerts",
+    clock: Clock = None,
+    stamp: bool = False,
+) -> StreamingQuery:
+    """Topic messages to alerts, stored and published; what cannot be read goes to ``quarantine_table``."""
+
+    def store(readings: DataFrame, batch_id: int) -> None:
+        alerts = apply_rules(readings, rule_set, clock, stamp, carry=arrival)
+        fan_out(alerts, batch_id, table, publish, arrival, writer, clock, ids_carry_time=True, serial=False)
+
+    return _start_judged(messages, judge, store, quarantine_table(table), checkpoint, trigger, writer)
+
+
+def start_json_windows(
+    messages: DataFrame,
+    table: BatchTable,
+    checkpoint: str,
+    judge: Judge = parse.judge_strict,
+    trigger: dict = AVAILABLE_NOW,
+    writer: str = "aggregates",
+    exact_scale: int | None = None,
+    clock: Clock = None,
+) -> StreamingQuery:
+    """Topic messages to closed windows by event time.
 
-    return _start(apply_rules(readings, rule_set), write, checkpoint, trigger)
+    A stateful stream has one output: ``start_quarantine`` keeps the messages
+    that cannot be read.
+    """
+    readings = parse.with_event_time(parse.split(judge(messages)).valid)
+    return start_aggregates(readings, table, checkpoint, trigger, writer, exact_scale=exact_scale, clock=clock)
 
 
-def store_distinct(alerts: DataFrame, batch_id: int, table: BatchTable, writer: str = "distinct") -> None:
+def start_quarantine(
+    messages: DataFrame,
+    table: BatchTable,
+    checkpoint: str,
+    judge: Judge = parse.judge_strict,
+    trigger: dict = AVAILABLE_NOW,
+    writer: str = "quarantine",
+) -> StreamingQuery:
+    """Messages that cannot be read, to ``quarantine_table`` of the table they were meant for."""
+    return start_append(parse.split(judge(messages)).quarantine, quarantine_table(table), checkpoint, trigger, writer)
+
+
+def store_distinct(
+    alerts: DataFrame, batch_id: int, table: BatchTable, arrival: tuple[str, ...], writer: str = "distinct"
+) -> None:
     """Insert-ignore of one batch by alert id, however late an alert is; without an id it is refused."""
     stored = table.read(without=(writer, batch_id))
-    table.append(insert_ignore(alerts, stored, "alert_id"), batch_id, writer)
+    table.append(insert_ignore(alerts, stored, arrival), batch_id, writer)
 
 
 def start_distinct(
-    alerts: DataFrame, table: BatchTable, checkpoint: str, trigger: dict = AVAILABLE_NOW, writer: str = "distinct"
+    alerts: DataFrame,
+    table: BatchTable,
+    checkpoint: str,
+    arrival: tuple[str, ...],
+    trigger: dict = AVAILABLE_NOW,
+    writer: str = "distinct",
 ) -> StreamingQuery:
     """Alerts stream to a table that holds each alert id once. No lateness limit."""
-    return _start(alerts, lambda batch, batch_id: store_distinct(batch, batch_id, table, writer), checkpoint, trigger)
+    return _start(
+        alerts, lambda batch, batch_id: store_distinct(batch, batch_id, table, arrival, writer), checkpoint, trigger
+    )
 
 
 def start_append(
@@ -198,26 +286,32 @@ def start_aggregates(
 
 
 def start_notifications(
-    alert_messages: DataFrame,
+    messages: DataFrame,
     read_vehicles: Callable[[], DataFrame],
     outbox: BatchTable,
     checkpoint: str,
     trigger: dict = AVAILABLE_NOW,
     writer: str = "notifier",
 ) -> StreamingQuery:
-    """Alert stream to the outbox; contacts are read anew for every batch."""
+    """Alert topic to the outbox; contacts are read anew for every batch."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        outbox.append(notifications(batch, read_vehicles()), batch_id, writer)
+    def store(alerts: DataFrame, batch_id: int) -> None:
+        outbox.append(notifications(alerts, read_vehicles()), batch_id, writer)
 
-    return _start(alert_messages, write, checkpoint, trigger)
+    return _start_judged(
+        messages, parse.judge_alert_messages, store, quarantine_table(outbox), checkpoint, trigger, writer
+    )
 
 
 def start_ingest(
     messages: DataFrame, table: BatchTable, checkpoint: str, trigger: dict = AVAILABLE_NOW, writer: str = "ingest"
 ) -> StreamingQuery:
     """Ingest topic to its table."""
-    return start_append(parse_tire_data(messages), table, checkpoint, trigger, writer)
+
+    def store(rows: DataFrame, batch_id: int) -> None:
+        table.append(rows, batch_id, writer)
+
+    return _start_judged(messages, parse.judge_tire_data, store, quarantine_table(table), checkpoint, trigger, writer)
 
 
 def start_tail(messages: DataFrame, checkpoint: str, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
@@ -231,8 +325,31 @@ def start_tail(messages: DataFrame, checkpoint: str, trigger: dict = AVAILABLE_N
     )
 
 
+class LateRows(StreamingQueryListener):
+    """Rows dropped behind the watermark, by query id, over the whole life of the queries.
+
+    Register it with ``spark.streams.addListener`` before the queries start.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: Counter[str] = Counter()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        rows = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        self.dropped[str(event.progress.id)] += rows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark in the query's kept progress reports."""
+    """Rows dropped behind the watermark in the query's kept progress reports (the newest ones of a long job)."""
     return sum(
         int(operator["numRowsDroppedByWatermark"])
         for progress in query.recentProgress
@@ -240,6 +357,29 @@ def late_rows(query: StreamingQuery) -> int:
     )
 
 
+def _start_judged(
+    messages: DataFrame,
+    judge: Judge,
+    store: Callable[[DataFrame, int], None],
+    quarantine: BatchTable,
+    checkpoint: str,
+    trigger: dict,
+    writer: str,
+) -> StreamingQuery:
+    """Each batch is parsed once and parted: unreadable messages to the quarantine, the rest to ``store``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        judged = judge(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            parts = parse.split(judged)
+            quarantine.append(parts.quarantine, batch_id, writer)
+            store(parts.valid, batch_id)
+        finally:
+            judged.unpersist()
+
+    return _start(messages, write, checkpoint, trigger)
+
+
 def _start(
     rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict
 ) -> StreamingQuery:

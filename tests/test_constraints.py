@@ -36,7 +36,7 @@ def test_windows_without_a_value_are_not_stored(spark, tmp_path):
 def test_seeds_are_inserted_once(spark, tmp_path):
     table = BatchTable(spark, str(tmp_path / "t"), schemas.STORED_ALERT)
     for batch in range(2):
-        jobs.store_alerts(seed_alerts(spark, CLOCK), batch, table, clock=CLOCK)
+        jobs.store_alerts(seed_alerts(spark, CLOCK), batch, table, ("timestamp",), clock=CLOCK)
     got = table.read().selectExpr("id", "alert_id", "unix_seconds(created_at) - unix_seconds(timestamp) age").collect()
     assert sorted(map(tuple, got)) == [(1, "sample_alert_1", 600), (2, "sample_alert_2", 300)]
     assert seed_vehicles(spark).count() == 5

@@ -5,6 +5,7 @@ import json
 import pytest
 from helpers import alerts
 
+from fleetpulse.session import scratch_path
 from fleetpulse.sinks import jdbc
 from fleetpulse.sinks.topics import as_messages, kafka_sink_options, write_topic_files
 from fleetpulse.sources import tables, topics
@@ -52,11 +53,19 @@ def test_messages_have_no_key_and_keep_nulls(spark, tmp_path):
     assert topics.read_topic_files(spark, path, streaming=False).count() == 1
 
 
-def test_scratch_folder_follows_the_session(spark, monkeypatch):
-    from fleetpulse.session import scratch_path
+def test_scratch_folder_follows_the_session(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        path = scratch_path(spark, "x")
+        assert path.startswith(str(tmp_path)) and path != scratch_path(spark, "x")
+    finally:
+        if before is None:
+            spark.conf.unset("spark.checkpoint.dir")
+        else:
+            spark.conf.set("spark.checkpoint.dir", before)
 
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    path = scratch_path(spark, "x")
-    assert path != scratch_path(spark, "x")
-    if root:
-        assert path.startswith(root)
+
+def test_text_files_have_no_positions(spark):
+    with pytest.raises(ValueError, match="positions"):
+        topics.read_topic_files(spark, "x", text=True, positions=True)

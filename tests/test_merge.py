@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.functions import schemas
 from fleetpulse.operators import merge
-from fleetpulse.sinks.tables import BatchTable, VersionedTable, append_rows
+from fleetpulse.sinks.tables import BatchTable, LostRace, VersionedTable, append_rows
 from fleetpulse.streaming import jobs
 
 CLOCK = datetime(2024, 6, 1, tzinfo=timezone.utc)
@@ -30,7 +30,7 @@ def test_first_arrival_wins_even_for_a_hot_key(spark):
 
 def test_null_key_is_refused(spark):
     rows = alerts(spark, [("a", "V001", 0, "HIGH"), (None, "V001", 1, "HIGH")])
-    assert [r.alert_id for r in merge.insert_ignore(rows, rows.limit(0)).collect()] == ["a"]
+    assert [r.alert_id for r in merge.insert_ignore(rows, rows.limit(0), ["timestamp"]).collect()] == ["a"]
 
 
 def test_replay_and_conflicts(spark, table):
@@ -49,14 +49,45 @@ def test_replay_and_conflicts(spark, table):
 
 def test_days_prune_but_keep_the_answer(spark, table):
     rows = alerts(spark, [(f"a{d}", "V001", 86_400 * d, "HIGH") for d in range(5)])
-    jobs.store_alerts(rows, 0, table, clock=CLOCK)
+    jobs.store_alerts(rows, 0, table, ("timestamp",), clock=CLOCK)
     again = alerts(spark, [("a3", "V001", 86_400 * 3, "HIGH"), ("a9", "V001", 86_400 * 9, "HIGH")])
-    jobs.store_alerts(again, 1, table, clock=CLOCK, ids_carry_time=True)
+    jobs.store_alerts(again, 1, table, ("timestamp",), clock=CLOCK, ids_carry_time=True)
     assert sorted(r.alert_id for r in table.read().collect()) == ["a0", "a1", "a2", "a3", "a4", "a9"]
     day = datetime(2024, 1, 4).date()
     assert [r.alert_id for r in table.read(days=(day, day)).collect()] == ["a3"]
 
 
+def test_a_batch_opens_only_its_days(spark, table):
+    rows = alerts(spark, [(f"a{d}", "V001", 86_400 * d, "HIGH") for d in range(6)])
+    jobs.store_alerts(rows, 0, table, ("timestamp",), clock=CLOCK)
+    assert len(table.stored_days()) == 6
+    day = datetime(2024, 1, 5).date()
+    files = table.read(days=[day]).inputFiles()
+    assert files and all("day=2024-01-05" in f for f in files)
+    recent = table.read(since=day)
+    assert {f.split("day=")[1][:10] for f in recent.inputFiles()} == {"2024-01-05", "2024-01-06"}
+    assert "PartitionFilters: [isnotnull(day" in recent._jdf.queryExecution().executedPlan().toString()
+
+
+def test_newest_days_hold_the_newest_rows(spark, table):
+    rows = alerts(spark, [(f"a{n}", "V001", 43_200 * n, "HIGH") for n in range(20)])
+    jobs.store_alerts(rows, 0, table, ("timestamp",), clock=CLOCK, serial=False)
+    for limit in (1, 2, 3, 7, 20, 50):
+        wanted = sorted((f"a{n}" for n in range(20)), key=lambda a: -int(a[1:]))[:limit]
+        few = table.newest(limit)
+        assert [r.alert_id for r in few.orderBy(F.desc("timestamp")).limit(limit).collect()] == wanted
+    assert len(table.newest(2).inputFiles()) < len(table.read().inputFiles())
+    assert table.newest(1, slack=1).count() > table.newest(1).count()
+
+
+def test_a_replay_keeps_its_ids(spark, table):
+    first = alerts(spark, [("a", "V001", 0, "HIGH"), ("b", "V001", 1, "HIGH")])
+    second = alerts(spark, [("c", "V001", 2, "HIGH")])
+    for n, rows in [(0, first), (1, second), (0, first), (1, second)]:
+        jobs.store_alerts(rows, n, table, ("timestamp",), clock=CLOCK, ids_carry_time=True)
+    assert {r.alert_id: r.id for r in table.read().collect()} == {"a": 1, "b": 2, "c": 3}
+
+
 def test_serial_ids_are_dense_and_ordered(spark):
     rows = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5000).alias("k"))
     out = merge.with_serial_id(rows, ["k"], start=10).collect()
@@ -92,6 +123,17 @@ def test_versioned_table(spark, tmp_path):
     assert [(r.vehicle_id, r.owner_email) for r in table.read().collect()] == [("V001", "z")]
 
 
+def test_two_writers_of_one_version(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "vehicles"), schemas.VEHICLE)
+    for folder, name in [("version=0-b", "B"), ("version=0-a", "A")]:
+        vehicles(spark, [(name, "o", "d")]).write.parquet(f"{table.path}/data/{folder}")
+    table._commit(0, "version=0-b")
+    with pytest.raises(LostRace):
+        table._commit(0, "version=0-a")
+    assert [r.vehicle_id for r in table.read().collect()] == ["B"]
+    assert table.replace(vehicles(spark, [("C", "o", "d")])) == 1
+
+
 def test_append_rows_fills_missing_time(spark, tmp_path):
     table = BatchTable(spark, str(tmp_path / "tire_data"), schemas.TIRE_DATA)
     rows = spark.createDataFrame([("t", 1.0, 2.0, None), ("u", 1.0, 2.0, START)], schemas.TIRE_DATA)

@@ -1,6 +1,7 @@
 """Streams over ordered files, one file per micro-batch."""
 
 import json
+import time
 
 import pytest
 from helpers import alerts, readings, vehicles, write_ordered
@@ -11,7 +12,7 @@ from fleetpulse.operators import parse, rules, serving
 from fleetpulse.operators.aggregates import tumbling_aggregates, window_label
 from fleetpulse.sinks.tables import BatchTable
 from fleetpulse.sinks.topics import as_messages, write_topic_files
-from fleetpulse.sources.topics import read_topic_files
+from fleetpulse.sources.topics import ARRIVAL, read_topic_files
 from fleetpulse.streaming import jobs
 
 # seconds after start (pressure), one list per file
@@ -95,7 +96,7 @@ def test_repeats_across_batches_are_dropped(spark, tmp_path):
     folder = write_ordered(frames, tmp_path / "in")
     source = spark.readStream.schema(schemas.ALERT).option("maxFilesPerTrigger", 1).parquet(folder)
     table = BatchTable(spark, str(tmp_path / "out"), schemas.ALERT)
-    jobs.start_distinct(source, table, str(tmp_path / "cp")).awaitTermination()
+    jobs.start_distinct(source, table, str(tmp_path / "cp"), ("timestamp",)).awaitTermination()
     assert sorted(r.alert_id for r in table.read().collect()) == ["a", "b", "c"]
 
 
@@ -104,7 +105,7 @@ def test_first_alerts_are_kept_however_late(spark, tmp_path):
     folder = write_ordered([alerts(spark, [(i, "V001", s, "HIGH")]) for i, s in seconds], tmp_path / "in")
     source = spark.readStream.schema(schemas.ALERT).option("maxFilesPerTrigger", 1).parquet(folder)
     table = BatchTable(spark, str(tmp_path / "out"), schemas.ALERT)
-    query = jobs.start_distinct(source, table, str(tmp_path / "cp"))
+    query = jobs.start_distinct(source, table, str(tmp_path / "cp"), ("timestamp",))
     query.awaitTermination()
     assert sorted(r.alert_id for r in table.read().collect()) == ["a", "b", "d", "late"]
     assert query.lastProgress["batchId"] >= 3
@@ -115,7 +116,7 @@ def test_alerts_that_the_table_refuses_are_kept_apart(spark, tmp_path):
     batch = batch.unionByName(alerts(spark, [("d", "V001", 3, "HIGH")]).withColumn("timestamp", F.lit(None).cast("timestamp")))
     table = BatchTable(spark, str(tmp_path / "alerts"), schemas.STORED_ALERT, day_of="timestamp")
     for batch_id in range(3):
-        jobs.store_alerts(batch, batch_id, table, ids_carry_time=True)
+        jobs.store_alerts(batch, batch_id, table, ("timestamp",), ids_carry_time=True)
     assert [r.alert_id for r in table.read().collect()] == ["a"]
     first = jobs.rejected_table(table).read().filter("alert_id IS NOT NULL").select("alert_id", "reason").distinct().collect()
     assert sorted(map(tuple, first)) == [("b", "severity is longer than 20"), ("c", "severity is null"), ("d", "timestamp is null")]
@@ -128,7 +129,7 @@ def test_alert_job_fans_out_and_insert_ignores(spark, tmp_path):
     topic = str(tmp_path / "topic")
     jobs.start_alerts(
         stream(spark, write_ordered([one, two], tmp_path / "in")), rules.TIERED, table,
-        lambda batch, n: write_topic_files(batch, topic, n), str(tmp_path / "cp"), serial=True,
+        lambda batch, n: write_topic_files(batch, topic, n), str(tmp_path / "cp"), ("ts_ms",), serial=True,
     ).awaitTermination()
     stored = table.read().collect()
     assert sorted(r.sensor_id for r in stored) == ["V001-FL", "V001-FR", "V001-RR"]
@@ -149,7 +150,7 @@ def test_notifier_rereads_contacts(spark, tmp_path):
         return vehicles(spark, [("V001", f"owner{len(calls)}@example.com", "d@example.com")])
 
     outbox = BatchTable(spark, str(tmp_path / "outbox"), schemas.NOTIFICATION)
-    source = parse.parse_alert_messages(read_topic_files(spark, folder, files_per_trigger=1))
+    source = read_topic_files(spark, folder, files_per_trigger=1)
     jobs.start_notifications(source, contacts, outbox, str(tmp_path / "cp")).awaitTermination()
     got = {r.alert_id: r for r in outbox.read().collect()}
     assert len(calls) == 2
@@ -164,6 +165,7 @@ def test_ingest_job_from_text_files(spark, tmp_path):
     table = BatchTable(spark, str(tmp_path / "out"), schemas.TIRE_DATA)
     jobs.start_ingest(read_topic_files(spark, str(folder), text=True), table, str(tmp_path / "cp")).awaitTermination()
     assert [(r.tire_id, r.pressure) for r in table.read().collect()] == [("a", 1.5)]
+    assert [tuple(r) for r in jobs.quarantine_table(table).read().collect()] == [("{bad", "malformed")]
 
 
 def test_tail_prints(spark, tmp_path):
@@ -174,7 +176,90 @@ def test_tail_prints(spark, tmp_path):
     assert read_topic_files(spark, str(folder), streaming=False, text=True).count() == 1
 
 
-def test_trigger_options():
+def message(sensor, ms, pressure, temperature=70.0):
+    reading = {"sensor_id": sensor, "vehicle_id": "V001", "timestamp": ms, "pressure_kpa": pressure, "temperature_c": temperature}
+    return json.dumps(reading)
+
+
+def topic_files(spark, folder, *files):
+    return write_ordered([spark.createDataFrame([(v,) for v in values], "value string") for values in files], folder)
+
+
+def test_the_first_arrival_of_a_repeat_is_stored(spark, tmp_path):
+    # By text the repeat would sort first: HIGH before MEDIUM, 150 before 199.
+    same_file = [message("V001-FL", 1_704_067_200_000, 199.0), message("V001-FL", 1_704_067_200_000, 150.0)]
+    later = [message("V001-FL", 1_704_067_200_000, 100.0), "{bad", message("V001-FR", 1_704_067_200_000, 150.0)]
+    folder = topic_files(spark, tmp_path / "topic", same_file, later)
+    table = BatchTable(spark, str(tmp_path / "alerts"), schemas.STORED_ALERT, day_of="timestamp")
+    sent = str(tmp_path / "sent")
+    for files_per_trigger in (1, None):  # a restart finds nothing new
+        jobs.start_json_alerts(
+            read_topic_files(spark, folder, files_per_trigger=files_per_trigger, positions=True), rules.TIERED, table,
+            lambda batch, n: write_topic_files(batch, sent, n, rule_set=rules.TIERED), str(tmp_path / "cp"), ARRIVAL,
+        ).awaitTermination()
+    stored = {r.sensor_id: (r.severity, r.triggering_value) for r in table.read().collect()}
+    assert stored == {"V001-FL": ("MEDIUM", 199.0), "V001-FR": ("HIGH", 150.0)}
+    assert [tuple(r) for r in jobs.quarantine_table(table).read().collect()] == [("{bad", "malformed")]
+    assert spark.read.parquet(sent).count() == 4
+
+
+@pytest.mark.parametrize("rule_set, extra", [(rules.CASE, []), (rules.MULTI, ["processed_at"])])
+def test_payload_of_the_rule_set(spark, tmp_path, rule_set, extra):
+    folder = topic_files(spark, tmp_path / "topic", [message("V001-FL", 1_704_067_200_500, 150.0)])
+    table = BatchTable(spark, str(tmp_path / "alerts"), schemas.STORED_ALERT, day_of="timestamp")
+    sent = str(tmp_path / "sent")
+    jobs.start_json_alerts(
+        read_topic_files(spark, folder, positions=True), rule_set, table,
+        lambda batch, n: write_topic_files(batch, sent, n, rule_set=rule_set), str(tmp_path / "cp"), ARRIVAL, stamp=bool(extra),
+    ).awaitTermination()
+    sent_message = json.loads(spark.read.parquet(sent).first().value)
+    assert sent_message["timestamp"] == 1_704_067_200_500
+    assert list(sent_message) == schemas.ALERT.names + extra
+
+
+def test_json_windows_late_rows_and_quarantine(spark, tmp_path):
+    start = 1_704_067_200_000
+    first = [message("V001-FL", start, 200.0), message("V001-FL", start + 70_000, 210.0), "[1,2]"]
+    # A batch judges lateness by the watermark of the one before.
+    late_row = [message("V001-FL", start + 10_000, 100.0)]
+    folder = topic_files(spark, tmp_path / "topic", first, [message("V001-FL", start + 200_000, 220.0)], late_row)
+    table = BatchTable(spark, str(tmp_path / "windows"), schemas.STORED_AGGREGATE, day_of="window_start")
+    source = read_topic_files(spark, folder, files_per_trigger=1)
+    late = jobs.LateRows()
+    spark.streams.addListener(late)
+    try:
+        query = jobs.start_json_windows(source, table, str(tmp_path / "cp"), exact_scale=2)
+        query.awaitTermination()
+        jobs.start_quarantine(source, table, str(tmp_path / "cp-bad")).awaitTermination()
+        for _ in range(50):
+            if late.dropped[str(query.id)]:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(late)
+    assert windows(table.read()) == [(0, 200.0, 1), (60, 210.0, 1)]
+    assert late.dropped[str(query.id)] == jobs.late_rows(query) == 1
+    assert [tuple(r) for r in jobs.quarantine_table(table).read().collect()] == [("[1,2]", "malformed")]
+
+
+def test_every_message_is_stored_or_kept_apart(spark, tmp_path):
+    good = [json.dumps({"tire_id": f"t{n}", "pressure": 1.0, "temperature": 2.0, "timestamp": 1_704_067_200 + n}) for n in range(5)]
+    bad = ["{bad", "", "[]", '{"tire_id":null,"timestamp":1}', '{"tire_id":"x","timestamp":"soon"}']
+    folder = topic_files(spark, tmp_path / "topic", good + bad + [None])
+    table = BatchTable(spark, str(tmp_path / "out"), schemas.TIRE_DATA, day_of="timestamp")
+    jobs.start_ingest(read_topic_files(spark, folder), table, str(tmp_path / "cp")).awaitTermination()
+    kept = jobs.quarantine_table(table).read()
+    assert table.read().count() == 5 and kept.count() == 6
+    assert {r.value for r in kept.collect()} == {*bad, None}
+
+
+def test_a_job_that_runs_on(spark, tmp_path):
     assert jobs.every("5 seconds") == {"processingTime": "5 seconds"}
-    with pytest.raises(TypeError):
-        jobs.start_append()
+    folder = topic_files(spark, tmp_path / "topic", ['{"tire_id":"a","pressure":1,"temperature":2,"timestamp":1}'])
+    table = BatchTable(spark, str(tmp_path / "out"), schemas.TIRE_DATA)
+    query = jobs.start_ingest(read_topic_files(spark, folder), table, str(tmp_path / "cp"), jobs.every("100 milliseconds"))
+    try:
+        query.processAllAvailable()
+        assert query.isActive and table.read().count() == 1
+    finally:
+        query.stop()
