@@ -8,7 +8,8 @@ rows. ``writer`` must be unique per checkpoint.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -38,6 +39,23 @@ def every(interval: str) -> dict:
     return {"processingTime": interval}
 
 
+@contextmanager
+def held(rows: DataFrame) -> Iterator[DataFrame]:
+    """The rows kept while they are read more than once, unless they are kept already.
+
+    Without it a second read repeats the plan behind them, in a stateful
+    stream the state update as well.
+    """
+    if rows.is_cached:
+        yield rows
+        return
+    rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
 def rejected_table(table: BatchTable) -> BatchTable:
     """Where rows that a table does not take are kept, with the reason."""
     fields = [f for f in table.schema.fields if f.name not in ("id", "is_resolved", "created_at")]
@@ -68,25 +86,18 @@ def store_alerts(
     batch touches are opened. ``serial`` numbers the rows. Alerts without a
     required value, or with too long a text, go to ``rejected_table``.
     """
-    by_day = ids_carry_time and table.day_of is not None
-    keep = by_day and not alerts.is_cached
-    if keep:
-        alerts.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with held(alerts):
         split = split_storable(alerts, ALERT_REQUIRED, ALERT_LENGTHS)
         rejected_table(table).append(split.rejected, batch_id, writer)
-        alerts_in = split.valid
         days = None
-        if by_day:
+        if ids_carry_time and table.day_of is not None:
             day = utc_day(F.col(table.day_of))
-            held = table.stored_days()
-            days = [row.day for row in alerts_in.select(day.alias("day")).filter(F.col("day").isin(held)).distinct().collect()]
+            known = split.valid.select(day.alias("day")).filter(F.col("day").isin(table.stored_days()))
+            days = [row.day for row in known.distinct().collect()]
         stored = table.read(without=(writer, batch_id), days=days)
-        fresh = with_alert_defaults(insert_ignore(alerts_in, stored, arrival), clock)
-        _append_numbered(fresh, ["timestamp", "alert_id"], table, batch_id, writer, serial)
-    finally:
-        if keep:
-            alerts.unpersist()
+        fresh = with_alert_defaults(insert_ignore(split.valid, stored, arrival), clock)
+        with held(fresh):
+            _append_numbered(fresh, ["timestamp", "alert_id"], table, batch_id, writer, serial)
 
 
 def store_aggregates(
@@ -102,10 +113,11 @@ def store_aggregates(
     Windows that lack a required value go to ``rejected_table``, as a NOT NULL
     column demands.
     """
-    split = split_storable(rows, AGGREGATE_REQUIRED, AGGREGATE_LENGTHS)
-    rejected_table(table).append(split.rejected, batch_id, writer)
-    stamped = split.valid.withColumn("created_at", at(clock))
-    _append_numbered(stamped, ["window_start", "sensor_id", "vehicle_id"], table, batch_id, writer, serial)
+    with held(rows):
+        split = split_storable(rows, AGGREGATE_REQUIRED, AGGREGATE_LENGTHS)
+        rejected_table(table).append(split.rejected, batch_id, writer)
+        stamped = split.valid.withColumn("created_at", at(clock))
+        _append_numbered(stamped, ["window_start", "sensor_id", "vehicle_id"], table, batch_id, writer, serial)
 
 
 _ID_RECORD = T.StructType([T.StructField("start", T.LongType()), T.StructField("last", T.LongType())])
@@ -148,12 +160,9 @@ def fan_out(
 
     The topic gets every alert, repeats included; readers go by ``alert_id``.
     """
-    alerts.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with held(alerts):
         store_alerts(alerts, batch_id, table, arrival, writer, clock, ids_carry_time, serial)
         publish(alerts.select([name for name in (*ALERT_COLUMNS, "processed_at") if name in alerts.columns]), batch_id)
-    finally:
-        alerts.unpersist()
 
 
 def start_alerts(
@@ -369,13 +378,10 @@ def _start_judged(
     """Each batch is parsed once and parted: unreadable messages to the quarantine, the rest to ``store``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        judged = judge(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with held(judge(batch)) as judged:
             parts = parse.split(judged)
             quarantine.append(parts.quarantine, batch_id, writer)
             store(parts.valid, batch_id)
-        finally:
-            judged.unpersist()
 
     return _start(messages, write, checkpoint, trigger)
 
