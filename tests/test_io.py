@@ -1,6 +1,7 @@
 """Adapters whose servers are not at hand: options, statements, shapes."""
 
 import json
+from types import SimpleNamespace
 
 import pytest
 from helpers import alerts
@@ -53,17 +54,18 @@ def test_messages_have_no_key_and_keep_nulls(spark, tmp_path):
     assert topics.read_topic_files(spark, path, streaming=False).count() == 1
 
 
-def test_scratch_folder_follows_the_session(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        path = scratch_path(spark, "x")
-        assert path.startswith(str(tmp_path)) and path != scratch_path(spark, "x")
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+def session_like(master, folder):
+    conf = SimpleNamespace(get=lambda name, default: folder if name == "spark.checkpoint.dir" else default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_scratch_folder_follows_the_session():
+    shared = session_like("spark://h:1", "hdfs://n/shared/")
+    path = scratch_path(shared, "x")
+    assert path.startswith("hdfs://n/shared/fleetpulse/x-") and path != scratch_path(shared, "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session_like("spark://h:1", None), "x")
+    assert "fleetpulse" in scratch_path(session_like("local[2]", None), "x")
 
 
 def test_text_files_have_no_positions(spark):
