@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 import re
-from bisect import bisect_left
+from bisect import bisect_right
 from functools import lru_cache
 
 import pyarrow as pa
@@ -27,6 +27,7 @@ _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = (*BASE_KINDS, "random")
 MIN_LENGTH = 16
 MAX_CHARS_PER_TOKEN = 2.4
+MAX_CHARS_PER_TOKEN_LETTERS = 1.8  # of a run without a digit, which may be words
 _RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}")
 # Lengths in characters of hexadecimal digests in use: MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
@@ -56,12 +57,12 @@ def ordered(spans: list[Span]) -> list[Span]:
 
 
 def is_known(run: str) -> bool:
-    """A digest, a UUID, or an identifier: parts of one sort each, joined by signs."""
-    if not (_LETTER.search(run) and _DIGIT.search(run)):
-        return True  # words and numbers
+    """A digest, a UUID, or an identifier with a number: parts of one sort each, joined by signs."""
+    if not _LETTER.search(run):
+        return True  # numbers and signs
     if _DIGEST.fullmatch(run) or _LABELLED_DIGEST.fullmatch(run) or _UUID.fullmatch(run):
         return True
-    return all(_PART.fullmatch(p) for p in re.split(r"[+/_=-]+", run) if p)
+    return bool(_DIGIT.search(run)) and all(_PART.fullmatch(p) for p in re.split(r"[+/_=-]+", run) if p)
 
 
 @lru_cache(maxsize=2)
@@ -81,16 +82,15 @@ class SecretFinder:
         self.verdicts = Memo(100_000)
 
     def spans(self, text: str) -> list[Span]:
-        """All spans: the base ones, and random strings that overlap none of them."""
+        """All spans: the base ones, and random strings among the runs, or their parts, that lie outside them."""
         base = base_spans(text)
         taken = _merged(base)
-        starts = [s for s, _ in taken]
+        ends = [e for _, e in taken]
         found = list(base)
         for match in _RUN.finditer(text):
-            begin, end = match.span()
-            at = bisect_left(starts, end)
-            if (at == 0 or taken[at - 1][1] <= begin) and self._random(match[0]):
-                found.append(("random", begin, end))
+            for begin, end in _outside(*match.span(), taken, bisect_right(ends, match.start())):
+                if end - begin >= MIN_LENGTH and self._random(text[begin:end]):
+                    found.append(("random", begin, end))
         return ordered(found) if len(found) > len(base) else base
 
     def _random(self, run: str) -> bool:
@@ -98,7 +98,8 @@ class SecretFinder:
         if verdict is None:
             verdict = self.verdicts.recall(run)
         if verdict is None:
-            verdict = not is_known(run) and len(run) < self.limit * len(self.encoder.encode_ordinary(run))
+            limit = self.limit if _DIGIT.search(run) else min(self.limit, MAX_CHARS_PER_TOKEN_LETTERS)
+            verdict = not is_known(run) and len(run) < limit * len(self.encoder.encode_ordinary(run))
             self.verdicts.trim()
             self.verdicts.keep(run, verdict)
         return verdict
@@ -114,6 +115,16 @@ def _merged(spans: list[Span]) -> list[tuple[int, int]]:
     return out
 
 
+def _outside(begin: int, end: int, taken: list[tuple[int, int]], at: int) -> list[tuple[int, int]]:
+    """The parts of a run between the taken stretches, of which the first that ends inside or behind it is number ``at``."""
+    parts = []
+    while at < len(taken) and taken[at][0] < end:
+        parts.append((begin, taken[at][0]))
+        begin = taken[at][1]
+        at += 1
+    return [*parts, (begin, end)]
+
+
 def redact(text: str, spans: list[Span], mask: str) -> str:
     """The text with every stretch of secrets replaced by the mask."""
     out, at = [], 0
