@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from fleetpulse.sinks.tables import materialize
 
 OPEN_END = 253_402_300_799  # 9999-12-31T23:59:59Z in epoch seconds
-PATH_DEPTH = 4
+PATH_DEPTH = 4  # bound of the query's SQL, whose list has one-step paths; the operator has none
 SLICE_SECONDS = 30 * 86_400
 
 
@@ -25,14 +25,19 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", F.rtrim(host, F.lit(".")))
 
 
-def entry_keys(url: Column) -> Column:
-    """The entries that can match a URL: every domain of its host, then path prefixes of the host, as distinct texts."""
+def path_depth(entry: Column) -> Column:
+    """Path steps of a list entry; 0 for a host or domain."""
+    return F.size(F.split(entry, "/")) - 1
+
+
+def entry_keys(url: Column, depths: list[int]) -> Column:
+    """The entries that can match a URL: every domain of its host, then its path prefixes of the given depths, as distinct texts."""
     host = host_of(url)
     labels = F.split(host, r"\.")
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
-    steps = F.slice(F.filter(F.split(path, "/"), lambda s: s != ""), 1, PATH_DEPTH)
-    prefixes = F.when(F.size(steps) > 0, F.sequence(F.lit(1), F.size(steps))).otherwise(F.array().cast("array<int>"))
+    steps = F.filter(F.split(path, "/"), lambda s: s != "")
+    prefixes = F.filter(F.array(*map(F.lit, depths)).cast("array<int>"), lambda n: n <= F.size(steps))
     paths = F.transform(prefixes, lambda n: F.concat(host, F.lit("/"), F.array_join(F.slice(steps, 1, n), "/")))
     return F.when(host.isNull(), F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(domains, paths)))
 
@@ -42,9 +47,12 @@ def validity(changes: DataFrame) -> DataFrame:
 
     The action ``add`` opens an interval and ``remove`` closes it; a repeated
     action changes nothing. Of changes of one entry in the same second the
-    removal counts. Rows with a null, or another action, are left out.
+    removal counts. Rows with a null, or another action, are left out. The host
+    of an entry is lower-cased; its path keeps its case, as paths of captures do.
     """
-    known = changes.select("list_name", F.lower("entry").alias("entry"), F.col("changed_at").cast("bigint").alias("at"), "action")
+    host = F.substring_index("entry", "/", 1)
+    entry = F.concat(F.lower(host), F.expr("substr(entry, char_length(substring_index(entry, '/', 1)) + 1)"))
+    known = changes.select("list_name", entry.alias("entry"), F.col("changed_at").cast("bigint").alias("at"), "action")
     known = known.dropna().filter(F.col("action").isin("add", "remove"))
     states = known.groupBy("list_name", "entry", "at").agg(F.min((F.col("action") == "add").cast("int")).alias("active"))
     history = Window.partitionBy("list_name", "entry").orderBy("at")
@@ -58,6 +66,7 @@ def matches(captures: DataFrame, intervals: DataFrame, slice_seconds: int = SLIC
 
     Entries are cut where time slices of the captures' span meet, so a capture
     meets the intervals of its own slice only, however long an entry's history.
+    Paths are cut at the depths that entries have, which one aggregate tells.
     An entry with many captures is split by adaptive execution, as both sides of
     the join are plain exchanges.
     """
@@ -73,7 +82,8 @@ def matches(captures: DataFrame, intervals: DataFrame, slice_seconds: int = SLIC
     inside = intervals.filter((F.col("valid_from") <= last) & (F.col("valid_to") > first))
     low, high = F.greatest("valid_from", F.lit(first)), F.least(F.col("valid_to") - 1, F.lit(last))
     sliced = materialize(inside.withColumn("slice", F.explode(F.sequence(slice_of(low), slice_of(high)))), "intervals")
-    keyed = asked.withColumn("entry", F.explode(entry_keys(F.col("url")))).withColumn("slice", slice_of(F.col("fetched_at")))
+    depths = sorted(d for d in sliced.agg(F.collect_set(path_depth(F.col("entry")))).first()[0] if d > 0)
+    keyed = asked.withColumn("entry", F.explode(entry_keys(F.col("url"), depths))).withColumn("slice", slice_of(F.col("fetched_at")))
     hit = keyed.join(sliced, ["entry", "slice"]).filter(
         (F.col("valid_from") <= F.col("fetched_at")) & (F.col("fetched_at") < F.col("valid_to"))
     )
