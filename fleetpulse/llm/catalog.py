@@ -87,6 +87,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(table(spark, sf_dir, "documents"))
 
 
+def op7_link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_counts(table(spark, sf_dir, "documents"))
+
+
 def op8_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_spans.round_trip(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
@@ -103,6 +107,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_secrets, op3_token_files, op4_warc, op5_url_lists,
-        op6_toxicity, op7_jaccard_join, op8_piece_spans, op9_token_counts, op10_quality,
+        op6_toxicity, op7_jaccard_join, op7_link_counts, op8_piece_spans, op9_token_counts, op10_quality,
     )
 }

@@ -26,7 +26,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import Batches, Memo, bytes_of, map_batches
+from fleetpulse.llm.common import Batches, Memo, bytes_of, map_batches, offsets
 from fleetpulse.llm.graph import components
 from fleetpulse.operators.lookup import lookup_join
 from fleetpulse.sinks.tables import materialize
@@ -316,6 +316,32 @@ def task_links(items: list[np.ndarray], classes: list[int], similar: int) -> lis
     return links
 
 
+def task_counts(items: list[np.ndarray], weights: np.ndarray, sides: np.ndarray, across: bool, similar: int) -> np.ndarray:
+    """Summed weights of the other sets that are similar to each set; with ``across`` only of those on another side.
+
+    A set meets all that share a shingle with it through the holders of its
+    shingles. What is held per set is bounded by the shingles of the task.
+    """
+    sizes = np.asarray([len(i) for i in items])
+    _, numbers = np.unique(np.concatenate(items), return_inverse=True)
+    holders = np.repeat(np.arange(len(items)), sizes)[np.argsort(numbers, kind="stable")]
+    counts = np.bincount(numbers)
+    starts = offsets(counts)
+    begins = offsets(sizes)
+    total = np.zeros(len(items), np.int64)
+    for x, n in enumerate(sizes):
+        own = numbers[begins[x] : begins[x + 1]]
+        held = counts[own]
+        places = np.arange(held.sum()) + np.repeat(starts[own] - offsets(held)[:-1], held)
+        common = np.bincount(holders[places], minlength=len(items))
+        linked = (common > 0) & (100 * common >= similar * (n + sizes - common))
+        linked[x] = False
+        if across:
+            linked &= sides != sides[x]
+        total[x] = weights[linked].sum()
+    return total
+
+
 def _pairs_of(members: DataFrame, similar: int) -> DataFrame:
     """Pairs of fitting sizes in regions of bounded size, once a region; ``meets`` tells whether a link may be found there."""
     left, right = (members.select("region", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "place")]) for x in "ab")
@@ -490,6 +516,57 @@ def classes(documents: DataFrame, key: str = "doc_id", similar: int = SIMILAR) -
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def node_links(nodes: DataFrame, sets: DataFrame, similar: int = SIMILAR, task_items: int = TASK_ITEMS) -> DataFrame:
+    """``node, n_links`` of the linked nodes (node, comp, n, copies): copies of the other nodes that are similar.
+
+    All links of a node lie in its class. A class of up to ``task_items``
+    shingles is counted in one task; a larger one is cut into blocks by hash,
+    and each two blocks, and each block with itself, are a task of their own.
+    """
+    weights = materialize(nodes.groupBy("comp").agg(F.sum("n").alias("items")), "weights")
+    blocks = F.when(F.col("items") > task_items, F.ceil(4 * F.col("items") / F.lit(task_items))).otherwise(1).cast("bigint")
+    sized = lookup_join(nodes, weights, "comp", "node").withColumn("blocks", blocks)
+    sided = sized.withColumn("side", F.pmod(F.xxhash64("node", "comp"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
+    paired = sided.select("node", "comp", "copies", "side", other)
+    low, high = F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high")
+    placed = materialize(paired.select("node", "comp", "copies", "side", low, high), "placed")
+    types = pa.schema([("node", pa.int64()), ("n_links", pa.int64())])
+
+    def count(rows: pa.Table) -> pa.Table:
+        items = [np.frombuffer(i, np.uint64) for i in rows.column("items").to_pylist()]
+        copies, sides = (rows.column(c).to_numpy() for c in ("copies", "side"))
+        across = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
+        total = task_counts(items, copies, sides, across, similar)
+        return pa.table({"node": rows.column("node"), "n_links": pa.array(total, pa.int64())}, schema=types)
+
+    rows = lookup_join(sets.select("node", "items"), placed, "node", "node")
+    counted = rows.groupBy("comp", "low", "high").applyInArrow(count, "node bigint, n_links bigint")
+    return counted.groupBy("node").agg(F.sum("n_links").alias("n_links"))
+
+
+def link_counts(documents: DataFrame, key: str = "doc_id", similar: int = SIMILAR, task_items: int = TASK_ITEMS) -> DataFrame:
+    """One row per document: doc_id, n_links (the other documents of a similarity of at least ``similar`` per cent).
+
+    Rows as in ``classes``: repeated rows and equal texts link with each other,
+    a text without shingles has no links. Every pair of different sets of a
+    class that share a shingle is counted, so a class of many near copies costs
+    as the square of its size.
+    """
+    members, linked = members_of(documents, key, similar)
+    copies = members.filter("node IS NOT NULL").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
+    copies = materialize(copies, "copies")
+    nodes = materialize(linked.join(copies, "node"), "linked")
+    sets = node_sets(documents, members, nodes.select("node"), key)
+    links = materialize(node_links(nodes, sets, similar, task_items), "links")
+    several = copies.filter("copies > 1").select("node", (F.col("copies") - 1).alias("n_links"))
+    answers = several.unionByName(links).groupBy("node").agg(F.sum("n_links").alias("n_links"))
+    answers = materialize(answers, "answers")
+    rows = members.select("doc_id", "node", F.monotonically_increasing_id().alias("spread"))
+    joined = lookup_join(rows, answers, "node", "spread", how="left")
+    return joined.select("doc_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def keep_one(documents: DataFrame, key: str = "doc_id", similar: int = SIMILAR) -> DataFrame:
     """The document with the smallest id of each class, with its own columns; texts without words all stay.
 

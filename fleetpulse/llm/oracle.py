@@ -102,6 +102,11 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id))
 FROM doc LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)
 """
 
+LINK_COUNTS = f"""{JACCARD.partition("edge AS")[0].replace("WITH RECURSIVE", "WITH", 1)}edge AS (SELECT a AS doc_id FROM link UNION ALL SELECT b FROM link)
+SELECT doc_id, coalesce(n_links, 0) AS n_links
+FROM doc LEFT JOIN (SELECT doc_id, count(*) AS n_links FROM edge GROUP BY doc_id) USING (doc_id)
+"""
+
 
 def _quality() -> str:
     steps = " UNION ALL ".join(
@@ -156,5 +161,6 @@ ORACLE = {
     "op4_warc": WARC,
     "op5_url_lists": URL_LISTS,
     "op7_jaccard_join": JACCARD,
+    "op7_link_counts": LINK_COUNTS,
     "op10_quality": _quality(),
 }
