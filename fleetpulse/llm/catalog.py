@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import decontaminate, jaccard_join, piece_spans, quality, secrets, token_counts, token_files, toxicity, url_lists, warc
+from fleetpulse.llm import (
+    centroid_drift, decontaminate, jaccard_join, minmax_dedup, piece_spans, quality, secrets, token_alignment, token_counts,
+    token_files, toxicity, url_lists, warc,
+)
 from fleetpulse.session import scratch_path
 from fleetpulse.sources.tables import read_parquet
 
@@ -103,10 +106,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+def op11_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_drift.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")
+    return token_alignment.report(table(spark, sf_dir, "documents"), first, second)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_secrets, op3_token_files, op4_warc, op5_url_lists,
         op6_toxicity, op7_jaccard_join, op7_link_counts, op8_piece_spans, op9_token_counts, op10_quality,
+        op11_minmax_dedup, op12_centroid_drift, op13_token_alignment,
     )
 }

@@ -1,13 +1,13 @@
 """DuckDB SQL of the queries that SQL can express.
 
-Files (op3), tokenizers (op3, op8, op9), leftmost matching with a token
+Files (op3), tokenizers (op3, op8, op9, op13), leftmost matching with a token
 vocabulary (op2) and a learned grammar (op6) are beyond it; their tests compare
 them with brute force.
 """
 
 from __future__ import annotations
 
-from fleetpulse.llm import quality
+from fleetpulse.llm import centroid_drift, quality
 from fleetpulse.llm.catalog import DAY, FIRST_FETCH
 from fleetpulse.llm.url_lists import OPEN_END, PATH_DEPTH
 
@@ -108,6 +108,42 @@ FROM doc LEFT JOIN (SELECT doc_id, count(*) AS n_links FROM edge GROUP BY doc_id
 """
 
 
+MINMAX = f"""
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept
+FROM ({JACCARD.replace("w[i : i + 4]", "w[i : i + 3]").replace("greatest(len(w) - 4, 1)", "greatest(len(w) - 3, 1)")})
+"""
+
+
+def _centroids() -> str:
+    """Every round as its own step; centroids are rows of whole numbers."""
+    d, scale = centroid_drift.DIMENSIONS, centroid_drift.SCALE
+    nearest = """
+      SELECT n, vec_id, x, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance FROM (
+        SELECT n, vec_id, x, cluster, CAST(list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS distance
+        FROM v, {centroids}) GROUP BY ALL"""
+    nearest = nearest.replace("GROUP BY ALL", "GROUP BY n, vec_id, x")
+    steps = [f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda e: CAST(floor({scale} * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = {d} AND len(list_filter(embedding, lambda e: isfinite(e))) = {d}),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, x) - 1 AS cluster, x AS c
+  FROM (SELECT sha256('{centroid_drift.SEED}:' || vec_id) AS h, x FROM v ORDER BY h, x LIMIT {centroid_drift.CLUSTERS}))"""]
+    for k in range(centroid_drift.ROUNDS):
+        steps.append(f"""a{k} AS MATERIALIZED ({nearest.format(centroids=f"c{k}")}),
+c{k + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(m.c, c{k}.c) AS c FROM c{k} LEFT JOIN (
+    SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM (
+      SELECT cluster, i, sum(e) AS s, count(*) AS n
+      FROM (SELECT cluster, unnest(x) AS e, unnest(range(1, {d + 1})) AS i FROM a{k}) GROUP BY cluster, i) GROUP BY cluster) m USING (cluster))""")
+    last = centroid_drift.ROUNDS
+    steps.append(f"""a AS MATERIALIZED ({nearest.format(centroids=f"c{last}")})
+SELECT vec_id, CAST(cluster AS INT) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a JOIN c{last} USING (cluster)""")
+    return ",\n".join(steps)
+
+
 def _quality() -> str:
     steps = " UNION ALL ".join(
         f"SELECT doc_id, lang, source, '{r.name}' AS rule, {r.floor} AS floor, "
@@ -163,4 +199,6 @@ ORACLE = {
     "op7_jaccard_join": JACCARD,
     "op7_link_counts": LINK_COUNTS,
     "op10_quality": _quality(),
+    "op11_minmax_dedup": MINMAX,
+    "op12_centroid_drift": _centroids(),
 }
