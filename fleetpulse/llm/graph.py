@@ -27,6 +27,25 @@ def components(links: DataFrame) -> DataFrame:
     return stars.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
+def near_components(links: DataFrame) -> DataFrame:
+    """As ``components``, with half the writes, for links of which each node has few to smaller nodes.
+
+    Only the minimum that a hub of many larger nodes meets is written; the step
+    towards smaller nodes stays in the plan.
+    """
+    edges = materialize(_distinct(links.filter("u <> v")), "links")
+    before = None
+    while (state := _state(edges)) != before:
+        before = state
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = _hooked(both, both.filter("v > u"))
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.collect_list("v").alias("met"))
+        ends = F.explode(F.concat(F.array("u"), "met")).alias("end")
+        edges = materialize(_distinct(least.select("m", ends).filter("end <> m").select(F.col("end").alias("u"), F.col("m").alias("v"))), "stars")
+    stars = edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
+    return stars.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
+
+
 def _distinct(edges: DataFrame) -> DataFrame:
     """Each link once, its larger node first."""
     return edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()

@@ -7,12 +7,12 @@ minima. Two permutations (four values) are a band; texts that agree in a band
 share a bucket. At the limit of 80 % a pair misses all 32 bands with a
 probability of 5e-8.
 
-Texts with equal sets are one node. A node first meets one pivot, the smallest
-node of its buckets, which ends most groups of copies. Buckets that still hold
-several classes are put together where they overlap and are compared in one
-task if that is bounded in shingles and in pairs; there the signatures sort out
-pairs and whole sets confirm them. Larger ones meet further pivots, another one
-in every bucket and round, and what is left is compared in pairs of blocks.
+Texts with equal sets are one node. Buckets are put together where they overlap
+and compared in one task if that is bounded in shingles and in pairs; there the
+signatures sort out pairs and whole sets confirm them. The nodes of larger ones
+first meet pivots, another one in every bucket and round, which makes one class
+of most of a group of copies; buckets that still hold several classes are tried
+again, and what is left after some rounds is compared in pairs of blocks.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import Batches, Memo, bytes_of, map_batches
-from fleetpulse.llm.graph import components
+from fleetpulse.llm.common import Batches, Memo, bytes_of, map_batches, offsets
+from fleetpulse.llm.graph import near_components
 from fleetpulse.operators.lookup import lookup_join
 from fleetpulse.sinks.tables import materialize
 
@@ -37,7 +37,7 @@ BAND_PERMUTATIONS = 2
 # Two sets at the limit agree in 102 of 128 values on average; fewer than 70 have a probability below 1e-10.
 LEAST_AGREEMENT = 70
 TASK_ITEMS = 2_000_000  # shingles that one task compares, 16 MB
-TASK_PAIRS = 20_000_000  # pairs of nodes whose signatures one task compares
+TASK_PAIRS = 200_000_000  # places in buckets that one task looks at: the sum of their squared sizes
 BLOCK_NODES = 1_000
 PIVOT_ROUNDS = 3
 MAX_BROADCAST = 8 << 20
@@ -171,40 +171,49 @@ def task_links(
 ) -> Iterator[tuple[int, int]]:
     """Confirmed links between nodes of different classes that share a bucket, as many as it takes to join them.
 
-    Within a bucket one node meets all later ones at once by signature; those that
+    A node meets all later ones of its buckets at once by signature; those that
     agree enough, and are not in its class by then, are compared in full.
     """
-    signatures = np.stack([signature(i) for i in items]).reshape(len(items), -1)
+    # The last byte of each value: never fewer agreements than of whole values, and half of one more by chance.
+    signatures = np.stack([_mixed(signature(i)).astype(np.uint8).ravel() for i in items])
     sizes = np.asarray([len(i) for i in items])
-    parent = list(range(len(items)))
-    first: dict[int, int] = {}
-    for x, own in enumerate(classes):
-        parent[x] = first.setdefault(own, x)
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    holders: dict[int, list[int]] = {}
+    labels = np.unique(np.asarray(classes), return_inverse=True)[1]
+    numbers, starts = np.unique(np.concatenate(items), return_inverse=True)[1], offsets(sizes)
+    held = np.zeros(int(numbers.max()) + 1, bool)
+    found: dict[int, list[int]] = {}
     for x, keys in enumerate(buckets):
         for own in keys:
-            holders.setdefault(own, []).append(x)
-    refused: set[tuple[int, int]] = set()
-    for met in holders.values():
-        for at, x in enumerate(met[:-1]):
-            later = np.asarray(met[at + 1 :])
-            fits = (signatures[later] == signatures[x]).sum(axis=1) >= LEAST_AGREEMENT
-            fits &= 100 * np.minimum(sizes[later], sizes[x]) >= similar * np.maximum(sizes[later], sizes[x])
-            for y in later[fits].tolist():
-                if root(x) == root(y) or (x, y) in refused:
-                    continue
-                if _similar(items[x], items[y], similar):
-                    parent[root(y)] = root(x)
-                    yield x, y
-                else:
-                    refused.add((x, y))
+            found.setdefault(own, []).append(x)
+    holders = {own: np.asarray(met) for own, met in found.items()}
+    for x, keys in enumerate(buckets):
+        met = np.zeros(len(items), bool)
+        for own in keys:
+            met[holders[own]] = True
+        apart = np.flatnonzero(met[x + 1 :]) + x + 1
+        apart = apart[labels[apart] != labels[x]]
+        apart = apart[100 * np.minimum(sizes[apart], sizes[x]) >= similar * np.maximum(sizes[apart], sizes[x])]
+        near = apart[(signatures[apart] == signatures[x]).sum(axis=1) >= LEAST_AGREEMENT]
+        if not len(near):
+            continue
+        held[numbers[starts[x] : starts[x + 1]]] = True
+        ends = np.cumsum(sizes[near])
+        places = np.arange(ends[-1]) + np.repeat(starts[near] - ends + sizes[near], sizes[near])
+        common = np.add.reduceat(held[numbers[places]], ends - sizes[near], dtype=np.int64)
+        held[numbers[starts[x] : starts[x + 1]]] = False
+        for y in near[100 * common >= similar * (sizes[x] + sizes[near] - common)].tolist():
+            if labels[x] != labels[y]:
+                labels[labels == labels[y]] = labels[x]
+                yield x, y
+
+
+def _chosen(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose node is wanted. Nodes are dense numbers, so one bit each tells: 4 KB for 32,768 of them."""
+    place, slot = F.bitmap_bit_position("node"), F.bitmap_bucket_number("node")
+    bits = wanted.groupBy(slot.alias("slot")).agg(F.bitmap_construct_agg(place).alias("bits"))
+    met = _lookup(rows.withColumn("slot", slot), materialize(bits, "bits"), "slot", "node")
+    byte = F.conv(F.hex(F.substring("bits", F.expr("CAST(bitmap_bit_position(node) div 8 + 1 AS INT)"), F.lit(1))), 16, 10).cast("int")
+    held = byte.bitwiseAND(F.expr("shiftleft(1, CAST(bitmap_bit_position(node) % 8 AS INT))")) > 0
+    return met.filter(held).select(*rows.columns)
 
 
 class _Classes:
@@ -217,11 +226,11 @@ class _Classes:
         links = links.toDF("u", "v")
         if self.found is not None:
             links = links.unionByName(self.found.select(F.col("node").alias("u"), F.col("comp").alias("v")))
-        self.found = materialize(components(links), "classes")
+        self.found = materialize(near_components(links), "classes")
 
     def open(self, members: DataFrame) -> DataFrame:
         """Members (bucket, node, n) of buckets with several classes, with comp, size (nodes), items and low (smallest node)."""
-        classed = members.join(self.found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        classed = members.drop("comp").join(self.found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         classed = materialize(classed.select("bucket", "node", "n", "comp"), "classed")
         buckets = classed.groupBy("bucket").agg(
             F.count(F.lit(1)).alias("size"), F.sum("n").alias("items"), F.min("node").alias("low"),
@@ -250,7 +259,7 @@ def _compared(rows: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
 def _unions(opened: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Open members by the regions that their overlapping buckets make: those that fit a task, and those beyond."""
     edges = opened.filter("node <> low").select(F.col("node").alias("u"), F.col("low").alias("v"))
-    union = materialize(components(edges), "unions").withColumnRenamed("comp", "region")
+    union = materialize(near_components(edges), "unions").withColumnRenamed("comp", "region")
     # A bucket lies in one region, that of any of its nodes.
     placed = materialize(opened.join(union, "node"), "regions")
     nodes = placed.dropDuplicates(["node"]).groupBy("region").agg(F.sum("n").alias("region_items"))
@@ -261,7 +270,7 @@ def _unions(opened: DataFrame) -> tuple[DataFrame, DataFrame]:
     return judged.filter("fits"), judged.filter("NOT fits")
 
 
-def _pivot_pairs(opened: DataFrame, level: int) -> DataFrame:
+def _pivot_pairs(opened: DataFrame, level: int, similar: int) -> DataFrame:
     """Every open member with a pivot of its bucket that another round or bucket chooses differently."""
     turned = F.xxhash64("bucket", F.lit(level))
     pivots = opened.groupBy("bucket").agg(F.min(F.col("node").bitwiseXOR(turned)).alias("least"))
@@ -269,7 +278,7 @@ def _pivot_pairs(opened: DataFrame, level: int) -> DataFrame:
     own = opened.select(F.col("bucket"), F.col("node").alias("pivot"), F.col("comp").alias("pivot_comp"), F.col("n").alias("n_pivot"))
     chosen = materialize(own.join(pivots, ["bucket", "pivot"]), "pivots")
     met = _lookup(opened, chosen, "bucket", "node").filter("comp <> pivot_comp")
-    allowed = met.filter(_sizes_allow(F.col("n"), F.col("n_pivot"), SIMILAR))
+    allowed = met.filter(_sizes_allow(F.col("n"), F.col("n_pivot"), similar))
     return allowed.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
 
 
@@ -287,30 +296,27 @@ def _block_pairs(opened: DataFrame) -> DataFrame:
 def node_classes(reps: DataFrame, sets_of, similar: int = SIMILAR) -> DataFrame | None:
     """``node, comp`` of all linked nodes from ``node, n, bands``; ``sets_of`` gives node and items of wanted nodes."""
     postings = reps.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = postings.groupBy("bucket").agg(F.count(F.lit(1)).alias("_size"), F.min("node").alias("pivot"), F.min("n").alias("n_low"))
-    shared = materialize(shared.filter("_size > 1").select("bucket", "pivot"), "shared")
-    members = materialize(_lookup(postings, shared, "bucket", "node"), "members")
+    shared = postings.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("items"), F.min("node").alias("low"), F.max("node").alias("high")
+    )
+    shared = materialize(shared.filter("low < high").drop("high"), "shared")
+    members = _lookup(postings, shared, "bucket", "node").withColumn("comp", F.col("node"))
+    members = materialize(members, "members")
     if members.isEmpty():
         return None
-    sets = sets_of(materialize(members.select("node").distinct(), "wanted"))
+    sets = sets_of(members.select("node").distinct())
     classes = _Classes()
-    home = members.groupBy("node").agg(F.min("pivot").alias("pivot")).filter("node <> pivot")
-    classes.link(_confirmed(home.select(F.col("node").alias("a"), F.col("pivot").alias("b")), sets, similar))
-    members = members.select("bucket", "node", "n")
     for level in range(PIVOT_ROUNDS):
-        members = classes.open(members)
-        if members.isEmpty():
-            return classes.found
-        fitting, members = _unions(members)
+        fitting, beyond = _unions(members)
         rows = fitting.groupBy("region", "node", "comp").agg(F.collect_list("bucket").alias("buckets"))
         classes.link(_compared(rows, sets, similar))
+        if beyond.isEmpty():
+            return classes.found
+        classes.link(_confirmed(_pivot_pairs(beyond, level, similar), sets, similar))
+        members = classes.open(beyond)
         if members.isEmpty():
             return classes.found
-        classes.link(_confirmed(_pivot_pairs(members, level), sets, similar))
-        members = members.select("bucket", "node", "n")
-    members = classes.open(members)
-    if not members.isEmpty():
-        classes.link(_compared(_block_pairs(members), sets, similar))
+    classes.link(_compared(_block_pairs(members), sets, similar))
     return classes.found
 
 
@@ -338,8 +344,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", similar: int = SI
     reps = placed.filter("node = row")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        sets = rows.select(F.col("row").alias("node"), "items")
-        return materialize(_lookup(sets, wanted, "node", "node", how="left_semi"), "sets")
+        return materialize(_chosen(rows.select(F.col("row").alias("node"), "items"), wanted), "sets")
 
     linked = node_classes(reps.select("node", "n", "bands"), sets_of, similar)
     answers = placed.select("row", "doc_id", "n", "node", "first")
