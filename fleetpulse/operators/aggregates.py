@@ -25,7 +25,11 @@ def window_label(length: str) -> str:
 
 
 def tumbling_aggregates(
-    readings: DataFrame, time_col: str = "ts", length: str = WINDOW, exact_scale: int | None = None
+    readings: DataFrame,
+    time_col: str = "ts",
+    length: str = WINDOW,
+    exact_scale: int | None = None,
+    counted: Column | None = None,
 ) -> DataFrame:
     """Average, minimum, maximum of both measures and the row count.
 
@@ -33,6 +37,7 @@ def tumbling_aggregates(
     A plain average of doubles depends on the order of addition. When the
     measures carry a known number of decimals, ``exact_scale`` sums them as
     integers instead: the same result for any partitioning or batch split.
+    ``counted`` is null for rows that are no readings.
     """
     p, t = (F.nanvl(F.col(c), F.lit(None).cast("double")) for c in ("pressure_kpa", "temperature_c"))
     grouped = readings.filter(F.col(time_col).isNotNull()).groupBy(
@@ -45,7 +50,7 @@ def tumbling_aggregates(
         F.max(p).alias("max_pressure"),
         F.min(t).alias("min_temperature"),
         F.max(t).alias("max_temperature"),
-        F.count(F.lit(1)).alias("record_count"),
+        F.count(F.lit(1) if counted is None else counted).alias("record_count"),
     ).select(
         "sensor_id",
         "vehicle_id",
@@ -72,6 +77,24 @@ def with_ingest_time(readings: DataFrame, name: str = "ingest_ts") -> DataFrame:
     return readings.withColumn(name, F.current_timestamp())
 
 
+def clock_windows(
+    readings: DataFrame, ticks: DataFrame, time_col: str = "ingest_ts", length: str = WINDOW, exact_scale: int | None = None
+) -> DataFrame:
+    """Windows by arrival time that the clock closes, though no reading follows.
+
+    The watermark stands behind the union of readings and ``ticks`` (one column
+    ``tick``), so a tick moves it as an arrival does. Ticks go through the
+    aggregation, as a filter before it would be pushed below the watermark:
+    one group a window, which counts no reading and is left out. A reading must
+    not arrive with a time before a tick that was read earlier.
+    """
+    marked = readings.withColumn("_tick", F.lit(False))
+    clock = ticks.select(F.col("tick").alias(time_col), F.lit(True).alias("_tick"))
+    both = marked.unionByName(clock, allowMissingColumns=True).withWatermark(time_col, "0 seconds")
+    windows = tumbling_aggregates(both, time_col, length, exact_scale, counted=F.when(~F.col("_tick"), 1))
+    return windows.filter("record_count > 0")
+
+
 def _mean(measure: Column, exact_scale: int | None) -> Column:
     if exact_scale is None:
         return F.avg(measure)

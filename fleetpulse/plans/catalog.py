@@ -5,6 +5,7 @@ Each runs over whole tables. Times are returned without zone.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 from functools import wraps
@@ -18,8 +19,10 @@ from fleetpulse.functions.times import day_before, event_time_whole_seconds, nai
 from fleetpulse.operators import aggregates, constraints, merge, notify, parse, rules, serving
 from fleetpulse.plans import dataset as data
 from fleetpulse.session import scratch_path, use_utc
+from fleetpulse.sinks import packing
 from fleetpulse.sinks.tables import BatchTable, VersionedTable, append_rows
 from fleetpulse.sinks.topics import alert_messages, as_messages, write_topic_files
+from fleetpulse.sources.clock import recorded_ticks
 from fleetpulse.sources.topics import ARRIVAL, read_topic_files
 from fleetpulse.streaming import jobs
 
@@ -58,11 +61,28 @@ def tumble_agg_1m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def tumble_agg_ingest_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    delay = F.make_dt_interval(secs=(F.col("event_id") % 7).cast("decimal(18,6)"))
-    arrived = data.readings(spark, sf_dir).withColumn("arrival", F.col("ts") + delay)
+    arrived = data.with_arrival(data.readings(spark, sf_dir))
     return aggregates.tumbling_aggregates(arrived, "arrival", exact_scale=data.MEASURE_DECIMALS)
 
 
+@query
+def tumble_agg_clock_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows by arrival, closed by the clock: after the last reading only the clock goes on, and the last windows are written."""
+    table = _aggregate_table(spark)
+    topic, ticks, checkpoint = (scratch_path(spark, n) for n in ("arrived", "ticks", "clock-checkpoint"))
+    arrived = data.with_arrival(data.readings(spark, sf_dir))
+    spans, clock = data.arrivals(arrived)
+    for number, now in enumerate(clock):
+        spans[number].write.mode("append").parquet(topic)
+        for at in [now] if number + 1 < len(clock) else [None, now]:
+            spark.createDataFrame([(at,)] if at else [], "tick timestamp").write.mode("append").parquet(ticks)
+            jobs.start_clock_windows(
+                spark.readStream.schema(arrived.schema).parquet(topic), recorded_ticks(spark, ticks), table, checkpoint,
+                time_col="arrival", exact_scale=data.MEASURE_DECIMALS,
+            ).awaitTermination()
+    return table.read().select(*serving.AGGREGATE_COLUMNS)
+
+
 @query
 def aggregates_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored with ids and whole-second bounds; the first batch is replayed."""
@@ -284,14 +304,35 @@ def alerts_stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def alerts_stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every alert arrives twice; the stream keeps one."""
+    """Every alert arrives again one micro-batch later, with other text; the stream keeps the first."""
     table = BatchTable(spark, scratch_path(spark, "distinct-alerts"), schemas.ALERT)
-    alerts = data.tiered_alerts(data.derive_readings(data.events_stream(spark, sf_dir)))
-    twice = alerts.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    jobs.start_distinct(twice, table, scratch_path(spark, "distinct-checkpoint"), ("copy",)).awaitTermination()
+    topic, checkpoint = scratch_path(spark, "alerts-in"), scratch_path(spark, "distinct-checkpoint")
+    parts = data.arriving_parts(data.readings(spark, sf_dir))
+    for number in range(len(parts) + 1):
+        for copy, sent in enumerate((number, number - 1)):
+            if 0 <= sent < len(parts):
+                again = data.tiered_alerts(parts[sent]).withColumn("copy", F.lit(copy))
+                text = F.when(F.col("copy") == 1, F.lit("sent again")).otherwise(F.col("description"))
+                again.withColumn("description", text).write.mode("append").parquet(topic)
+        alerts = spark.readStream.schema(again.schema).parquet(topic)
+        jobs.start_distinct(alerts, table, checkpoint, ("copy",)).awaitTermination()
     return table.read()
 
 
+@query
+def alerts_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches stored in between two merges of their files; what the merges replaced is gone."""
+    table = _alert_table(spark)
+    alerts = data.tiered_alerts(data.readings(spark, sf_dir), carry=("event_id",))
+    stored = merge.with_alert_defaults(alerts, data.CLOCK).withColumn("id", F.lit(None).cast("bigint"))
+    for part in range(6):
+        table.append(stored.filter(F.col("event_id") % 6 == part), part)
+        if part in (2, 4):
+            packing.pack(table.layout, least=2)
+            packing.expire(table.layout, grace=0, now=time.time() + 1)
+    return table.read().select(*serving.ALERT_COLUMNS)
+
+
 @query
 def vehicles_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = VersionedTable(spark, scratch_path(spark, "vehicles"), schemas.VEHICLE)

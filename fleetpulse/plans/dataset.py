@@ -112,6 +112,22 @@ def arriving_parts(rows: DataFrame) -> list[DataFrame]:
     return [rows.filter((span(n) & ~late) | (span(n - LATE_BY) & late)) for n in range(PARTS)]
 
 
+def with_arrival(rows: DataFrame) -> DataFrame:
+    """Readings with the time they came in, up to six seconds after the event."""
+    delay = F.make_dt_interval(secs=(F.col("event_id") % 7).cast("decimal(18,6)"))
+    return rows.withColumn("arrival", F.col("ts") + delay)
+
+
+def arrivals(rows: DataFrame) -> tuple[list[DataFrame], list[datetime]]:
+    """Readings in ``PARTS`` spans of arrival, and the clock after each span; after the last, the last window's end has passed."""
+    first, last = (rows.agg(F.unix_millis(f("arrival"))).first()[0] or START_MS for f in (F.min, F.max))
+    marks = [first + (last + 1 - first) * n // PARTS for n in range(PARTS)] + [last + 1]
+    at = F.unix_millis("arrival")
+    spans = [rows.filter((at >= low) & (at < high)) for low, high in zip(marks, marks[1:])]
+    clock = [*marks[1:PARTS], last + 60_000]
+    return spans, [datetime.fromtimestamp(ms / 1000, timezone.utc) for ms in clock]
+
+
 def with_repeats(rows: DataFrame) -> DataFrame:
     """Some readings are followed by a repeat with the same time and a very low pressure."""
     copies = F.explode(F.expr("CASE WHEN event_id % 50 = 7 THEN array(0, 1) ELSE array(0) END"))

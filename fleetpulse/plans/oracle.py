@@ -210,6 +210,9 @@ def oracles() -> dict[str, str]:
         "tumble_agg_ingest_time": _READINGS
         + _windows("ts + to_seconds(event_id % 7)")
         + f" SELECT {_AGGREGATE_COLUMNS} FROM aggs",
+        "tumble_agg_clock_stream": _READINGS
+        + _windows("ts + to_seconds(event_id % 7)")
+        + f" SELECT {_AGGREGATE_COLUMNS} FROM aggs",
         "aggregates_to_table": windows + f" SELECT {_AGGREGATE_ID} AS id, {_AGGREGATE_COLUMNS}, {_CLOCK} AS created_at FROM aggs",
         "windows_from_json": messages
         + _JSON_WINDOWS
@@ -300,6 +303,7 @@ FROM (
         "alerts_fan_out": _BOTH_BRANCHES,
         "alerts_stream_fan_out": _BOTH_BRANCHES,
         "alerts_stream_distinct": tiered + f" SELECT {_ALERT_COLUMNS} FROM tiered",
+        "alerts_packed": tiered + f" SELECT {_ALERT_COLUMNS} FROM tiered",
         "vehicles_upsert": "WITH"
         + _VEHICLES.lstrip(",")
         + _CHANGES

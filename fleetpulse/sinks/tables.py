@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from fleetpulse.functions.times import Clock, at, utc_day
 from fleetpulse.session import scratch_path
+from fleetpulse.sinks.packing import Layout
 
 
 def materialize(rows: DataFrame, label: str) -> DataFrame:
@@ -35,7 +36,8 @@ class BatchTable:
     A replayed batch replaces its own folder, so appending is idempotent. With
     ``day_of`` the day comes first in the layout, so that a reader opens and
     lists only the days it asks for. There a replay replaces the days it holds,
-    which are the same ones, as a stream repeats the same input.
+    which are the same ones, as a stream repeats the same input. Many small
+    batches are merged with ``packing.pack(table.layout)``.
     """
 
     spark: SparkSession
@@ -43,49 +45,49 @@ class BatchTable:
     schema: T.StructType
     day_of: str | None = None
 
+    @property
+    def layout(self) -> Layout:
+        parts = () if self.day_of is None else (T.StructField("day", T.DateType()),)
+        return Layout(self.spark, self.path, self.schema, parts)
+
     def append(self, rows: DataFrame, batch_id: int, writer: str = "main", clustered: bool = False) -> None:
-        """Writes one batch.
+        """Writes one batch; one without rows leaves no folder.
 
         Unless ``clustered`` (already in day order), rows are ranged by day and
         a hash: a task then writes few days, and a hot day has many tasks.
         """
         out = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-        if self.day_of is None:
-            out.write.mode("overwrite").parquet(f"{self.path}/writer={writer}/batch_id={batch_id}")
-            return
-        days = out.withColumn("day", utc_day(F.col(self.day_of)))
-        if not clustered:
-            days = days.repartitionByRange("day", F.xxhash64(*self.schema.names))
-        placed = days.withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id)})
-        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "day", "writer", "batch_id"
-        ).parquet(self.path)
+        folders = ["writer", "batch_id"]
+        if self.day_of is not None:
+            folders.insert(0, "day")
+            out = out.withColumn("day", utc_day(F.col(self.day_of)))
+            if not clustered:
+                out = out.repartitionByRange("day", F.xxhash64(*self.schema.names))
+        placed = out.withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id)})
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(self.path)
 
     def read(
         self,
         without: tuple[str, int] | None = None,
-        only: tuple[str, int] | None = None,
         days: Iterable[date] | None = None,
         since: date | None = None,
     ) -> DataFrame:
         """All rows, or less.
 
-        ``without`` leaves one (writer, batch) out and ``only`` keeps one.
-        ``days`` and ``since`` open just those day folders; rows without a time
-        are in none of them.
+        ``without`` leaves one (writer, batch) out. ``days`` and ``since`` open
+        just those day folders; rows without a time are in none of them.
         """
-        folders = [self.path]
+        folders = None
         if days is not None or since is not None:
             wanted = None if days is None else set(days)
             kept = [d for d in self.stored_days() if (wanted is None or d in wanted) and (since is None or d >= since)]
-            folders = [f"{self.path}/day={d}" for d in kept]
-        rows = self._scan(folders) if folders else None
+            folders = [f"day={d}" for d in kept]
+        rows = self.layout.read(folders)
         if rows is None:
             return self.spark.createDataFrame([], self.schema)
         if without is not None:
-            rows = rows.filter((F.col("writer") != without[0]) | (F.col("batch_id") != without[1]))
-        if only is not None:
-            rows = rows.filter((F.col("writer") == only[0]) & (F.col("batch_id") == only[1]))
+            own = (F.col("writer") == without[0]) & F.col("batch_id").eqNullSafe(F.lit(without[1]))
+            rows = rows.filter(~own)
         if since is not None:
             rows = rows.filter(F.col("day") >= F.lit(since))
         return rows.select(*self.schema.names)
@@ -107,26 +109,11 @@ class BatchTable:
         return self.read()
 
     def stored_days(self) -> list[date]:
-        """Days that have a folder: one listing of the table's top level."""
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        files = root.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        if not files.exists(root):
-            return []
-        found = (re.fullmatch(r"day=(\d{4}-\d\d-\d\d)", entry.getPath().getName()) for entry in files.listStatus(root))
-        return [date.fromisoformat(match[1]) for match in found if match]
-
-    def _scan(self, folders: list[str]) -> DataFrame | None:
-        layout = [T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())]
-        if self.day_of is not None:
-            layout.insert(0, T.StructField("day", T.DateType()))
-        reader = self.spark.read.schema(T.StructType([*self.schema.fields, *layout]))
-        try:
-            return reader.option("basePath", self.path).parquet(*folders)
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        """Days that have a folder: one listing of the table's top level, and of its packed copies'."""
+        layout = self.layout
+        entries = [*layout.listed(layout.path), *layout.listed(layout.packed_path)]
+        found = (re.fullmatch(r"day=(\d{4}-\d\d-\d\d)", entry.getPath().getName()) for entry in entries)
+        return sorted({date.fromisoformat(match[1]) for match in found if match})
 
 
 class LostRace(RuntimeError):

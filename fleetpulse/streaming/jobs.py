@@ -20,12 +20,20 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from fleetpulse.functions import schemas
 from fleetpulse.functions.times import Clock, at, utc_day
 from fleetpulse.operators import parse
-from fleetpulse.operators.aggregates import WATERMARK_DELAY, WINDOW, tumbling_aggregates, with_watermark
+from fleetpulse.operators.aggregates import (
+    WATERMARK_DELAY,
+    WINDOW,
+    clock_windows,
+    tumbling_aggregates,
+    with_ingest_time,
+    with_watermark,
+)
 from fleetpulse.operators.constraints import AGGREGATE_LENGTHS, AGGREGATE_REQUIRED, ALERT_LENGTHS, ALERT_REQUIRED, split_storable
 from fleetpulse.operators.merge import insert_ignore, with_alert_defaults, with_serial_id
 from fleetpulse.operators.notify import notifications
 from fleetpulse.operators.rules import RuleSet, apply_rules
 from fleetpulse.operators.serving import ALERT_COLUMNS
+from fleetpulse.sinks.keys import KeyIndex
 from fleetpulse.sinks.tables import BatchTable
 
 AVAILABLE_NOW: dict = {"availableNow": True}
@@ -83,21 +91,42 @@ def store_alerts(
     ``arrival`` names the columns that say which repeat came first. The batch's own folder is left out of the stored keys, or a replay would
     reject its own rows. ``ids_carry_time`` says that equal ids imply equal
     event times, as for rule-made ids; then only the stored days that the
-    batch touches are opened. ``serial`` numbers the rows. Alerts without a
+    batch touches are opened. Otherwise ids are looked up in the table's key
+    index, which opens only the buckets that hold ids like the batch's; a table
+    that has an index goes on keeping it. ``serial`` numbers the rows. Alerts without a
     required value, or with too long a text, go to ``rejected_table``.
     """
     with held(alerts):
         split = split_storable(alerts, ALERT_REQUIRED, ALERT_LENGTHS)
         rejected_table(table).append(split.rejected, batch_id, writer)
-        days = None
-        if ids_carry_time and table.day_of is not None:
-            day = utc_day(F.col(table.day_of))
-            known = split.valid.select(day.alias("day")).filter(F.col("day").isin(table.stored_days()))
-            days = [row.day for row in known.distinct().collect()]
-        stored = table.read(without=(writer, batch_id), days=days)
+        keys = known_keys(table)
+        indexed = keys.exists()
+        if ids_carry_time and not indexed:
+            days = None
+            if table.day_of is not None:
+                day = utc_day(F.col(table.day_of))
+                known = split.valid.select(day.alias("day")).filter(F.col("day").isin(table.stored_days()))
+                days = [row.day for row in known.distinct().collect()]
+            stored = table.read(without=(writer, batch_id), days=days)
+        else:
+            if not indexed:
+                _index_stored(table, keys, writer, batch_id)
+            stored = keys.among(split.valid, without=(writer, batch_id))
         fresh = with_alert_defaults(insert_ignore(split.valid, stored, arrival), clock)
         with held(fresh):
             _append_numbered(fresh, ["timestamp", "alert_id"], table, batch_id, writer, serial)
+            if indexed or not ids_carry_time:
+                keys.add(fresh, batch_id, writer)
+
+
+def known_keys(table: BatchTable) -> KeyIndex:
+    """The alert ids that a table holds, by hash bucket."""
+    return KeyIndex(table.spark, f"{table.path}-keys")
+
+
+def _index_stored(table: BatchTable, keys: KeyIndex, writer: str, batch_id: int) -> None:
+    """Starts the index of a table that may hold rows already; its one full read."""
+    keys.add(table.read(without=(writer, batch_id)).select("alert_id"), -1, "before")
 
 
 def store_aggregates(
@@ -120,7 +149,7 @@ def store_aggregates(
         _append_numbered(stamped, ["window_start", "sensor_id", "vehicle_id"], table, batch_id, writer, serial)
 
 
-_ID_RECORD = T.StructType([T.StructField("start", T.LongType()), T.StructField("last", T.LongType())])
+_ID_RECORD = T.StructType([T.StructField(n, T.LongType()) for n in ("_batch", "start", "last")])
 
 
 def _append_numbered(
@@ -128,20 +157,23 @@ def _append_numbered(
 ) -> None:
     """Appends a batch, with serial ids if wanted.
 
-    One record a batch keeps the ids it took. The next batch goes on from the
-    highest of them, so the table itself is not read, and a replay starts from
-    its own record, so its rows keep their ids. One writer numbers at a time.
+    A record keeps the ids that a batch took. A writer has two records, of its
+    newest batch and the one before: the next batch goes on from the highest
+    of them, and a replay starts from its own, so its rows keep their ids.
+    Neither the table nor older records are read. One writer numbers at a time.
     """
     if not serial:
         table.append(rows.withColumn("id", F.lit(None).cast("bigint")), batch_id, writer)
         return
     records = BatchTable(table.spark, f"{table.path}-ids", _ID_RECORD)
-    own = records.read(only=(writer, batch_id)).agg(F.max("start")).first()[0]
-    if own is None:
-        own = records.read().agg(F.coalesce(F.max("last"), F.lit(0))).first()[0]
-    numbered = with_serial_id(rows, order, start=own)
-    taken = numbered.agg(F.lit(own).alias("start"), F.coalesce(F.max("id"), F.lit(own)).alias("last"))
-    records.append(taken, batch_id, writer)
+    slot = batch_id % 2
+    known = records.layout.read()
+    taken = [] if known is None else known.select("writer", "_batch", "start", "last").collect()
+    own = [r.start for r in taken if (r.writer, r._batch) == (writer, batch_id)]
+    start = own[0] if own else max((r.last for r in taken), default=0)
+    numbered = with_serial_id(rows, order, start=start)
+    record = numbered.agg(F.lit(start).alias("start"), F.coalesce(F.max("id"), F.lit(start)).alias("last"))
+    records.append(record.withColumn("_batch", F.lit(batch_id)), slot, writer)
     table.append(numbered, batch_id, writer, clustered=True)
 
 
@@ -247,9 +279,18 @@ def start_quarantine(
 def store_distinct(
     alerts: DataFrame, batch_id: int, table: BatchTable, arrival: tuple[str, ...], writer: str = "distinct"
 ) -> None:
-    """Insert-ignore of one batch by alert id, however late an alert is; without an id it is refused."""
-    stored = table.read(without=(writer, batch_id))
-    table.append(insert_ignore(alerts, stored, arrival), batch_id, writer)
+    """Insert-ignore of one batch by alert id, however late an alert is; without an id it is refused.
+
+    Only the key buckets that the batch's ids fall into are opened.
+    """
+    with held(alerts):
+        keys = known_keys(table)
+        if not keys.exists():
+            _index_stored(table, keys, writer, batch_id)
+        fresh = insert_ignore(alerts, keys.among(alerts, without=(writer, batch_id)), arrival)
+        with held(fresh):
+            table.append(fresh, batch_id, writer)
+            keys.add(fresh, batch_id, writer)
 
 
 def start_distinct(
@@ -294,6 +335,32 @@ def start_aggregates(
     return _start(closed, write, checkpoint, trigger)
 
 
+def start_clock_windows(
+    readings: DataFrame,
+    ticks: DataFrame,
+    table: BatchTable,
+    checkpoint: str,
+    trigger: dict = AVAILABLE_NOW,
+    writer: str = "aggregates",
+    time_col: str | None = None,
+    length: str = WINDOW,
+    exact_scale: int | None = None,
+    clock: Clock = None,
+) -> StreamingQuery:
+    """Readings stream to windows by arrival, closed by the clock; a quiet sensor's last window is written too.
+
+    ``ticks`` is ``sources.clock.clock_ticks`` in a running job. Without
+    ``time_col`` readings are stamped as they arrive.
+    """
+    stamped = with_ingest_time(readings) if time_col is None else readings
+    closed = clock_windows(stamped, ticks, time_col or "ingest_ts", length, exact_scale)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store_aggregates(batch, batch_id, table, writer, clock, serial=False)
+
+    return _start(closed, write, checkpoint, trigger)
+
+
 def start_notifications(
     messages: DataFrame,
     read_vehicles: Callable[[], DataFrame],
