@@ -91,6 +91,8 @@ STORED_AGGREGATE = T.StructType([T.StructField("id", _LONG), *AGGREGATE.fields,
 
 VEHICLE = _struct(("vehicle_id", _STR), ("owner_email", _STR), ("driver_email", _STR), ("created_at", _TS))
 
+METRIC = _struct(("vehicle_id", _STR), ("sensor_id", _STR), ("timestamp", _TS), ("pressure_kpa", _DBL), ("temperature_c", _DBL))
+
 TIRE_DATA = _struct(("tire_id", _STR), ("pressure", _DBL), ("temperature", _DBL), ("timestamp", _TS))
 
 # Ingest message: the epoch-seconds time may be a number or text.

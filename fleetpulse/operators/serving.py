@@ -79,6 +79,19 @@ def latest_per_vehicle(rows: DataFrame, ties: list[str], limit: int = PER_VEHICL
     return rows.withColumn("rank", F.row_number().over(newest)).filter(F.col("rank") <= limit)
 
 
+def newest_rows(ties: list[str], limit: int = PER_VEHICLE_LIMIT):
+    """A merge of stored newest rows with a batch, for ``BucketTable.update``: the newest of both, each row once.
+
+    Late rows find their place, and a replayed batch changes nothing.
+    """
+
+    def merged(existing: DataFrame, batch: DataFrame) -> DataFrame:
+        both = existing.unionByName(batch.select(*existing.columns)).dropDuplicates(["vehicle_id", "timestamp", *ties])
+        return latest_per_vehicle(both, ties, limit).drop("rank")
+
+    return merged
+
+
 def unresolved(alerts: DataFrame) -> DataFrame:
     """Open alerts; an unknown flag is not open."""
     return alerts.filter(~F.col("is_resolved"))

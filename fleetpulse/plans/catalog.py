@@ -10,16 +10,18 @@ from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.functions import schemas
 from fleetpulse.functions.text import iso_timestamp
 from fleetpulse.functions.times import day_before, event_time_whole_seconds, naive
 from fleetpulse.operators import aggregates, constraints, merge, notify, parse, rules, serving
+from fleetpulse.operators.summaries import Summaries
 from fleetpulse.plans import dataset as data
 from fleetpulse.session import scratch_path, use_utc
 from fleetpulse.sinks import packing
+from fleetpulse.sinks.buckets import BucketTable
 from fleetpulse.sinks.tables import BatchTable, VersionedTable, append_rows
 from fleetpulse.sinks.topics import alert_messages, as_messages, write_topic_files
 from fleetpulse.sources.clock import recorded_ticks
@@ -419,6 +421,69 @@ def stored_recent_aggregations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.recent_aggregations(recent, as_of).select(*serving.AGGREGATE_COLUMNS)
 
 
+@query
+def stored_dashboard_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals from the summaries of merged days and the batches behind them."""
+    alerts, windows = _alert_table(spark), _aggregate_table(spark)
+    summaries = Summaries(spark, scratch_path(spark, "summaries"), alerts, windows)
+    parts = data.arriving_parts(data.readings(spark, sf_dir))
+    stored = data.aggregate_table(data.readings(spark, sf_dir)).withColumns({"id": _no_id(), "created_at": F.lit(data.CLOCK)})
+    for number, part in enumerate(parts):
+        alerts.append(data.alert_table(part).withColumn("id", _no_id()), number)
+        windows.append(stored.filter(F.pmod(F.xxhash64("sensor_id", "window_start"), F.lit(len(parts))) == number), number)
+        if number in (1, 2):
+            for table in (alerts, windows):
+                packing.pack(table.layout, least=1)
+            summaries.refresh(number)
+    return summaries.dashboard(clock=data.CLOCK)
+
+
+@query
+def stored_current_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open alerts of the stored table; the flag is filtered in the scan."""
+    table = _alert_table(spark)
+    table.append(data.alert_table(data.readings(spark, sf_dir)).withColumn("id", _no_id()), 0)
+    return serving.current_alerts(table.read().drop("id"))
+
+
+@query
+def stored_high_alerts_last_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly alarm over the stored table; alerts are stored at most a day after their time, so older days stay closed."""
+    table = _alert_table(spark)
+    rows = data.readings(spark, sf_dir)
+    table.append(data.alert_table(rows).withColumn("id", _no_id()), 0)
+    newest = rows.agg(F.unix_micros(F.max("ts"))).first()[0]
+    as_of = datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=newest)
+    recent = table.read(since=day_before(as_of, timedelta(days=1, hours=1)))
+    return serving.high_alerts_since(recent, as_of)
+
+
+@query
+def vehicle_latest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest metrics of every vehicle, kept batch by batch, with late rows."""
+    table = BucketTable(spark, scratch_path(spark, "latest"), schemas.METRIC, "vehicle_id")
+    topic, checkpoint = scratch_path(spark, "metrics"), scratch_path(spark, "latest-checkpoint")
+    for part in data.arriving_parts(data.readings(spark, sf_dir)):
+        metrics = part.withColumn("timestamp", F.col("ts")).select(*schemas.METRIC.names)
+        metrics.write.mode("append").parquet(topic)
+        jobs.start_latest(spark.readStream.schema(schemas.METRIC).parquet(topic), table, checkpoint, ["sensor_id"]).awaitTermination()
+    return serving.latest_per_vehicle(table.read(), ["sensor_id"])
+
+
+@query
+def vehicles_upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``vehicles_upsert``, but only the buckets of changed vehicles are rewritten."""
+    table = BucketTable(spark, scratch_path(spark, "vehicle-buckets"), schemas.VEHICLE, "vehicle_id")
+    table.update(data.vehicles(spark, sf_dir), lambda _, batch: batch)
+    changed = ["owner_email", "driver_email"]
+    for _ in range(2):
+        table.update(
+            data.contact_changes(spark, sf_dir),
+            lambda existing, batch: merge.upsert(existing, batch, "vehicle_id", changed, clock=data.CLOCK),
+        )
+    return table.read()
+
+
 @query
 def vehicle_latest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.latest_per_vehicle(
@@ -522,6 +587,10 @@ def notifications_unroutable(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _no_id() -> Column:
+    return F.lit(None).cast("bigint")
+
+
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return data.raw_messages(data.readings(spark, sf_dir))
 

@@ -202,7 +202,7 @@ def oracles() -> dict[str, str]:
     battery = "CASE WHEN fault IN (1, 2, 3) THEN NULL ELSE battery_voltage END AS battery_voltage"
     strict_pressure = "CASE WHEN fault IN (1, 2, 3) THEN NULL ELSE pressure_kpa END AS pressure_kpa"
     case = _READINGS + _CASE
-    return {
+    plain = {
         "tumble_agg_1m": windows + f" SELECT {_AGGREGATE_COLUMNS} FROM aggs",
         "tumble_agg_1m_stream": windows
         + f" SELECT {_AGGREGATE_COLUMNS} FROM aggs"
@@ -375,3 +375,12 @@ SELECT (SELECT count(*) FROM alert_table) AS total_alerts_history,
         + " SELECT alert_id, vehicle_id, alert_type, severity FROM tiered t WHERE NOT EXISTS"
         " (SELECT 1 FROM vehicles v WHERE v.vehicle_id = t.vehicle_id AND v.owner_email <> '')",
     }
+    # Stored and streamed forms have the answers of the derived ones.
+    same = {
+        "stored_dashboard_summary": "dashboard_summary",
+        "stored_current_alerts": "current_alerts",
+        "stored_high_alerts_last_hour": "high_alerts_last_hour",
+        "vehicle_latest_stream": "vehicle_latest_metrics",
+        "vehicles_upsert_buckets": "vehicles_upsert",
+    }
+    return plain | {name: plain[as_] for name, as_ in same.items()}

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from fleetpulse.sinks.packing import Layout
 
-BUCKETS = 256
+BUCKETS = 32
 PUSHED_KEYS = 64
 
 

@@ -41,19 +41,38 @@ class Layout:
 
         None if there is no such folder.
         """
-        fresh = self._scan(self.path, "batch_id", folders)
+        fresh, packed = self.fresh(folders), self.packed(folders)
+        if packed is None:
+            return fresh
+        packed = packed.drop("through").withColumn("batch_id", F.lit(None).cast("bigint"))
+        return packed if fresh is None else packed.unionByName(fresh)
+
+    def packed(self, folders: Sequence[str] | None = None) -> DataFrame | None:
+        """Rows of the newest copies, with their part, writer and through (the last batch that the copy holds)."""
         packed = self._scan(self.packed_path, "through", folders)
         if packed is None:
+            return None
+        newest = F.broadcast(self._newest(packed))
+        current = packed.alias("rows").join(newest, self._same_group() & (F.col("rows.through") == F.col("newest.covered")))
+        return current.select("rows.*")
+
+    def copies(self) -> DataFrame | None:
+        """The newest copies: part, writer and through, a row each, from the folders' names."""
+        packed = self._scan(self.packed_path, "through", None)
+        return None if packed is None else self._newest(packed).withColumnRenamed("covered", "through")
+
+    def folder(self, *values: object) -> str:
+        """Folder of one writer's rows in the part of these values, the writer last."""
+        names = [*(f.name for f in self.parts), "writer"]
+        return "/".join(f"{n}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for n, v in zip(names, values))
+
+    def fresh(self, folders: Sequence[str] | None = None) -> DataFrame | None:
+        """Rows of the batches that no copy holds, with their part, writer and batch_id."""
+        fresh, packed = self._scan(self.path, "batch_id", folders), self._scan(self.packed_path, "through", folders)
+        if fresh is None or packed is None:
             return fresh
-        names = [*self.schema.names, *(f.name for f in self.parts), "writer"]
         newest = F.broadcast(self._newest(packed))
-        same = self._same_group
-        current = packed.alias("rows").join(newest, same() & (F.col("rows.through") == F.col("newest.covered")))
-        both = current.select(*[F.col(f"rows.{n}") for n in names], F.lit(None).cast("bigint").alias("batch_id"))
-        if fresh is None:
-            return both
-        behind = fresh.alias("rows").join(newest, same() & (F.col("rows.batch_id") <= F.col("newest.covered")), "left_anti")
-        return both.unionByName(behind.select(*names, "batch_id"))
+        return fresh.alias("rows").join(newest, self._same_group() & (F.col("rows.batch_id") <= F.col("newest.covered")), "left_anti")
 
     def _newest(self, packed: DataFrame) -> DataFrame:
         """The last batch that copies hold, by part and writer: a row for each."""

@@ -32,7 +32,8 @@ from fleetpulse.operators.constraints import AGGREGATE_LENGTHS, AGGREGATE_REQUIR
 from fleetpulse.operators.merge import insert_ignore, with_alert_defaults, with_serial_id
 from fleetpulse.operators.notify import notifications
 from fleetpulse.operators.rules import RuleSet, apply_rules
-from fleetpulse.operators.serving import ALERT_COLUMNS
+from fleetpulse.operators.serving import ALERT_COLUMNS, latest_per_vehicle, newest_rows
+from fleetpulse.sinks.buckets import BucketTable
 from fleetpulse.sinks.keys import KeyIndex
 from fleetpulse.sinks.tables import BatchTable
 
@@ -361,6 +362,21 @@ def start_clock_windows(
     return _start(closed, write, checkpoint, trigger)
 
 
+def start_latest(
+    rows: DataFrame, table: BucketTable, checkpoint: str, ties: list[str], trigger: dict = AVAILABLE_NOW
+) -> StreamingQuery:
+    """Keeps the newest rows of every vehicle; a batch rewrites only the buckets of its vehicles.
+
+    Each batch is cut to the newest rows of a vehicle before it meets them.
+    """
+
+    def write(batch: DataFrame, _: int) -> None:
+        with held(latest_per_vehicle(batch, ties).drop("rank")) as newest:
+            table.update(newest, newest_rows(ties))
+
+    return _start(rows, write, checkpoint, trigger)
+
+
 def start_notifications(
     messages: DataFrame,
     read_vehicles: Callable[[], DataFrame],
