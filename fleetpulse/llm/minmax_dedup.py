@@ -17,8 +17,6 @@ again, and what is left after some rounds is compared in pairs of blocks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -166,10 +164,8 @@ def _similar(x: np.ndarray, y: np.ndarray, similar: int) -> bool:
     return 100 * common >= similar * (len(x) + len(y) - common)
 
 
-def task_links(
-    items: list[np.ndarray], classes: list[int], buckets: list[list[int]], similar: int
-) -> Iterator[tuple[int, int]]:
-    """Confirmed links between nodes of different classes that share a bucket, as many as it takes to join them.
+def task_classes(items: list[np.ndarray], classes: list[int], buckets: list[list[int]], similar: int) -> np.ndarray:
+    """The classes of sets, joined by confirmed links between those that share a bucket: equal numbers are one class.
 
     A node meets all later ones of its buckets at once by signature; those that
     agree enough, and are not in its class by then, are compared in full.
@@ -203,7 +199,7 @@ def task_links(
         for y in near[100 * common >= similar * (sizes[x] + sizes[near] - common)].tolist():
             if labels[x] != labels[y]:
                 labels[labels == labels[y]] = labels[x]
-                yield x, y
+    return labels
 
 
 def _chosen(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -222,6 +218,11 @@ class _Classes:
     def __init__(self) -> None:
         self.found: DataFrame | None = None
 
+    def start(self, stars: DataFrame) -> None:
+        """Classes of regions that share no node, from links of nodes to the smallest of their class."""
+        stars = materialize(stars, "stars").select(F.col("u").alias("node"), F.col("v").alias("comp"))
+        self.found = stars.unionByName(stars.select(F.col("comp").alias("node"), "comp").distinct())
+
     def link(self, links: DataFrame) -> None:
         links = links.toDF("u", "v")
         if self.found is not None:
@@ -241,15 +242,17 @@ class _Classes:
 
 
 def _compared(rows: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """Links ``u, v`` within each region of ``region, node, comp, buckets``, one task a region."""
+    """Links ``u, v`` from nodes to the smallest of their class within each region of ``region, node, comp, buckets``; one task a region."""
     types = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("node")
-        nodes = table.column("node").to_pylist()
         items = [np.frombuffer(i, np.uint64) for i in table.column("items").to_pylist()]
-        found = list(task_links(items, table.column("comp").to_pylist(), table.column("buckets").to_pylist(), similar))
-        return pa.table({"u": [nodes[x] for x, _ in found], "v": [nodes[y] for _, y in found]}, schema=types)
+        labels = task_classes(items, table.column("comp").to_pylist(), table.column("buckets").to_pylist(), similar)
+        _, first, own = np.unique(labels, return_index=True, return_inverse=True)
+        nodes, smallest = table.column("node").to_numpy(), first[own]
+        linked = smallest != np.arange(len(nodes))
+        return pa.table([nodes[linked], nodes[smallest[linked]]], schema=types)
 
     placed = materialize(rows, "placed")
     joined = placed.join(sets.select("node", "items"), "node").select("region", "node", "comp", "buckets", "items")
@@ -309,7 +312,8 @@ def node_classes(reps: DataFrame, sets_of, similar: int = SIMILAR) -> DataFrame
     for level in range(PIVOT_ROUNDS):
         fitting, beyond = _unions(members)
         rows = fitting.groupBy("region", "node", "comp").agg(F.collect_list("bucket").alias("buckets"))
-        classes.link(_compared(rows, sets, similar))
+        found = _compared(rows, sets, similar)
+        classes.link(found) if level else classes.start(found)
         if beyond.isEmpty():
             return classes.found
         classes.link(_confirmed(_pivot_pairs(beyond, level, similar), sets, similar))
