@@ -273,6 +273,20 @@ def _unions(opened: DataFrame) -> tuple[DataFrame, DataFrame]:
     return judged.filter("fits"), judged.filter("NOT fits")
 
 
+def _members(postings: DataFrame, shared: DataFrame) -> DataFrame:
+    """The postings of shared buckets, with what is known of the buckets.
+
+    A bucket's size tells into how many salted parts it is split, so postings
+    are not counted again. At most all postings / ``ROWS_PER_TASK`` are split.
+    """
+    parts = F.ceil(F.col("size") / F.lit(ROWS_PER_TASK)).cast("bigint")
+    split = F.broadcast(shared.filter(F.col("size") > ROWS_PER_TASK).select("bucket", parts.alias("parts")))
+    salt = F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1)))
+    salted = postings.join(split, "bucket", "left").withColumn("salt", salt).drop("parts")
+    table = shared.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
+    return salted.join(table, ["bucket", "salt"]).drop("salt")
+
+
 def _pivot_pairs(opened: DataFrame, level: int, similar: int) -> DataFrame:
     """Every open member with a pivot of its bucket that another round or bucket chooses differently."""
     turned = F.xxhash64("bucket", F.lit(level))
@@ -303,8 +317,7 @@ def node_classes(reps: DataFrame, sets_of, similar: int = SIMILAR) -> DataFrame
         F.count(F.lit(1)).alias("size"), F.sum("n").alias("items"), F.min("node").alias("low"), F.max("node").alias("high")
     )
     shared = materialize(shared.filter("low < high").drop("high"), "shared")
-    members = _lookup(postings, shared, "bucket", "node").withColumn("comp", F.col("node"))
-    members = materialize(members, "members")
+    members = materialize(_members(postings, shared).withColumn("comp", F.col("node")), "members")
     if members.isEmpty():
         return None
     sets = sets_of(members.select("node").distinct())

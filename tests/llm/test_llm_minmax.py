@@ -41,9 +41,9 @@ def chains(seed, families, copies, length=90):
 SPECIAL = ["", None, " \n\t", "one", "One", "one two", "a b c d", "A b C d", "a b c d e", "a b c d"]
 
 
-@pytest.mark.parametrize("bounds", [(2_000_000, 20_000_000, 1_000), (3_000, 20_000_000, 4), (2_000_000, 30, 7), (200, 4, 3)])
+@pytest.mark.parametrize("bounds", [(2_000_000, 20_000_000, 1_000, 50_000), (200, 4, 3, 5)])
 def test_classes_equal_all_pairs(spark, monkeypatch, bounds):
-    for name, value in zip(("TASK_ITEMS", "TASK_PAIRS", "BLOCK_NODES"), bounds):
+    for name, value in zip(("TASK_ITEMS", "TASK_PAIRS", "BLOCK_NODES", "ROWS_PER_TASK"), bounds):
         monkeypatch.setattr(minmax_dedup, name, value)
     texts = chains(3, 4, 25) + SPECIAL + chains(3, 1, 3)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
