@@ -285,8 +285,9 @@ def alerts_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, topic = _alert_table(spark), scratch_path(spark, "alert-topic")
     alerts = data.tiered_alerts(data.readings(spark, sf_dir))
     jobs.fan_out(
-        alerts, 0, table, lambda batch, n: write_topic_files(batch, topic, n), ("alert_id",), clock=data.CLOCK, serial=False
-    )
+        alerts, 0, table, lambda batch, n: write_topic_files(batch, topic, n), ("alert_id",), clock=data.CLOCK,
+        ids_carry_time=True, serial=False,
+    )
     return _both_branches(spark, table, topic)
 
 
@@ -399,7 +400,8 @@ def latest_aggregations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stored_latest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _alert_table(spark)
-    jobs.store_alerts(data.tiered_alerts(data.readings(spark, sf_dir)), 0, table, ("alert_id",), clock=data.CLOCK)
+    alerts = data.tiered_alerts(data.readings(spark, sf_dir))
+    jobs.store_alerts(alerts, 0, table, ("alert_id",), clock=data.CLOCK, ids_carry_time=True)
     return serving.alert_response(serving.latest_alerts(table.newest(serving.LATEST_LIMIT)))
 
 
