@@ -35,9 +35,14 @@ def utc_day(ts: Column) -> Column:
     return F.date_add(F.date_from_unix_date(F.lit(0)), days.cast("int"))
 
 
+_ZONELESS = r"^\s*\d{4}-\d{1,2}-\d{1,2}([T ]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d*)?)?)?\s*$"
+
+
 def parse_timestamp_text(text: Column) -> Column:
-    """Text to timestamp; unreadable text becomes NULL."""
-    return F.try_to_timestamp(text)
+    """Text to timestamp; unreadable text becomes NULL, text without a zone is UTC whatever the session's zone."""
+    wall = text.try_cast("timestamp_ntz")
+    utc = F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), wall))
+    return F.when(text.rlike(_ZONELESS), utc).otherwise(F.try_to_timestamp(text))
 
 
 def at(clock: Clock) -> Column:

@@ -8,7 +8,7 @@ runs once per message however many columns and conditions use its result.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -23,6 +23,7 @@ _STRICT_JSON = {"allowSingleQuotes": "false"}
 
 _QUOTED_WORDS = ('"NaN"', '"Infinity"', '"-Infinity"')
 
+READING_KEYS = ("sensor_id", "vehicle_id", "ts_ms")
 MALFORMED = "malformed"
 MISSING_FIELD = "missing_field"
 BAD_VALUE = "bad_value"
@@ -96,6 +97,17 @@ def judge_tire_data(messages: DataFrame, value: str = "value") -> DataFrame:
     return _judged(messages, value, staged, reason, schemas.TIRE_DATA_MESSAGE.names)
 
 
+def keyed(judge: Callable[[DataFrame], DataFrame], names: Sequence[str] = READING_KEYS) -> Callable[[DataFrame], DataFrame]:
+    """The judge, refusing readings that lack a key as well, so that no later step drops them in silence."""
+
+    def judged(messages: DataFrame) -> DataFrame:
+        rows = judge(messages)
+        lacking = F.expr(" OR ".join(f"{name} IS NULL" for name in names))
+        return rows.withColumn("reason", F.coalesce(F.col("reason"), F.when(lacking, F.lit(f"no {' or '.join(names)}"))))
+
+    return judged
+
+
 def judge_alert_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Alert topic messages, judged; the time stays the text that was published."""
     reason = F.when(F.col("_object").isNull(), MALFORMED)

@@ -237,13 +237,16 @@ def start_json_alerts(
     clock: Clock = None,
     stamp: bool = False,
 ) -> StreamingQuery:
-    """Topic messages to alerts, stored and published; what cannot be read goes to ``quarantine_table``."""
+    """Topic messages to alerts, stored and published.
+
+    What cannot be read, or names no sensor, vehicle or time, goes to ``quarantine_table``.
+    """
 
     def store(readings: DataFrame, batch_id: int) -> None:
         alerts = apply_rules(readings, rule_set, clock, stamp, carry=arrival)
         fan_out(alerts, batch_id, table, publish, arrival, writer, clock, ids_carry_time=True, serial=False)
 
-    return _start_judged(messages, judge, store, quarantine_table(table), checkpoint, trigger, writer)
+    return _start_judged(messages, parse.keyed(judge), store, quarantine_table(table), checkpoint, trigger, writer)
 
 
 def start_json_windows(
@@ -273,8 +276,9 @@ def start_quarantine(
     trigger: dict = AVAILABLE_NOW,
     writer: str = "quarantine",
 ) -> StreamingQuery:
-    """Messages that cannot be read, to ``quarantine_table`` of the table they were meant for."""
-    return start_append(parse.split(judge(messages)).quarantine, quarantine_table(table), checkpoint, trigger, writer)
+    """Messages that cannot be read, or have no time, to ``quarantine_table`` of the table they were meant for."""
+    timed = parse.keyed(judge, ("ts_ms",))
+    return start_append(parse.split(timed(messages)).quarantine, quarantine_table(table), checkpoint, trigger, writer)
 
 
 def store_distinct(
