@@ -546,25 +546,36 @@ def node_links(nodes: DataFrame, sets: DataFrame, similar: int = SIMILAR, task_i
 
 
 def link_counts(documents: DataFrame, key: str = "doc_id", similar: int = SIMILAR, task_items: int = TASK_ITEMS) -> DataFrame:
-    """One row per document: doc_id, n_links (the other documents of a similarity of at least ``similar`` per cent).
+    """One row per document: doc_id, n_shingles, component_id, n_links.
 
-    Rows as in ``classes``: repeated rows and equal texts link with each other,
-    a text without shingles has no links. Every pair of different sets of a
-    class that share a shingle is counted, so a class of many near copies costs
-    as the square of its size.
+    n_links counts the other documents of a similarity of at least ``similar``
+    per cent. Rows and components as in ``classes``: repeated rows and equal
+    texts link with each other, a text without shingles has no links. Every
+    pair of different sets of a class that share a shingle is counted, so a
+    class of many near copies costs as the square of its size.
     """
     members, linked = members_of(documents, key, similar)
-    copies = members.filter("node IS NOT NULL").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
+    copies = members.filter("node IS NOT NULL").groupBy("node").agg(
+        F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.min("doc_id").alias("first")
+    )
     copies = materialize(copies, "copies")
     nodes = materialize(linked.join(copies, "node"), "linked")
     sets = node_sets(documents, members, nodes.select("node"), key)
-    links = materialize(node_links(nodes, sets, similar, task_items), "links")
-    several = copies.filter("copies > 1").select("node", (F.col("copies") - 1).alias("n_links"))
-    answers = several.unionByName(links).groupBy("node").agg(F.sum("n_links").alias("n_links"))
+    links = materialize(node_links(nodes.drop("first"), sets, similar, task_items), "links")
+    least = materialize(nodes.groupBy("comp").agg(F.min("first").alias("component")), "least")
+    named = lookup_join(nodes.select("node", "comp"), least, "comp", "node").select("node", F.lit(0).alias("n_links"), "component")
+    several = copies.filter("copies > 1").select("node", (F.col("copies") - 1).alias("n_links"), F.col("first").alias("component"))
+    known = several.unionByName(links.withColumn("component", F.lit(None).cast("bigint"))).unionByName(named)
+    answers = known.groupBy("node").agg(F.sum("n_links").alias("n_links"), F.min("component").alias("component"))
     answers = materialize(answers, "answers")
-    rows = members.select("doc_id", "node", F.monotonically_increasing_id().alias("spread"))
+    rows = members.select("doc_id", "n", "node", F.monotonically_increasing_id().alias("spread"))
     joined = lookup_join(rows, answers, "node", "spread", how="left")
-    return joined.select("doc_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return joined.select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.coalesce("component", "doc_id").alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    )
 
 
 def keep_one(documents: DataFrame, key: str = "doc_id", similar: int = SIMILAR) -> DataFrame:

@@ -102,12 +102,14 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id))
 FROM doc LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)
 """
 
-LINK_COUNTS = f"""{JACCARD.partition("edge AS")[0].replace("WITH RECURSIVE", "WITH", 1)}edge AS (SELECT a AS doc_id FROM link UNION ALL SELECT b FROM link)
-SELECT doc_id, coalesce(n_links, 0) AS n_links
-FROM doc LEFT JOIN (SELECT doc_id, count(*) AS n_links FROM edge GROUP BY doc_id) USING (doc_id)
+_LINKS = JACCARD.partition("edge AS")[0].replace("WITH RECURSIVE", "WITH", 1)
+LINK_COUNTS = f"""
+SELECT doc_id, n_shingles, component_id, coalesce(n_links, 0) AS n_links
+FROM ({JACCARD}) LEFT JOIN (
+  {_LINKS}edge AS (SELECT a AS doc_id FROM link UNION ALL SELECT b FROM link)
+  SELECT doc_id, count(*) AS n_links FROM edge GROUP BY doc_id) USING (doc_id)
 """
 
-
 MINMAX = f"""
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept
 FROM ({JACCARD.replace("w[i : i + 4]", "w[i : i + 3]").replace("greatest(len(w) - 4, 1)", "greatest(len(w) - 3, 1)")})

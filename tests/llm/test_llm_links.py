@@ -21,19 +21,22 @@ def test_every_link_is_counted(spark, task_items):
     texts = near_copies(5, 3, 40)
     texts += texts[:5] + texts[:2] + [None, "", " ", "one", "one", "one two", "ONE"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    found = sorted(tuple(r) for r in jaccard_join.link_counts(docs, task_items=task_items).collect())
+    rows = jaccard_join.link_counts(docs, task_items=task_items).collect()
+    found = sorted((r.doc_id, r.n_links) for r in rows)
     expected = brute_links(texts)
+    own = sorted((r.doc_id, r.n_shingles, r.component_id) for r in rows)
+    assert own == sorted(tuple(r) for r in jaccard_join.classes(docs).collect())
     assert found == list(enumerate(expected))
     assert max(expected) > 10 and len(set(expected[:40])) > 3
 
 
 def test_edges_of_link_counts(spark, odd, none):
     found = jaccard_join.link_counts(odd)
-    assert sorted((str(r[0]), r[1]) for r in found.collect()) == sorted(
+    assert sorted((str(r.doc_id), r.n_links) for r in found.collect()) == sorted(
         [("1", 3), ("1", 3), ("2", 3), ("None", 3), ("None", 0), ("3", 0), ("4", 0), ("5", 0), ("6", 0), ("7", 1), ("8", 1), ("9", 0), ("9", 0)]
     )
     empty = jaccard_join.link_counts(none)
-    assert empty.columns == ["doc_id", "n_links"] and empty.count() == 0
+    assert empty.columns == ["doc_id", "n_shingles", "component_id", "n_links"] and empty.count() == 0
 
 
 def test_task_counts_weigh_copies_and_sides():
