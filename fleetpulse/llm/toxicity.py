@@ -1,12 +1,13 @@
 """Toxicity by a weighted grammar of finite-state transducers.
 
-Words become classes (insult, threat, target, negation, reported speech,
-other). Small transducers over these classes are composed into one machine that
-runs through every clause and emits, for each insult or threat, the context in
-which it stands. An event weighs what its stem and its context weigh; a clause
-scores its best event, and a text's score combines its clauses. Insult stems
-and all weights are learned from labelled texts; language and source are not
-looked at.
+Words become classes (insult, verb of violence, first person, target, negation,
+reported speech and others). Small weighted transducers over these classes are
+composed into one machine that runs through every clause; its arcs emit an
+insult, or a threat (first person, verb and target; an order; a fate wished on
+the reader), with a weight that target, negation and report move. Insult words
+and stems with their weights, and how clauses combine, are learned from labelled
+texts; the arcs' weights are parameters, so that contexts that no labelled text
+shows have one too. Language and source are not looked at.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass, field
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -28,80 +28,163 @@ SAMPLE_PER_CLASS = 4_000
 LEAST_TOXIC_TEXTS = 5
 LEAST_TOXIC_SHARE = 0.01
 LEAST_LOG_ODDS = 3.0
-STEM_LENGTHS = range(3, 9)
-NEGATION_REACH = 3
+STEM_LENGTHS = range(5, 9)
+STEM_BRANCHES = 3  # a stem has at least as many marked continuations; fewer stand for themselves
+INFLECTED_LENGTH = 5  # learned words from this length on also match with an ending
 COUNTING_TASKS = 8
 
-# Seed words of the closed classes, in the languages of the tables.
+# Weights on the arcs, in log odds like the insults' learned ones.
+THREAT = 8.0
+TARGET = 1.0
+NEGATED_INSULT, NEGATED_THREAT = -6.0, -8.0
+REPORTED_INSULT, REPORTED_THREAT = -6.0, -8.0
+NEGATION_REACH = 3  # words behind it in which an insult is negated; a threat to the clause's end
+TARGET_REACH = 4  # words between a verb and its target
+FATE_REACH = 3
+NO_LABELS = (-4.0, 1.0, 0.0)  # coefficients where no toxic text is labelled
+
+# Words of the closed classes, in the languages of the tables.
 SEEDS = {
-    "threat": "kill hurt destroy burn beat shoot töten schlagen zerstören vernichten tuer frapper brûler détruire matar golpear quemar destruir",
-    "target": "you your yourself he she they them him her du dich dir ihr euch er sie tu te toi vous il elle ils elles tú usted ustedes vosotros ellos ellas",
-    "negation": "not no never nobody neither nicht kein keine nie niemals ne pas jamais aucun aucune nunca jamás ningún ninguna tampoco",
+    "self": "i we ich wir je j nous yo voy vamos",
+    "verb": "kill kills killing murder murdering hurt hurting destroy destroying stab stabbing shoot shooting strangle strangling burn burning "
+    "töten töte schlagen schlage zerstören zerstöre vernichten vernichte umbringen erschießen verbrennen "
+    "tuer tue tuerai tuerons frapper frapperai brûler brûlerai détruire détruirai égorger "
+    "matar golpear quemar destruir disparar",
+    "vow": "mataré golpearé quemaré destruiré dispararé",
+    "strike": "matarte golpearte quemarte destruirte dispararte mataros matarlo matarla matarlos",
+    "fate": "killed murdered shot stabbed beaten burned destroyed die getötet umgebracht erschossen sterben tué tuée mourir crever morir muerto muerta",
+    "modal": "will shall should must deserve gonna ll wirst sollst musst solltest vas dois devrais mérites vais debes deberías mereces",
+    "target": "you your yourself yourselves him her them dich dir euch ihn te toi t vous ti os",
+    "reader": "du tu tú ihr",
+    "negation": "not no never nobody neither cannot nicht kein keine niemand nie niemals ne pas jamais aucun aucune nunca jamás ningún ninguna tampoco",
     "report": "said says say wrote writes claimed claims called quoted sagte sagt schrieb behauptet dit disait écrit affirme dijo dice escribió afirma",
 }
+ENDINGS = ("s", "es", "e", "n", "en")
+_SHORT_NOT = re.compile(r"n['\u2019]t\b")
 _CLAUSE = re.compile(r"[.!?;:,\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
+CLASSES = ("other", "insult", *SEEDS)
+EVENTS = ("insult", "threat")
+
 
 @dataclass(frozen=True)
 class Transducer:
-    """States from 0 on; ``step(state, symbol)`` gives the next state and a label or None."""
+    """States from 0 on; a move gives the next state and a name or None.
+
+    An emission adds ``weights[event]`` to an event of the same step; a name
+    among ``EVENTS`` makes one.
+    """
 
     states: int
     moves: dict[tuple[int, str], tuple[int, str | None]]
+    weights: dict[str, float]
 
     def step(self, state: int, symbol: str) -> tuple[int, str | None]:
         return self.moves.get((state, symbol)) or self.moves[state, "*"]
 
 
-def emitter(symbol: str) -> Transducer:
-    """Emits its name wherever its symbol stands."""
-    return Transducer(1, {(0, symbol): (0, symbol), (0, "*"): (0, None)})
-
-
-def reach(symbol: str, words: int) -> Transducer:
-    """Emits its name at the next ``words`` words behind its symbol."""
+def insults() -> Transducer:
+    """Emits an insult wherever the symbol stands; its word brings the weight."""
+    return Transducer(1, {(0, "insult"): (0, "insult"), (0, "*"): (0, None)}, {"insult": 0.0})
+
+
+def threats(reach: int = TARGET_REACH) -> Transducer:
+    """First person, verb and target, the last two in either order and near each other; or a clause that begins with a verb and has a target."""
+    begin, idle, own = 0, 1, 2
+    verb, target, order = (lambda k, at=at: 2 + at * reach + k for at in range(3))  # k words are left
+    before = 3 + 3 * reach  # a target right before the first person, as in "te voy"
+    moves: dict[tuple[int, str], tuple[int, str | None]] = {}
+    for state in (begin, idle, own):
+        moves[state, "*"] = (max(state, idle), None)
+        moves[state, "self"] = (own, None)
+    moves |= {(s, "target"): (before, None) for s in (begin, idle, before)}
+    moves |= {(before, "*"): (idle, None), (before, "self"): (target(reach), None)}
+    moves[begin, "verb"] = (order(reach), None)
+    moves |= {(own, "verb"): (verb(reach), None), (own, "target"): (target(reach), None), (own, "strike"): (own, "threat")}
+    for k in range(1, reach + 1):
+        moves |= {(verb(k), "*"): (verb(k - 1) if k > 1 else own, None), (verb(k), "target"): (own, "threat")}
+        moves |= {(verb(k), "verb"): (verb(reach), None), (verb(k), "strike"): (own, "threat")}
+        moves |= {(target(k), "*"): (target(k - 1) if k > 1 else own, None), (target(k), "verb"): (own, "threat")}
+        moves |= {(target(k), "target"): (target(reach), None), (target(k), "strike"): (own, "threat")}
+        moves |= {(order(k), "*"): (order(k - 1) if k > 1 else idle, None), (order(k), "target"): (idle, "threat")}
+        moves[order(k), "self"] = (own, None)
+    return Transducer(before + 1, moves | {(s, "vow"): (own, "threat") for s in range(before + 1)}, {"threat": THREAT})
+
+
+def fates(reach: int = FATE_REACH) -> Transducer:
+    """The reader, then a modal beside it, then a fate within ``reach`` words."""
+    moves: dict[tuple[int, str], tuple[int, str | None]] = {(s, "*"): (0, None) for s in (0, 1)}
+    moves |= {(k + 1, "*"): (k if k > 1 else 0, None) for k in range(1, reach + 1)}
+    moves |= {(k + 1, "fate"): (0, "threat") for k in range(1, reach + 1)}
+    moves |= {(s, word): (1, None) for s in range(reach + 2) for word in ("target", "reader")}
+    moves[1, "modal"] = (reach + 1, None)
+    return Transducer(reach + 2, moves, {"threat": THREAT})
+
+
+def near(symbol: str, words: int, weights: dict[str, float]) -> Transducer:
+    """Weighs on events at the next ``words`` words behind its symbol."""
     moves = {(s, "*"): (max(s - 1, 0), symbol if s else None) for s in range(words + 1)}
-    return Transducer(words + 1, moves | {(s, symbol): (words, None) for s in range(words + 1)})
+    return Transducer(words + 1, moves | {(s, symbol): (words, None) for s in range(words + 1)}, weights)
 
 
-def rest(symbol: str) -> Transducer:
-    """Emits its name from its symbol to the clause's end."""
-    return Transducer(2, {(0, symbol): (1, None), (0, "*"): (0, None), (1, "*"): (1, symbol)})
+def rest(symbol: str, weights: dict[str, float]) -> Transducer:
+    """Weighs on events from its symbol to the clause's end."""
+    return Transducer(2, {(0, symbol): (1, None), (0, "*"): (0, None), (1, "*"): (1, symbol)}, weights)
 
 
-GRAMMAR = (emitter("insult"), emitter("threat"), rest("target"), reach("negation", NEGATION_REACH), rest("report"))
-CLASSES = ("other", "insult", "threat", "target", "negation", "report")
+GRAMMAR = (
+    insults(), threats(), fates(),
+    rest("target", {"insult": TARGET}),
+    near("negation", NEGATION_REACH, {"insult": NEGATED_INSULT}),
+    rest("negation", {"threat": NEGATED_THREAT}),
+    rest("report", {"insult": REPORTED_INSULT, "threat": REPORTED_THREAT}),
+)
 Event = tuple[str, ...]
+Arc = tuple[int, "tuple[Event, float] | None"]
 
 
-def compose(machines: tuple[Transducer, ...]) -> dict[tuple[tuple[int, ...], str], tuple[tuple[int, ...], Event]]:
-    """Parallel composition: one machine over the same symbols whose label is the labels of all."""
-    table = {}
-    for states in product(*(range(m.states) for m in machines)):
+def compose(machines: tuple[Transducer, ...]) -> list[dict[str, Arc]]:
+    """Parallel composition of the states that can be reached: an arc's event, contexts and summed weight."""
+    numbers = {(0,) * len(machines): 0}
+    table: list[dict[str, Arc]] = []
+    queue = [(0,) * len(machines)]
+    for states in queue:  # grows while it is walked
+        arcs: dict[str, Arc] = {}
         for symbol in CLASSES:
             steps = [m.step(s, symbol) for m, s in zip(machines, states)]
-            table[states, symbol] = (tuple(s for s, _ in steps), tuple(label for _, label in steps if label))
+            after = tuple(s for s, _ in steps)
+            if after not in numbers:
+                numbers[after] = len(queue)
+                queue.append(after)
+            event = next((name for _, name in steps if name in EVENTS), None)
+            arcs[symbol] = (numbers[after], _weighed(event, machines, steps) if event else None)
+        table.append(arcs)
     return table
 
 
+def _weighed(event: str, machines: tuple[Transducer, ...], steps: list) -> tuple[Event, float]:
+    makers = [m.weights[event] for m, (_, n) in zip(machines, steps) if n == event]
+    context = {n: m.weights[event] for m, (_, n) in zip(machines, steps) if n and n != event and event in m.weights}
+    return (event, *context), max(makers) + sum(context.values())
+
+
 _MACHINE = compose(GRAMMAR)
-_START = (0,) * len(GRAMMAR)
 
 
-def clause_events(classes: list[str]) -> list[tuple[int, Event]]:
-    """Places and contexts of the insults and threats of a clause."""
-    state, found = _START, []
+def clause_events(classes: list[str]) -> list[tuple[int, Event, float]]:
+    """Places, contexts and arc weights of the insults and threats of a clause."""
+    state, found = 0, []
     for at, symbol in enumerate(classes):
-        state, labels = _MACHINE[state, symbol]
-        if labels and labels[0] == symbol and symbol in ("insult", "threat"):
-            found.append((at, labels))
+        state, event = _MACHINE[state][symbol]
+        if event:
+            found.append((at, *event))
     return found
 
 
 @dataclass
 class Lexicon:
-    """Classes of words: seeds by the word, insults by the longest learned stem (``$`` ends a whole word)."""
+    """Classes of words: the closed ones, then insults by a learned word (``$`` ends it), its endings or a learned stem."""
 
     stems: dict[str, float]
     seen: Memo = field(default_factory=lambda: Memo(500_000))
@@ -114,12 +197,17 @@ class Lexicon:
         if hit is None:
             hit = self.seen.recall(word)
         if hit is None:
-            hit = next(((("insult", self.stems[s])) for s in spellings(word)[::-1] if s in self.stems), None)
-            hit = hit or (self.seeds.get(word, "other"), 0.0)
+            seed = self.seeds.get(word)
+            hit = (seed, 0.0) if seed else self._insult(word)
             self.seen.trim()
             self.seen.keep(word, hit)
         return hit
 
+    def _insult(self, word: str) -> tuple[str, float]:
+        bases = [word[: -len(e)] for e in ENDINGS if word.endswith(e)]
+        names = [word + "$", *(b + "$" for b in bases if len(b) >= INFLECTED_LENGTH), *prefixes(word)[::-1]]
+        return next((("insult", self.stems[n]) for n in names if n in self.stems), ("other", 0.0))
+
     def __getstate__(self):
         return {"stems": self.stems}
 
@@ -127,44 +215,55 @@ class Lexicon:
         self.__init__(state["stems"])
 
 
+def prefixes(word: str, lengths: range = STEM_LENGTHS) -> list[str]:
+    """The stems that a word can have, shortest first."""
+    return [word[:n] for n in lengths if n <= len(word)]
+
+
 def spellings(word: str) -> list[str]:
-    """Stems of a word, shortest first, and the whole word."""
-    return [word[:n] for n in STEM_LENGTHS if n < len(word)] + [word + "$"]
+    """What is counted of a word: its stems, one letter more to see how they go on, and the whole word."""
+    return [*prefixes(word, range(STEM_LENGTHS.start, STEM_LENGTHS.stop + 1)), word + "$"]
 
 
-def matched_clauses(text: str, lexicon: Lexicon) -> list[list[tuple[float, Event]]]:
-    """The events (stem weight and context) of each clause that has any."""
+_EVENT_CLASSES = {"insult", "verb", "vow", "strike", "fate"}
+
+
+def clauses_of(text: str) -> list[list[str]]:
+    """Lower-case words of every clause; a shortened "not" is a word of its own."""
     low = text.lower()
-    words = set(_WORD.findall(low))
-    if not any(lexicon.look_up(w)[0] in ("insult", "threat") for w in words):
+    if "n't" in low or "n\u2019t" in low:
+        low = _SHORT_NOT.sub(" not", low)
+    return [_WORD.findall(clause) for clause in _CLAUSE.split(low)]
+
+
+def matched_clauses(text: str, lexicon: Lexicon) -> list[list[tuple[float, Event]]]:
+    """The events (weight and context) of each clause that has any."""
+    if all(lexicon.look_up(w)[0] not in _EVENT_CLASSES for w in set(_WORD.findall(text.lower()))):
         return []
     out = []
-    for clause in _CLAUSE.split(low):
-        hits = [lexicon.look_up(w) for w in _WORD.findall(clause)]
+    for words in clauses_of(text):
+        hits = [lexicon.look_up(w) for w in words]
         events = clause_events([c for c, _ in hits])
         if events:
-            out.append([(hits[at][1], labels) for at, labels in events])
+            out.append([((hits[at][1] if labels[0] == "insult" else 0.0) + weight, labels) for at, labels, weight in events])
     return out
 
 
 @dataclass
 class Model:
-    """Learned stems, context weights and the combination's coefficients."""
+    """Learned words and stems, and the coefficients that combine clauses."""
 
     lexicon: Lexicon
-    contexts: dict[Event, float]
     coefficients: tuple[float, ...]
 
-    def features(self, text: str) -> tuple[float, float]:
+    def features(self, clauses: list[list[tuple[float, Event]]]) -> tuple[float, float]:
         """Best clause score, and the logarithm of the clauses' summed scores."""
-        scores = [
-            max(0.0, *(stem + self.contexts.get(labels, 0.0) for stem, labels in events))
-            for events in matched_clauses(text, self.lexicon)
-        ]
+        scores = [max(0.0, *(weight for weight, _ in events)) for events in clauses]
         return max(scores, default=0.0), math.log1p(sum(scores))
 
-    def score(self, text: str) -> float:
-        return logistic(self.coefficients[0] + sum(c * x for c, x in zip(self.coefficients[1:], self.features(text))))
+    def score(self, clauses: list[list[tuple[float, Event]]]) -> float:
+        """Of a text's matched clauses."""
+        return logistic(self.coefficients[0] + sum(c * x for c, x in zip(self.coefficients[1:], self.features(clauses))))
 
 
 def logistic(x: float) -> float:
@@ -176,14 +275,26 @@ def log_odds(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
 
 
 def choose_stems(counts: list[tuple[str, int, int]], all_toxic: int, all_clean: int) -> dict[str, float]:
-    """The shortest spellings that mark toxic texts; longer ones below them add nothing."""
+    """Words that mark toxic texts, and stems with several marked continuations.
+
+    The shortest such stem stands for all below it. A spelling that goes on in
+    one way only is left to the whole word, so a learned compound does not
+    claim the everyday word it begins with.
+    """
     least = max(LEAST_TOXIC_TEXTS, LEAST_TOXIC_SHARE * all_toxic)
-    chosen: dict[str, float] = {}
-    for stem, toxic, clean in sorted(counts, key=lambda c: (len(c[0].rstrip("$")), c[0])):
+    marked = {}
+    for spelling, toxic, clean in counts:
         weight = log_odds(toxic, clean, all_toxic, all_clean)
-        below = any(stem[:n] in chosen for n in STEM_LENGTHS if n <= len(stem.rstrip("$")))
-        if toxic >= least and weight >= LEAST_LOG_ODDS and not below:
-            chosen[stem] = weight
+        if toxic >= least and weight >= LEAST_LOG_ODDS:
+            marked[spelling] = weight
+    branches = Counter(s[:-1] for s in marked)  # a word's end counts as one
+    chosen: dict[str, float] = {}
+    for spelling in sorted(marked, key=lambda s: (len(s), s)):
+        word = spelling.rstrip("$")
+        below = any(p in chosen for p in prefixes(word))
+        stem = spelling == word and len(word) in STEM_LENGTHS and branches[word] >= STEM_BRANCHES
+        if not below and (stem or spelling != word):
+            chosen[spelling] = marked[spelling]
     return chosen
 
 
@@ -200,6 +311,16 @@ def fit(rows: np.ndarray, labels: np.ndarray, ridge: float = 1.0, rounds: int =
     return tuple(w.tolist())
 
 
+def fit_rising(rows: np.ndarray, labels: np.ndarray) -> tuple[float, float, float]:
+    """``fit`` with coefficients that do not fall: a feature that would is left out."""
+    both = fit(rows, labels)
+    if min(both[1:]) >= 0:
+        return both
+    keep = int(both[2] > both[1])
+    base, own = fit(rows[:, keep : keep + 1], labels)
+    return (base, max(own, 0.0), 0.0) if keep == 0 else (base, 0.0, max(own, 0.0))
+
+
 def training_texts(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
     """Texts and labels of at most ``per_class`` labelled rows of each class, none of them held out.
 
@@ -215,39 +336,23 @@ def training_texts(documents: DataFrame, labels: DataFrame, per_class: int = SAM
 
 
 def learn(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
-    """A model from a bounded sample of labelled rows; without toxic rows it scores every text 0."""
+    """A model from a bounded sample of labelled rows; without toxic rows it knows threats only."""
     texts = training_texts(documents, labels, per_class).repartition(COUNTING_TASKS).persist()
     try:
         sizes = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
         toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
         if not toxic:
-            return Model(Lexicon({}), {}, (-30.0, 0.0, 0.0))
+            return Model(Lexicon({}), NO_LABELS)
         counted = map_batches(texts, _count_spellings, "stem string, toxic bigint, clean bigint").groupBy("stem")
         counted = counted.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         likely = (F.col("toxic") >= LEAST_TOXIC_TEXTS) & (F.col("toxic") * clean >= F.col("clean") * toxic * 10)
         lexicon = Lexicon(choose_stems([tuple(r) for r in counted.filter(likely).collect()], toxic, clean))
 
-        def contexts(batches: Batches) -> Batches:
-            for batch in batches:
-                counts: Counter = Counter()
-                for text, label in zip(texts_of(batch), batch.column("toxic").to_pylist()):
-                    for labels_ in {e for clause in matched_clauses(text, lexicon) for _, e in clause}:
-                        counts[" ".join(labels_), label] += 1
-                yield pa.RecordBatch.from_pylist(
-                    [{"context": c, "toxic": y, "n": n} for (c, y), n in counts.items()],
-                    schema=pa.schema([("context", pa.string()), ("toxic", pa.int64()), ("n", pa.int64())]),
-                )
-
-        seen: Counter = Counter()
-        for context, label, n in map_batches(texts, contexts, "context string, toxic bigint, n bigint").collect():
-            seen[context, label] += n
-        names = {c for c, _ in seen}
-        weights = {tuple(c.split()): log_odds(seen[c, 1], seen[c, 0], toxic, clean) for c in names}
-        model = Model(lexicon, weights, (0.0, 0.0, 0.0))
+        model = Model(lexicon, NO_LABELS)
 
         def features(batches: Batches) -> Batches:
             for batch in batches:
-                rows = [model.features(t) for t in texts_of(batch)]
+                rows = [model.features(matched_clauses(t, lexicon)) for t in texts_of(batch)]
                 yield pa.RecordBatch.from_pydict(
                     {"best": [b for b, _ in rows], "total": [t for _, t in rows], "toxic": batch.column("toxic").cast(pa.int64())},
                     schema=pa.schema([("best", pa.float64()), ("total", pa.float64()), ("toxic", pa.int64())]),
@@ -255,7 +360,7 @@ def learn(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_C
 
         rows = np.asarray(map_batches(texts, features, "best double, total double, toxic bigint").collect(), float)
         rows = rows[np.lexsort(rows.T)]  # sums do not depend on the order of tasks
-        model.coefficients = fit(rows[:, :2], rows[:, 2])
+        model.coefficients = fit_rising(rows[:, :2], rows[:, 2])
         return model
     finally:
         texts.unpersist()
@@ -290,11 +395,9 @@ def score(documents: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     def run(batches: Batches) -> Batches:
         own = sent.value
         for batch in batches:
-            texts = texts_of(batch)
-            clauses = [len(matched_clauses(t, own.lexicon)) for t in texts]
-            nothing = own.score("")
-            scores = [own.score(t) if n else nothing for t, n in zip(texts, clauses)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(clauses, pa.int64())], schema=types)
+            clauses = [matched_clauses(t, own.lexicon) for t in texts_of(batch)]
+            scores, counts = [own.score(c) for c in clauses], [len(c) for c in clauses]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(counts, pa.int64())], schema=types)
 
     rows = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scored = map_batches(rows, run, "doc_id bigint, score double, n_clauses bigint")

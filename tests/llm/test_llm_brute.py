@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fleetpulse.llm import catalog, chunks, decontaminate, graph, jaccard_join, piece_spans, quality, secrets, token_counts, token_files, toxicity
+from fleetpulse.llm import catalog, chunks, decontaminate, graph, jaccard_join, piece_spans, quality, secrets, token_counts, token_files
 from fleetpulse.llm.catalog import tokenizer
 from fleetpulse.sources.tables import read_parquet
 
@@ -248,24 +248,6 @@ def test_components(spark):
     assert got == {(k, 0) for k in range(41)} | {(50, 50), (100, 50)} | {(k, 200) for k in (200, 201, 202)}
 
 
-def test_toxicity_on_held_out_rows(spark):
-    scored = catalog.op6_toxicity(spark, SF_LARGER).join(read_parquet(spark, f"{SF_LARGER}/labels.parquet"), "doc_id").filter("held_out")
-    right, all_, toxic = scored.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int")), F.count("*"), F.sum("toxic")).first()
-    assert all_ > 50 and toxic > 3 and right > 0.93
-    assert catalog.op6_toxicity(spark, SF).filter("score < 0 OR score > 1 OR score IS NULL").isEmpty()
-    held = {r["doc_id"] for r in scored.select("doc_id").collect()}
-    assert held and all(zlib.crc32(str(i).encode()) % 5 == 0 for i in held)
-
-
-def test_grammar_contexts():
-    lexicon = toxicity.Lexicon({"idio": 3.0, "scum$": 2.0})
-    events = lambda text: [labels for clause in toxicity.matched_clauses(text, lexicon) for _, labels in clause]
-    assert events("What an idiot.") == [("insult",)]
-    assert events("you are not an IDIOTIC man, you scum!") == [("insult", "target", "negation"), ("insult", "target")]
-    assert events("he said you scum; they will kill") == [("insult", "target", "report"), ("threat", "target")]
-    assert events("scumbag and clean words. not here") == []
-
-
 def test_pipeline_against_brute_force(spark, documents):
     docs = read_parquet(spark, f"{SF}/documents.parquet")
     named = dict(corpus_pipeline.STAGES)
