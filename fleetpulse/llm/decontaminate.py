@@ -37,33 +37,41 @@ def words_of(text: bytes) -> list[bytes]:
 class Block:
     """Search form of some benchmark items.
 
-    ``keys`` has a row of ``window`` word numbers for each searched suffix (0
-    behind a short item's end), in the order of items and places.
+    Items of equal words are one entry. ``keys`` has a row of ``window`` word
+    numbers for each distinct window (0 behind a short item's end). The entries
+    of window w, and its places in them, stand from ``first[w]`` to
+    ``first[w + 1]``.
     """
 
     vocabulary: dict[bytes, int]
     keys: np.ndarray
     lengths: np.ndarray  # words that must match
-    items: np.ndarray  # index into item_ids
-    places: np.ndarray  # first word in the item
-    item_ids: list[int | None]
+    first: np.ndarray
+    entries: np.ndarray
+    places: np.ndarray  # first word in the entry
+    item_ids: list[list[int]]  # of each entry, ascending; none if all are null
 
 
 def make_block(items: list[tuple[int | None, str | None]], window: int) -> Block:
     vocabulary: dict[bytes, int] = {}
-    keys, lengths, owners, places = [], [], [], []
-    for n, (_, text) in enumerate(items):
-        ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of((text or "").encode())]
-        if not ids:
-            continue
-        size = min(window, len(ids))
-        for at in range(len(ids) - size + 1):
-            keys.append(ids[at : at + size] + [0] * (window - size))
-            lengths.append(size)
-            owners.append(n)
-            places.append(at)
-    table = np.asarray(keys, np.uint32).reshape(-1, window)
-    return Block(vocabulary, table, np.asarray(lengths, np.int64), np.asarray(owners, np.int64), np.asarray(places, np.int64), [i for i, _ in items])
+    owners: dict[tuple[int, ...], set] = {}
+    for item, text in items:
+        ids = tuple(vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of((text or "").encode()))
+        if ids:
+            owners.setdefault(ids, set()).add(item)
+    tables = [np.zeros((0, window), np.uint32)]
+    for ids in owners:
+        row = np.asarray(ids + (0,) * (window - len(ids)), np.uint32)
+        tables.append(np.lib.stride_tricks.sliding_window_view(row, window))
+    counts = [len(t) for t in tables[1:]]
+    keys, number = np.unique(np.concatenate(tables), axis=0, return_inverse=True)
+    number = number.reshape(-1)
+    order = np.argsort(number, kind="stable")
+    entries = np.repeat(np.arange(len(counts)), counts)
+    places = np.arange(len(number)) - np.repeat(np.cumsum(counts, dtype=np.int64) - counts, counts)
+    first = np.searchsorted(number[order], np.arange(len(keys) + 1))
+    listed = [sorted(i for i in ids if i is not None) for ids in owners.values()]
+    return Block(vocabulary, keys, (keys > 0).sum(axis=1), first, entries[order], places[order], listed)
 
 
 def benchmark_blocks(benchmark: DataFrame, window: int, block_bytes: int, key: str = "item_id") -> Iterator[Block]:
@@ -120,11 +128,12 @@ class SuffixArray:
         return low
 
 
-Match = tuple[int, int, int, int]  # item, first word in the document, first word in the item, words
+Match = tuple[int, int, int, int]  # entry, first word in the document, first word in the entry, words
+Hits = tuple[np.ndarray, np.ndarray]  # windows and their first words in the document
 
 
-def search_shard(texts: list[bytes], block: Block, window: int) -> list[tuple[int, list[Match]]]:
-    """Words and longest matches of each text."""
+def window_hits(texts: list[bytes], block: Block, window: int) -> list[tuple[int, Hits]]:
+    """Words of each text and the block's distinct windows in it: at most one of each length at a word."""
     number = block.vocabulary.get
     sizes, parts = [], []
     for text in texts:
@@ -132,29 +141,44 @@ def search_shard(texts: list[bytes], block: Block, window: int) -> list[tuple[in
         sizes.append(len(words))
         parts.append(np.fromiter((number(w, 0) for w in words), np.uint32, len(words)))
         parts.append(np.zeros(1, np.uint32))  # no match crosses documents
-    out: list[tuple[int, list[Match]]] = [(n, []) for n in sizes]
+    none = np.zeros(0, np.int64)
     if not len(block.keys) or not texts:
-        return out
+        return [(n, (none, none)) for n in sizes]
     array = SuffixArray(np.concatenate(parts), window, int(block.lengths.min()))
     low, high = array.find(block.keys, block.lengths)
+    key, nth = _spread(low, high)
+    place = array.places[nth]
+    order = np.argsort(place, kind="stable")
+    key, place = key[order], place[order]
+    starts = np.cumsum([0, *(n + 1 for n in sizes)])
+    cut = np.searchsorted(place, starts)
+    return [(n, (key[a:b], place[a:b] - at)) for n, a, b, at in zip(sizes, cut, cut[1:], starts)]
+
+
+def _spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every number of every range, with the range it is of."""
     count = high - low
-    if not count.sum():
-        return out
-    key = np.repeat(np.arange(len(count)), count)
-    place = array.places[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)]
-    starts = np.cumsum([0, *(n + 1 for n in sizes[:-1])])
-    document = np.searchsorted(starts, place, "right") - 1
-    item, item_place, length = block.items[key], block.places[key], block.lengths[key]
-    at = place - starts[document]
-    order = np.lexsort((at, at - item_place, item, document))
-    document, item, item_place, at, length = (x[order] for x in (document, item, item_place, at, length))
-    diagonal = at - item_place
-    joins = (np.diff(document) == 0) & (np.diff(item) == 0) & (np.diff(diagonal) == 0) & (np.diff(at) == 1)
+    owner = np.repeat(np.arange(len(count)), count)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+
+
+def longest(hits: Hits, block: Block) -> list[Match]:
+    """The hits of one document, joined along diagonals into longest matches with each entry."""
+    which, nth = _spread(block.first[hits[0]], block.first[hits[0] + 1])
+    if not len(which):
+        return []
+    entry, inside, at, length = block.entries[nth], block.places[nth], hits[1][which], block.lengths[hits[0]][which]
+    order = np.lexsort((at, at - inside, entry))
+    entry, inside, at, length = (x[order] for x in (entry, inside, at, length))
+    joins = (np.diff(entry) == 0) & (np.diff(at - inside) == 0) & (np.diff(at) == 1)
     first = np.flatnonzero(np.concatenate([[True], ~joins]))
     last = np.concatenate([first[1:], [len(at)]]) - 1
-    for d, i, a, p, n in zip(*(x.tolist() for x in (document[first], item[first], at[first], item_place[first], at[last] + length[last] - at[first]))):
-        out[d][1].append((i, a, p, n))
-    return out
+    return list(zip(*(x.tolist() for x in (entry[first], at[first], inside[first], at[last] + length[last] - at[first]))))
+
+
+def search_shard(texts: list[bytes], block: Block, window: int) -> list[tuple[int, list[Match]]]:
+    """Words and longest matches of each text."""
+    return [(n, longest(hits, block)) for n, hits in window_hits(texts, block, window)]
 
 
 def hit_words(matches: list[tuple[int, int]]) -> int:
@@ -169,26 +193,29 @@ def hit_words(matches: list[tuple[int, int]]) -> int:
 _MATCH = "struct<item_id bigint, doc_word bigint, item_word bigint, n_words bigint>"
 
 
-def _search_blocks(keys: list, texts: list[bytes], blocks: list[Broadcast], window: int) -> list[tuple[int, list[Match]]]:
-    """Matches of all blocks, with item ids instead of indexes."""
-    sizes, found = [0] * len(texts), [[] for _ in texts]
-    for block in blocks:
-        own = block.value
-        for i, (n, matches) in enumerate(search_shard(texts, own, window)):
-            sizes[i] = n
-            found[i] += [(own.item_ids[item], *rest) for item, *rest in matches]
-    return list(zip(sizes, found))
-
-
 def _sent(documents: DataFrame, benchmark: DataFrame, window: int, block_bytes: int) -> list[Broadcast]:
     context = documents.sparkSession.sparkContext
     return [context.broadcast(b) for b in benchmark_blocks(benchmark, window, block_bytes)]
 
 
+def _summary(block: Block, texts: list[bytes], window: int) -> Iterator[tuple[int, list[tuple[int, int]], set[int], list[dict]]]:
+    """Words, hit stretches, item ids and listed matches of each text."""
+    for n, hits in window_hits(texts, block, window):
+        distinct = np.unique(hits[0])
+        entries = np.unique(block.entries[_spread(block.first[distinct], block.first[distinct + 1])[1]])
+        items = {i for e in entries for i in block.item_ids[e]}
+        stretches = list(zip(hits[1].tolist(), block.lengths[hits[0]].tolist()))
+        first = lambda e: block.item_ids[e][0] if block.item_ids[e] else None
+        listed = [dict(zip(("item_id", "doc_word", "item_word", "n_words"), (first(e), *rest))) for e, *rest in longest(hits, block)]
+        yield n, stretches, items, listed
+
+
 def report(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, key: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, matches.
 
-    ``matches`` lists the longest verbatim matches of at least a window. A
+    ``matches`` lists the longest verbatim matches of at least a window; items
+    of equal words share one, under the smallest id. Hits and items come from
+    the distinct windows, so equal and overlapping items cost one search. A
     window is ``window`` consecutive words of an item, or a whole shorter item.
     Null texts have no words, items without words no window; a null item id is
     left out of ``n_items`` and the digest but its hits count; equal ids count
@@ -204,14 +231,13 @@ def report(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, blo
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
+            ids, texts = batch.column("doc_id").to_pylist(), bytes_of(batch)
+            found = [_summary(block.value, texts, window) for block in blocks]
             out = []
-            for doc_id, (n, matches) in zip(ids, _search_blocks(ids, bytes_of(batch), blocks, window)):
-                hit = hit_words([(m[1], m[3]) for m in matches])
-                items = sorted({str(m[0]) for m in matches if m[0] is not None})
-                digest = sha256_hex(",".join(items))
-                listed = [dict(zip(("item_id", "doc_word", "item_word", "n_words"), m)) for m in matches]
-                out.append((doc_id, n, hit, len(items), digest, hit > 0, listed))
+            for doc_id, parts in zip(ids, zip(*found)):
+                hit = hit_words([stretch for _, stretches, _, _ in parts for stretch in stretches])
+                items = sorted({str(i) for _, _, own, _ in parts for i in own})
+                out.append((doc_id, parts[0][0], hit, len(items), sha256_hex(",".join(items)), hit > 0, [m for p in parts for m in p[3]]))
             columns = list(zip(*out)) if out else [[] for _ in types]
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, types)], schema=types)
 
@@ -229,7 +255,10 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            found = _search_blocks([], bytes_of(batch), blocks, window)
-            yield batch.filter(pa.array([not matches for _, matches in found], pa.bool_()))
+            texts = bytes_of(batch)
+            hit = np.zeros(len(texts), bool)
+            for block in blocks:
+                hit |= [len(windows) > 0 for _, (windows, _) in window_hits(texts, block.value, window)]
+            yield batch.filter(pa.array(~hit))
 
     return map_batches(documents, run, documents.schema)

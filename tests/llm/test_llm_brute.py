@@ -51,7 +51,18 @@ def test_suffix_arrays_find_longest_matches():
                             expected.add((k, a, p, length))
             short = {k for k, item in items if len(item.split()) == 1}
             assert n == len(own)
-            assert {m for m in matches if m[0] not in short} == {m for m in expected if m[0] not in short}
+            entries = list(dict.fromkeys(tuple(item.split()) for _, item in items if item))  # equal items are one entry
+            entry = {k: entries.index(tuple(item.split())) for k, item in items if item}
+            assert {m for m in matches if m[0] not in {entry[k] for k in short}} == {(entry[m[0]], *m[1:]) for m in expected if m[0] not in short}
+
+
+def test_many_equal_short_items(spark):
+    items = spark.createDataFrame([(k, "Yes." if k % 2 else "yes") for k in range(100_000)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "yes " * 2000), (2, "no " * 50), (3, "oh yes")], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in decontaminate.report(docs, items).collect()}
+    assert [(r["n_hit"], r["n_items"], len(r["matches"])) for r in (found[1], found[2], found[3])] == [(2000, 100_000, 2000), (0, 0, 0), (1, 100_000, 1)]
+    assert found[1]["matches"][5].asDict() == {"item_id": 0, "doc_word": 5, "item_word": 0, "n_words": 1}
+    assert [r["doc_id"] for r in decontaminate.decontaminate(docs, items).collect()] == [2]
 
 
 def test_benchmark_in_blocks(spark):
