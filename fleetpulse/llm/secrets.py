@@ -32,7 +32,12 @@ _RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}")
 # Lengths in characters of hexadecimal digests in use: MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _DIGEST = re.compile("|".join(rf"[0-9a-f]{{{n}}}|[0-9A-F]{{{n}}}" for n in DIGEST_LENGTHS))
-_LABELLED_DIGEST = re.compile(r"(?:md5|sha(?:1|224|256|384|512))[-=_][A-Za-z0-9+/]+={0,2}", re.ASCII)
+# Digests by name and bits, as hexadecimal or base64 of just that length behind the name.
+DIGEST_BITS = {"md5": 128, "sha1": 160, "sha224": 224, "sha256": 256, "sha384": 384, "sha512": 512}
+_BASE64 = {n: (-(-bits // 6), -(bits // 8) % 3) for n, bits in DIGEST_BITS.items()}  # characters, signs of padding
+_LABELLED_DIGEST = re.compile(
+    "|".join(f"{n}[-=_](?:[0-9A-Fa-f]{{{DIGEST_BITS[n] // 4}}}|[A-Za-z0-9+/]{{{size}}}={{0,{pad}}})" for n, (size, pad) in _BASE64.items())
+)
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 _PART = re.compile(r"[A-Za-z]+|[0-9]+")
 _LETTER, _DIGIT = re.compile("[A-Za-z]"), re.compile("[0-9]")
@@ -57,12 +62,16 @@ def ordered(spans: list[Span]) -> list[Span]:
 
 
 def is_known(run: str) -> bool:
-    """A digest, a UUID, or an identifier with a number: parts of one sort each, joined by signs."""
+    """A digest, a UUID, or numbers and signs."""
     if not _LETTER.search(run):
-        return True  # numbers and signs
-    if _DIGEST.fullmatch(run) or _LABELLED_DIGEST.fullmatch(run) or _UUID.fullmatch(run):
         return True
-    return bool(_DIGIT.search(run)) and all(_PART.fullmatch(p) for p in re.split(r"[+/_=-]+", run) if p)
+    return bool(_DIGEST.fullmatch(run) or _LABELLED_DIGEST.fullmatch(run) or _UUID.fullmatch(run))
+
+
+def identifier_parts(run: str) -> list[str] | None:
+    """The parts of an identifier with a number, each of one sort and joined by signs; None if the run is none."""
+    parts = [p for p in re.split(r"[+/_=-]+", run) if p]
+    return parts if _DIGIT.search(run) and all(_PART.fullmatch(p) for p in parts) else None
 
 
 @lru_cache(maxsize=2)
@@ -98,13 +107,21 @@ class SecretFinder:
         if verdict is None:
             verdict = self.verdicts.recall(run)
         if verdict is None:
-            limit = self.limit if _DIGIT.search(run) else min(self.limit, MAX_CHARS_PER_TOKEN_LETTERS)
-            verdict = not is_known(run) and len(run) < limit * len(self.encoder.encode_ordinary(run))
+            verdict = not is_known(run) and self._compresses_badly(run)
             self.verdicts.trim()
             self.verdicts.keep(run, verdict)
         return verdict
 
 
+    def _compresses_badly(self, run: str) -> bool:
+        """An identifier does if one of its long letter parts does, any other run as a whole."""
+        parts = identifier_parts(run)
+        if parts is not None:
+            return any(len(p) >= MIN_LENGTH and not p.isdigit() and self._compresses_badly(p) for p in parts)
+        limit = self.limit if _DIGIT.search(run) else min(self.limit, MAX_CHARS_PER_TOKEN_LETTERS)
+        return len(run) < limit * len(self.encoder.encode_ordinary(run))
+
+
 def _merged(spans: list[Span]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for _, begin, end in sorted(spans, key=lambda s: s[1:]):
