@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from fleetpulse.llm import centroid_drift, quality
 from fleetpulse.llm.catalog import DAY, FIRST_FETCH
-from fleetpulse.llm.url_lists import OPEN_END, PATH_DEPTH
+from fleetpulse.llm.url_lists import OPEN_END
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -61,9 +61,9 @@ firsts AS (
   SELECT list_name, entry, min(page_id) AS f FROM entry WHERE entry IS NOT NULL
   GROUP BY list_name, entry, every HAVING min(page_id) % every = 0),
 change AS (
-  SELECT list_name, lower(entry) AS entry, {FIRST_FETCH} + (f * 31 % 200) * {DAY} AS since, 1 AS active FROM firsts UNION ALL
-  SELECT list_name, lower(entry), {FIRST_FETCH} + (f * 31 % 200 + f % 90 + 1) * {DAY}, 0 FROM firsts UNION ALL
-  SELECT list_name, lower(entry), {FIRST_FETCH} + (f * 31 % 200 + f % 90 + 40) * {DAY}, CASE WHEN f % 2 = 0 THEN 1 ELSE 0 END FROM firsts),
+  SELECT list_name, entry, {FIRST_FETCH} + (f * 31 % 200) * {DAY} AS since, 1 AS active FROM firsts UNION ALL
+  SELECT list_name, entry, {FIRST_FETCH} + (f * 31 % 200 + f % 90 + 1) * {DAY}, 0 FROM firsts UNION ALL
+  SELECT list_name, entry, {FIRST_FETCH} + (f * 31 % 200 + f % 90 + 40) * {DAY}, CASE WHEN f % 2 = 0 THEN 1 ELSE 0 END FROM firsts),
 state AS (SELECT list_name, entry, since, min(active) AS active FROM change GROUP BY ALL),
 turn AS (
   SELECT * FROM (SELECT *, lag(active, 1, 0) OVER (PARTITION BY list_name, entry ORDER BY since) AS before FROM state)
@@ -75,7 +75,7 @@ ask AS (
   SELECT page_id, fetched_at, unnest(list_distinct(list_concat(
       list_transform(range(1, len(l) + 1), lambda i: array_to_string(l[i:], '.')),
       list_transform(range(1, len(s) + 1), lambda n: host || '/' || array_to_string(s[1:n], '/'))))) AS entry
-  FROM (SELECT *, string_split(host, '.') AS l, list_filter(string_split(path, '/'), lambda x: x <> '')[1:{PATH_DEPTH}] AS s FROM page
+  FROM (SELECT *, string_split(host, '.') AS l, list_filter(string_split(path, '/'), lambda x: x <> '') AS s FROM page
         WHERE host IS NOT NULL)),
 hit AS (
   SELECT page_id, list_name, entry, valid_from, valid_to, count(*) OVER (PARTITION BY page_id) AS n_matches,

@@ -14,15 +14,36 @@ from pyspark.sql import functions as F
 from fleetpulse.sinks.tables import materialize
 
 OPEN_END = 253_402_300_799  # 9999-12-31T23:59:59Z in epoch seconds
-PATH_DEPTH = 4  # bound of the query's SQL, whose list has one-step paths; the operator has none
 SLICE_SECONDS = 30 * 86_400
 
 
 def host_of(url: Column) -> Column:
     """Lower-case host without port and user; null where there is none."""
-    authority = F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://([^/?#]*)", 1)
-    host = F.regexp_replace(F.regexp_replace(authority, "^.*@", ""), r":[0-9]*$", "")
-    return F.when(host != "", F.rtrim(host, F.lit(".")))
+    return _host(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
+
+
+def _host(authority: Column) -> Column:
+    host = F.regexp_replace(F.regexp_replace(F.lower(authority), "^.*@", ""), r":[0-9]*$", "")
+    trimmed = F.rtrim(host, F.lit("."))
+    return F.when(trimmed != "", trimmed)
+
+
+def _steps(path: Column) -> Column:
+    return F.filter(F.split(path, "/"), lambda s: s != "")
+
+
+def normal_entry(entry: Column) -> Column:
+    """A list entry in the form of ``entry_keys``; null without a host.
+
+    That is the host in lower case without user, port and closing dots, then
+    the path's steps with their case. A scheme, a query, a fragment and empty
+    steps, closing slashes among them, say nothing.
+    """
+    plain = F.regexp_replace(F.regexp_replace(F.trim(entry), r"^[A-Za-z][A-Za-z0-9+.-]*://", ""), r"(?s)[?#].*$", "")
+    authority = F.substring_index(plain, "/", 1)
+    steps = _steps(F.substr(plain, F.char_length(authority) + 1))
+    host = _host(authority)
+    return F.when(host.isNotNull(), F.array_join(F.concat(F.array(host), steps), "/"))
 
 
 def path_depth(entry: Column) -> Column:
@@ -36,7 +57,7 @@ def entry_keys(url: Column, depths: list[int]) -> Column:
     labels = F.split(host, r"\.")
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
-    steps = F.filter(F.split(path, "/"), lambda s: s != "")
+    steps = _steps(path)
     prefixes = F.filter(F.array(*map(F.lit, depths)).cast("array<int>"), lambda n: n <= F.size(steps))
     paths = F.transform(prefixes, lambda n: F.concat(host, F.lit("/"), F.array_join(F.slice(steps, 1, n), "/")))
     return F.when(host.isNull(), F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(domains, paths)))
@@ -47,12 +68,10 @@ def validity(changes: DataFrame) -> DataFrame:
 
     The action ``add`` opens an interval and ``remove`` closes it; a repeated
     action changes nothing. Of changes of one entry in the same second the
-    removal counts. Rows with a null, or another action, are left out. The host
-    of an entry is lower-cased; its path keeps its case, as paths of captures do.
+    removal counts. Rows with a null, another action or an entry without host
+    are left out. Entries are told apart by their normal form.
     """
-    host = F.substring_index("entry", "/", 1)
-    entry = F.concat(F.lower(host), F.expr("substr(entry, char_length(substring_index(entry, '/', 1)) + 1)"))
-    known = changes.select("list_name", entry.alias("entry"), F.col("changed_at").cast("bigint").alias("at"), "action")
+    known = changes.select("list_name", normal_entry(F.col("entry")).alias("entry"), F.col("changed_at").cast("bigint").alias("at"), "action")
     known = known.dropna().filter(F.col("action").isin("add", "remove"))
     states = known.groupBy("list_name", "entry", "at").agg(F.min((F.col("action") == "add").cast("int")).alias("active"))
     history = Window.partitionBy("list_name", "entry").orderBy("at")

@@ -49,3 +49,17 @@ def test_an_entry_blocks_its_own_url(spark):
     pages = spark.createDataFrame([(1, "http://Z.example/One/Two", 5), (2, "http://z.example/one/two", 5)], "page_id long, url string, fetched_at long")
     spans = url_lists.validity(spark.createDataFrame([("l", "Z.Example/One/Two", 1, "add")], "list_name string, entry string, changed_at long, action string"))
     assert [r["page_id"] for r in url_lists.judge(pages, spans).filter("blocked").collect()] == [1]
+
+
+def test_entries_and_captures_have_one_normal_form(spark):
+    entries = ["bad.example/ads/", "Dot.example.", "port.example:8080", "HTTPS://user@full.example:1/A//b/?q#f", "slash.example/", ":80", "/path", ""]
+    changes = [("l", e, 1, "add") for e in entries] + [("l", "dot.example", 9, "remove")]
+    spans = url_lists.validity(spark.createDataFrame(changes, "list_name string, entry string, changed_at long, action string"))
+    assert sorted((r["entry"], r["valid_to"]) for r in spans.collect()) == [
+        ("bad.example/ads", url_lists.OPEN_END), ("dot.example", 9), ("full.example/A/b", url_lists.OPEN_END),
+        ("port.example", url_lists.OPEN_END), ("slash.example", url_lists.OPEN_END),
+    ]
+    urls = ["http://bad.example/ads/x", "http://bad.example//ads", "http://www.dot.example./", "ftp://port.example", "http://full.example/A/b/c",
+            "http://slash.example/any", "http://bad.example/adsx", "http://full.example/a/b"]
+    pages = spark.createDataFrame([(k, u, 5) for k, u in enumerate(urls)], "page_id long, url string, fetched_at long")
+    assert sorted(r["page_id"] for r in url_lists.judge(pages, spans).filter("blocked").collect()) == [0, 1, 2, 3, 4, 5]
