@@ -149,19 +149,21 @@ FROM a JOIN c{last} USING (cluster)""")
 def _quality() -> str:
     steps = " UNION ALL ".join(
         f"SELECT doc_id, lang, source, '{r.name}' AS rule, {r.floor} AS floor, "
-        f"least({r.over} * {r.scale} // greatest({r.by}, 1), {quality.MOST_STEPS}) AS step FROM facts"
+        f"{r.over} * {r.scale} // greatest({r.by}, 1) AS step FROM facts"
         for r in quality.RULES
     )
+    cut = f"greatest(length(bin(step)) - {quality.SKETCH_BITS}, 0)"
+    bin_ = f"(step >> {cut}) << {cut}"
     limit = f"""
       SELECT lang, source, rule, max(size) AS size, max(q3 + {quality.SPREAD} * greatest(q3 - q1, floor)) AS most FROM (
         SELECT lang, source, rule, floor, max(size) AS size, min(step) FILTER (4 * below >= size) AS q1,
           min(step) FILTER (4 * below >= 3 * size) AS q3
         FROM (SELECT *, sum(n) OVER (PARTITION BY lang, source, rule ORDER BY step) AS below,
                 sum(n) OVER (PARTITION BY lang, source, rule) AS size
-              FROM (SELECT {{keys}}, rule, floor, step, count(*) AS n FROM rate WHERE doc_id IN (SELECT doc_id FROM facts WHERE NOT base_failed)
+              FROM (SELECT {{keys}}, rule, floor, {bin_} AS step, count(*) AS n FROM rate WHERE doc_id IN (SELECT doc_id FROM facts WHERE NOT base_failed)
                     GROUP BY ALL))
         GROUP BY ALL) GROUP BY ALL"""
-    small = quality.SMALL_GROUP
+    prior = quality.PRIOR_ROWS
     return f"""
 WITH part AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS text,
@@ -187,7 +189,7 @@ above AS (
   SELECT DISTINCT r.doc_id FROM rate r
   JOIN own o ON r.rule = o.rule AND r.lang IS NOT DISTINCT FROM o.lang AND r.source IS NOT DISTINCT FROM o.source
   JOIN tongue t ON r.rule = t.rule AND r.lang IS NOT DISTINCT FROM t.lang JOIN whole a ON r.rule = a.rule
-  WHERE r.step > CASE WHEN o.size >= {small} THEN o.most WHEN t.size >= {small} THEN t.most ELSE a.most END)
+  WHERE r.step > (o.size * o.most + {prior} * ((t.size * t.most + {prior} * a.most) // (t.size + {prior}))) // (o.size + {prior}))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM above) AS kept
 FROM facts

@@ -1,10 +1,11 @@
 """Quality rules with thresholds that adapt to language and source.
 
-Counts of each text give rates; a mergeable sketch of each rate (its histogram
-over whole per-mille steps) is kept for every language and source, merged for
-small groups into the language's and then into the whole table's. Quantiles of
-the sketches set the thresholds, and a join with them decides. Everything is
-DataFrame functions.
+Counts of each text give rates; a mergeable sketch of each rate (a histogram
+over its whole steps, with bins of bounded relative width for high ones) is kept
+for every language and source and merged into the language's and the whole
+table's. Quantiles of the sketches set a limit at each level; a group's limit is
+drawn towards its language's by their numbers of rows, a language's towards that
+of all rows. A join with the limits decides. Everything is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -42,14 +43,14 @@ class Rule:
 
 
 RULES = (
-    Rule("word_length", "word_chars", "n_words", 100, 50),
+    Rule("word_length", "word_chars", "n_words", 100, 20),
     Rule("symbol_rate", "n_symbols", "word_chars", 1000, 15),
     Rule("dup_line_rate", "n_dup_lines", "n_lines", 1000, 60),
-    Rule("repeat_rate", "n_repeat_words", "n_words", 1000, 50),
+    Rule("repeat_rate", "n_repeat_words", "n_words", 1000, 45),
 )
 SPREAD = 6
-SMALL_GROUP = 200
-MOST_STEPS = 100_000
+PRIOR_ROWS = 200  # the weight of the level above, in rows
+SKETCH_BITS = 10  # leading bits of a step that its bin keeps
 
 
 def counted(text: Column) -> Column:
@@ -115,13 +116,18 @@ def base_failed(counts: Column) -> Column:
 
 def rate(counts: Column, rule: Rule) -> Column:
     """The rule's rate in whole steps, rounded down; 0 where there is nothing to divide by."""
-    steps = F.call_function("div", counts[rule.over] * rule.scale, F.greatest(counts[rule.by], F.lit(1)))
-    return F.least(steps, F.lit(MOST_STEPS)).cast("bigint")
+    return F.call_function("div", counts[rule.over] * rule.scale, F.greatest(counts[rule.by], F.lit(1))).cast("bigint")
+
+
+def sketch_bin(step: Column) -> Column:
+    """The lower edge of a step's bin: the step itself below 2 ** ``SKETCH_BITS``, beyond that its leading bits."""
+    cut = F.greatest(F.length(F.bin(step)) - SKETCH_BITS, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", step, cut), cut)
 
 
 def sketches(rates: DataFrame) -> DataFrame:
     """Merged histograms: level (0 source, 1 language, 2 all), lang, source, rule, step, n."""
-    steps = F.explode(F.array(*[F.struct(F.lit(r.name).alias("rule"), F.col(r.name).alias("step")) for r in RULES]))
+    steps = F.explode(F.array(*[F.struct(F.lit(r.name).alias("rule"), sketch_bin(F.col(r.name)).alias("step")) for r in RULES]))
     own = (
         rates.select("lang", "source", steps.alias("s"))
         .groupBy("lang", "source", "s.rule", "s.step")
@@ -140,7 +146,7 @@ def _merged(parts: DataFrame, keys: list[str], level: int) -> DataFrame:
 def limits(histograms: DataFrame) -> DataFrame:
     """level, lang, source, size and one upper limit for each rule, from the quartiles of the sketches.
 
-    A window holds the steps of one group and rule, of which there are at most ``MOST_STEPS``.
+    A window holds the bins of one group and rule, some 28,000 of 64-bit steps at most.
     """
     group = Window.partitionBy("level", "lang", "source", "rule")
     placed = histograms.withColumn("below", F.sum("n").over(group.orderBy("step"))).withColumn("size", F.sum("n").over(group))
@@ -157,24 +163,21 @@ def limits(histograms: DataFrame) -> DataFrame:
     )
 
 
-def thresholds(rates: DataFrame, small_group: int = SMALL_GROUP) -> DataFrame:
+def thresholds(rates: DataFrame, prior: int = PRIOR_ROWS) -> DataFrame:
     """One row for each language and source: the key and an upper limit for each rule.
 
-    A group with fewer rows than ``small_group`` takes its language's limits, and
-    a language with fewer those of all rows. Null is a language or source of its own.
+    A level's own limit counts with its rows and the limit of the level above
+    with ``prior`` rows, rounded down. Null is a language or source of its own.
     """
-    found = limits(sketches(rates)).alias("own")
-    own = found.filter("level = 0").alias("own")
-    language = found.filter("level = 1").alias("language")
-    whole = found.filter("level = 2").alias("whole")
+    found = materialize(limits(sketches(rates)), "limits")
+    own, language, whole = (found.filter(F.col("level") == n).alias(a) for n, a in enumerate(("own", "language", "whole")))
     joined = own.join(language, F.col("own.lang").eqNullSafe(F.col("language.lang"))).join(F.broadcast(whole))
-    choice = [
-        F.when(F.col("own.size") >= small_group, F.col(f"own.{r.name}"))
-        .when(F.col("language.size") >= small_group, F.col(f"language.{r.name}"))
-        .otherwise(F.col(f"whole.{r.name}"))
-        .alias(f"most_{r.name}")
-        for r in RULES
-    ]
+
+    def drawn(level: str, rule: Rule, above: Column) -> Column:
+        size = F.col(f"{level}.size")
+        return F.call_function("div", size * F.col(f"{level}.{rule.name}") + prior * above, size + prior)
+
+    choice = [drawn("own", r, drawn("language", r, F.col(f"whole.{r.name}"))).alias(f"most_{r.name}") for r in RULES]
     return joined.select(_key(F.col("own.lang"), F.col("own.source")).alias(_KEY), *choice)
 
 
@@ -182,7 +185,7 @@ def _key(lang: Column, source: Column) -> Column:
     return F.to_json(F.struct(lang.cast("string").alias("lang"), source.cast("string").alias("source")))
 
 
-def judged(documents: DataFrame, carry: list[str], small_group: int = SMALL_GROUP) -> DataFrame:
+def judged(documents: DataFrame, carry: list[str], prior: int = PRIOR_ROWS) -> DataFrame:
     """``row`` (the carried columns), ``counts``, ``base_failed`` and ``kept`` of each document.
 
     A null or empty text has no words and fails. Null languages and sources form
@@ -202,7 +205,7 @@ def judged(documents: DataFrame, carry: list[str], small_group: int = SMALL_GROU
         ),
         "quality",
     )
-    most = materialize(thresholds(rows.filter(~F.col("base_failed")), small_group), "thresholds")
+    most = materialize(thresholds(rows.filter(~F.col("base_failed")), prior), "thresholds")
     keyed = rows.withColumn(_KEY, _key(F.col("lang"), F.col("source"))).withColumn("spread", F.monotonically_increasing_id())
     joined = lookup_join(keyed, most, _KEY, "spread", how="left")
     within = F.lit(True)
