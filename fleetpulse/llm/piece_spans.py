@@ -41,13 +41,14 @@ class CharacterMap:
             return None
         found = None
         node = self._children(self.units[0])
-        for length, byte in enumerate(source[at:at + 64], 1):
+        for place in range(at, len(source)):  # ends where the map has no longer key
+            byte = source[place]
             unit = self.units[node ^ byte]
             if unit & 0x800000FF != byte:
                 break
             node = (node ^ byte) ^ self._children(unit)
             if unit >> 8 & 1:
-                found = (length, self.units[node] & 0x7FFFFFFF)
+                found = (place + 1 - at, self.units[node] & 0x7FFFFFFF)
         if found is None:
             return None
         return found[0], self.texts[found[1] : self.texts.index(b"\0", found[1])]
@@ -173,13 +174,17 @@ def _pairs(documents: DataFrame, key: str) -> DataFrame:
     return documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def encode_spans(documents: DataFrame, model: str, key: str = "doc_id") -> DataFrame:
+def encode_spans(documents: DataFrame, model: str, key: str = "doc_id", decoded: bool = False) -> DataFrame:
     """One row per document: doc_id, ids, starts, ends (source bytes of each piece).
 
-    A null or empty text has no pieces. Null and repeated keys keep their rows;
-    other columns are not read. No shuffle.
+    With ``decoded`` also the text that the ids give back. A null or empty text
+    has no pieces. Null and repeated keys keep their rows; other columns are not
+    read. No shuffle.
     """
     types = pa.schema([("doc_id", pa.int64())] + [(n, pa.list_(pa.int32())) for n in ("ids", "starts", "ends")])
+    schema = "doc_id bigint, ids array<int>, starts array<int>, ends array<int>"
+    if decoded:
+        types, schema = types.append(pa.field("decoded", pa.string())), schema + ", decoded string"
 
     def run(batches: Batches) -> Batches:
         encoder = worker_encoder(model)
@@ -189,10 +194,11 @@ def encode_spans(documents: DataFrame, model: str, key: str = "doc_id") -> DataF
                 part = texts[low : low + TEXTS_AT_ONCE]
                 ids = encoder.encode(part)
                 spans = [encoder.spans(t, i) for t, i in zip(part, ids)]
-                lists = [pa.array(x, pa.list_(pa.int32())) for x in (ids, [s for s, _ in spans], [e for _, e in spans])]
-                yield pa.RecordBatch.from_arrays([keys.slice(low, len(part)), *lists], schema=types)
+                columns = [pa.array(x, pa.list_(pa.int32())) for x in (ids, [s for s, _ in spans], [e for _, e in spans])]
+                columns += [pa.array(encoder.decode(ids), pa.string())] if decoded else []
+                yield pa.RecordBatch.from_arrays([keys.slice(low, len(part)), *columns], schema=types)
 
-    return map_batches(_pairs(documents, key), run, "doc_id bigint, ids array<int>, starts array<int>, ends array<int>")
+    return map_batches(_pairs(documents, key), run, schema)
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
