@@ -34,8 +34,8 @@ def safe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of every document: doc_id, ids, starts, ends."""
-    return piece_spans.encode_spans(docs, tokenizer("piece_bpe_32k.model"))
+    """Pieces of every document and the text they decode to: doc_id, ids, starts, ends, decoded."""
+    return piece_spans.encode_spans(docs, tokenizer("piece_bpe_32k.model"), decoded=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -50,7 +50,12 @@ ORACLE_SQL = None  # SQL cannot express a token vocabulary; tests compare the st
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``; all but the last are written and read again."""
+    """The stages over ``documents``; all but the last are written and read again.
+
+    A null or blank text has no words, so the first stage drops it; null ids,
+    languages and sources, repeated rows and further columns pass as the stages'
+    operators state. An empty table gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
