@@ -16,6 +16,8 @@ _PLAIN = re.compile(f"[\t\n\r a-z.,{chr(0xDF)}-{chr(0xF6)}{chr(0xF8)}-{chr(0x24F
 # Where split() cuts though a library may not.
 _DOUBTFUL = [chr(c) for c in (0x1C, 0x1D, 0x1E, 0x1F, 0x85)]
 _SPACED_WORDS = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
+# Plain white space behind a character that no library takes for white space.
+_SURE_CUT = re.compile(_ODD.pattern.replace("[", "(?<=[^ \t\r\n", 1) + r")(?=[ \t\r\n])")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -68,6 +70,21 @@ def is_plain(text: str) -> bool:
     return _PLAIN.fullmatch(text) is not None and not any(two in text for two in ("..", ",,", ".,", ",."))
 
 
+def parted(text: str) -> tuple[str, list[str]]:
+    """For a ``leading`` tokenizer: the settled pieces of a text, put together, and its other pieces.
+
+    Pieces begin with plain white space and end before it, so the token counts of
+    the joined text and of the other pieces add up to that of the whole text.
+    """
+    if SETTLED.fullmatch(text):
+        return text, []
+    settled: list[str] = []
+    odd: list[str] = []
+    for piece in _SURE_CUT.split(text):
+        (settled if SETTLED.fullmatch(piece) else odd).append(piece)
+    return "".join(settled), odd
+
+
 def _listed(step: dict | None, inner: str) -> list[dict]:
     return step.get(inner, [step]) if step else []
 

@@ -16,6 +16,7 @@ from fleetpulse.llm.common import Batches, Memo, map_batches, texts_of
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 CACHE_PRE_TOKENS = 800_000
+CACHE_ODD_PIECES = 100_000
 OVER = 512
 
 
@@ -47,7 +48,10 @@ def frequent_lengths(path: str) -> dict[str, int]:
 
 
 class TextCounter:
-    """Counts of whole texts: the table first, the worker's cache next, the library for what is left."""
+    """Counts of whole texts: the table first, the worker's cache next, the library for what is left.
+
+    Pieces with characters that libraries may class differently have a cache of their own.
+    """
 
     def __init__(self, path: str, frequent: dict[str, int]):
         import regex
@@ -56,12 +60,16 @@ class TextCounter:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.find = regex.compile(PRE_TOKENS).findall
         self.frequent = frequent
-        self.memo = Memo(CACHE_PRE_TOKENS)
+        self.memo, self.odd = Memo(CACHE_PRE_TOKENS), Memo(CACHE_ODD_PIECES)
 
     def __call__(self, text: str) -> int:
-        if not self.frequent or not chunks.SETTLED.fullmatch(text) or any(s in text for s in self.special):
+        if not self.frequent or any(s in text for s in self.special):
             return self._encode(text)
         self.memo.trim()
+        settled, odd = chunks.parted(text)
+        return self._settled(settled) + (self._odd(odd) if odd else 0)
+
+    def _settled(self, text: str) -> int:
         tokens = self.find(text)
         found = list(map(self.frequent.get, tokens))
         if None not in found:
@@ -72,6 +80,16 @@ class TextCounter:
             cached = [self._pre_token(t) if n is None else n for t, n in zip(missed, cached)]
         return sum(n for n in found if n) + sum(cached)
 
+    def _odd(self, pieces: list[str]) -> int:
+        """Pieces with other characters: the cache, and the whole library for new ones."""
+        counts = {p: self.odd.get(p) or self.odd.recall(p) for p in dict.fromkeys(pieces)}
+        new = [p for p, n in counts.items() if n is None]
+        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            counts[piece] = len(found.ids)
+            self.odd.keep(piece, counts[piece])
+        self.odd.trim()
+        return sum(map(counts.get, pieces))
+
     def _pre_token(self, token: str) -> int:
         count = self.memo.get(token) or self.memo.recall(token)
         if count is not None:
