@@ -1,8 +1,9 @@
 """Token ids as flat binary files with 64-bit document offsets.
 
 A table of documents becomes a folder of parts in ascending ``doc_id`` order:
-``part-NNNNN.bin`` holds the ids of its documents one after the other as
-unsigned little-endian integers, ``part-NNNNN.idx`` holds 64-bit integers: the
+``part-NNNNN-NNNNN.bin`` (task and part of the task) holds the ids of its
+documents one after the other as unsigned little-endian integers, the ``.idx``
+file of the same name holds 64-bit integers: the
 number of documents, their offsets in the part (one more than documents), their
 ids and a mark for ids that are null. ``manifest.json`` lists the parts with
 their first token and document, which are prefix sums of the parts' counts.
@@ -28,6 +29,7 @@ from fleetpulse.llm import chunks
 from fleetpulse.llm.common import Batches, Memo, make_folder, map_batches, offsets, one_per_task, publish, shared_files, texts_of
 
 CACHED = 1_000_000
+PART_BYTES = 128 << 20
 PARTS_SCHEMA = "part string, n_docs bigint, n_tokens bigint"
 
 
@@ -113,7 +115,13 @@ def id_type(largest: int) -> str:
 
 
 def write_tokens(
-    documents: DataFrame, uri: str, tokenizer: str, end_id: int | None = None, parts: int | None = None, key: str = "doc_id"
+    documents: DataFrame,
+    uri: str,
+    tokenizer: str,
+    end_id: int | None = None,
+    parts: int | None = None,
+    key: str = "doc_id",
+    part_bytes: int = PART_BYTES,
 ) -> TokenFolder:
     """Encodes ``key`` and ``text`` of every document and writes the folder at ``uri``.
 
@@ -121,8 +129,10 @@ def write_tokens(
     keys by their texts' hash; a repeated row is written as often as it occurs.
     Other columns are not read, whatever their names. An empty table gives a
     folder without parts. Rows are dealt by range; a spread of the row number
-    splits keys that many rows share. A task holds one part at a time, on disk
-    but for the current batch's ids.
+    splits keys that many rows share. A task goes on to a new part after the
+    batch that fills one with ``part_bytes`` of ids, so a part is bounded whatever
+    the table's size. It holds the current batch, and of a part's documents the
+    keys and lengths, 24 bytes each.
     """
     from tokenizers import Tokenizer
 
@@ -135,28 +145,34 @@ def write_tokens(
     order = ("doc_id", F.xxhash64("text"), F.xxhash64(F.monotonically_increasing_id()))
     rows = rows.repartitionByRange(count, *order).sortWithinPartitions(*order)
 
+    types = pa.schema([("part", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
+
     def write(batches: Batches) -> Batches:
         encode = worker_encoder(tokenizer, dtype)
-        name = f"part-{TaskContext.get().partitionId():05d}"
-        ids: list = []
-        lengths: list[int] = []
-
-        def stream(out: pa.NativeFile) -> None:
-            for batch in batches:
-                ids.extend(batch.column("doc_id").to_pylist())
-                for tokens in map(encode, texts_of(batch)):
-                    out.write(tokens + tail)
-                    lengths.append((len(tokens) + len(tail)) // np.dtype(dtype).itemsize)
-
-        publish(f"{uri}/{name}.bin", stream)
-        marks = np.asarray([i is None for i in ids], "<i8")
-        keys = np.asarray([0 if i is None else i for i in ids], "<i8")
-        index = np.concatenate([[len(ids)], offsets(np.asarray(lengths, np.int64)), keys, marks]).astype("<i8")
-        publish(f"{uri}/{name}.idx", lambda out: out.write(index.tobytes()))
-        yield pa.RecordBatch.from_pylist(
-            [{"part": name, "n_docs": len(ids), "n_tokens": sum(lengths)}],
-            schema=pa.schema([("part", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]),
-        )
+        batch = next(batches, None)
+        piece = 0
+        while batch is not None:
+            name = f"part-{TaskContext.get().partitionId():05d}-{piece:05d}"
+            keys, marks, lengths = array("q"), array("q"), array("q")
+
+            def stream(out: pa.NativeFile) -> None:
+                nonlocal batch
+                size = 0
+                while batch is not None and size < part_bytes:
+                    ids = batch.column("doc_id")
+                    keys.extend(ids.fill_null(0).to_pylist())
+                    marks.extend(map(int, ids.is_null().to_pylist()))
+                    for tokens in map(encode, texts_of(batch)):
+                        size += out.write(tokens + tail)
+                        lengths.append((len(tokens) + len(tail)) // np.dtype(dtype).itemsize)
+                    batch = next(batches, None)
+
+            publish(f"{uri}/{name}.bin", stream)
+            ends = offsets(np.asarray(lengths, np.int64))
+            index = (np.asarray([len(keys)]), ends, np.asarray(keys, np.int64), np.asarray(marks, np.int64))
+            publish(f"{uri}/{name}.idx", lambda out: [out.write(x.astype("<i8").tobytes()) for x in index])
+            yield pa.RecordBatch.from_pydict({"part": [name], "n_docs": [len(keys)], "n_tokens": [int(ends[-1])]}, schema=types)
+            piece += 1
 
     make_folder(uri)
     counts = sorted(tuple(r) for r in map_batches(rows, write, PARTS_SCHEMA).filter("n_docs > 0").collect())
