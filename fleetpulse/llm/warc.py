@@ -35,6 +35,7 @@ LEVEL = 6
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _CHUNK = 1 << 20
+_READ = 1 << 16  # what is left of it is copied for every member
 _SAFE = "!#$%&'()*+,/:;=?@[]~-._"
 FILES_SCHEMA = "file string, n_records bigint"
 
@@ -142,6 +143,7 @@ class Inflated:
 
     source: pa.NativeFile
     buffer: bytes = b""
+    at: int = 0
 
     def __post_init__(self):
         self._member = zlib.decompressobj(31)
@@ -149,43 +151,42 @@ class Inflated:
     def _more(self) -> bool:
         while True:
             if self._member.eof:
-                rest = self._member.unused_data or self.source.read(_CHUNK)
+                rest = self._member.unused_data or self.source.read(_READ)
                 if not rest:
                     return False
                 self._member = zlib.decompressobj(31)
             else:
-                rest = self._member.unconsumed_tail or self.source.read(_CHUNK)
+                rest = self._member.unconsumed_tail or self.source.read(_READ)
                 if not rest:
                     return False
             got = self._member.decompress(rest, _CHUNK)
             if got:
-                self.buffer += got
+                self.buffer, self.at = self.buffer[self.at :] + got, 0
                 return True
 
     def through(self, mark: bytes) -> bytes:
         """Up to and including the mark; empty at the end of the file."""
         seen = 0
-        while (at := self.buffer.find(mark, max(0, seen - len(mark)))) < 0:
-            seen = len(self.buffer)
+        while (end := self.buffer.find(mark, self.at + max(0, seen - len(mark)))) < 0:
+            seen = len(self.buffer) - self.at
             if not self._more():
-                if self.buffer.strip():
+                if self.buffer[self.at :].strip():
                     raise ValueError("the archive ends inside a record")
                 return b""
-        return self.take(at + len(mark))
+        return self.take(end + len(mark) - self.at)
 
     def take(self, size: int) -> bytes:
-        if len(self.buffer) < size:
-            parts = [self.buffer]
-            have = len(self.buffer)
-            while have < size:
-                self.buffer = b""
-                if not self._more():
-                    raise ValueError("the archive ends inside a record")
-                parts.append(self.buffer)
-                have += len(self.buffer)
-            self.buffer = b"".join(parts)
-        out, self.buffer = self.buffer[:size], self.buffer[size:]
-        return out
+        parts, have = [], len(self.buffer) - self.at
+        while have < size:
+            parts.append(self.buffer[self.at :])
+            self.buffer, self.at = b"", 0
+            if not self._more():
+                raise ValueError("the archive ends inside a record")
+            have += len(self.buffer)
+        end = len(self.buffer) - (have - size)
+        parts.append(self.buffer[self.at : end])
+        self.at = end
+        return b"".join(parts)
 
 
 def fields_of(head: bytes) -> dict[str, str]:

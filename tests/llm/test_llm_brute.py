@@ -1,5 +1,6 @@
 """Operators that SQL does not express, against brute force or the libraries themselves."""
 
+import gzip
 import hashlib
 import random
 import re
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fleetpulse.llm import catalog, chunks, decontaminate, graph, jaccard_join, piece_spans, quality, secrets, token_counts, token_files
+from fleetpulse.llm import catalog, chunks, common, decontaminate, graph, jaccard_join, piece_spans, quality, secrets, token_counts, token_files, warc
 from fleetpulse.llm.catalog import tokenizer
 from fleetpulse.sources.tables import read_parquet
 
@@ -145,6 +146,48 @@ def test_chunked_encoders_equal_the_library():
     assert [chunks.style_of(open(p).read()) for p in (words, counts)] == ["dropped", "leading"]
 
 
+@pytest.mark.parametrize("read, chunk", [(1, 1), (7, 50), (1 << 16, 1 << 20)])
+def test_records_of_any_size(monkeypatch, read, chunk):
+    monkeypatch.setattr(warc, "_READ", read)
+    monkeypatch.setattr(warc, "_CHUNK", chunk)
+    draw = random.Random(read)
+    records = []
+    for size in [0, 1, 3, 4, 5, 60, 5_000, 2, 0, 900]:
+        body = bytes(draw.choices(b"\r\nab", k=size))
+        records.append(b"WARC/1.1\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (size, body))
+    for members in ([b"".join(records)], records, [b"".join(records[:4]), b"", b"".join(records[4:])]):
+        source = pa.BufferReader(b"".join(map(gzip.compress, members)))
+        assert [record for _, record in warc.records_in(source)] == records
+    with pytest.raises(ValueError, match="inside a record"):
+        list(warc.records_in(pa.BufferReader(gzip.compress(b"".join(records)[:-3]))))
+
+
+def test_mixed_texts_keep_the_table():
+    from tokenizers import Tokenizer
+
+    path = tokenizer("byte_bpe_50k.json")
+    library, count = Tokenizer.from_file(path), token_counts.TextCounter(path, token_counts.frequent_lengths(path))
+    draw = random.Random(5)
+    signs = ["word", "don't", " ", "  ", "\n", "\t", "\r\n", "\u201cquoted\u201d", "漢字。", "слово", "\xa0", "\u3000", "\x0b", "\x1c", "\x85", "\u200b", "🙂", "12,5", "—", "\xad"]
+    for _ in range(3_000):
+        text = "".join(draw.choices(signs, k=draw.randrange(1, 14)))
+        assert count(text) == len(library.encode(text, add_special_tokens=False).ids), repr(text)
+    settled, odd = chunks.parted("He said \u201cno\u201d to all of them, 漢字 included, and left")
+    assert (settled, odd) == ("He said to all of them, included, and left", [" \u201cno\u201d", " 漢字"])
+    count.odd.limit = 4
+    assert all(count(t) == len(library.encode(t, add_special_tokens=False).ids) for t in ODD_TEXTS * 2)
+
+
+def test_parts_of_bounded_size(spark, tmp_path, monkeypatch):
+    docs = read_parquet(spark, f"{SF}/documents.parquet")
+    path = tokenizer("word_bpe_49k.json")
+    whole = token_files.write_tokens(docs, str(tmp_path / "w"), path, end_id=1, parts=2)
+    monkeypatch.setattr(common, "BATCH_ROWS", 7)
+    cut = token_files.write_tokens(docs, str(tmp_path / "c"), path, end_id=1, parts=2, part_bytes=2_000)
+    assert len(whole.parts) == 2 < len(cut.parts)
+    assert sorted(token_files.read_tokens(spark, cut).collect()) == sorted(token_files.read_tokens(spark, whole).collect())
+
+
 def test_small_caches_change_nothing(documents):
     full, tiny = (token_files.TextEncoder(tokenizer("word_bpe_49k.json"), "<u2") for _ in range(2))
     tiny.words.limit = tiny.chunks.limit = 20
