@@ -15,17 +15,38 @@ from pyspark.sql import functions as F
 
 BATCH_ROWS = 2_000
 BATCH_BYTES = 16 << 20
+STAGE_BYTES = 4 << 20  # of the pipeline's operators, whose workers share an executor's memory with a large heap
 Batches = Iterator[pa.RecordBatch]
 
 
-def map_batches(rows: DataFrame, work: Callable[[Batches], Batches], schema: str) -> DataFrame:
+def map_batches(
+    rows: DataFrame, work: Callable[[Batches], Batches], schema: str, batch_bytes: int = BATCH_BYTES, batch_rows: int = BATCH_ROWS
+) -> DataFrame:
     """``mapInArrow`` over batches whose rows and bytes are bounded, so a worker's memory is too."""
     conf = rows.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
     return rows.mapInArrow(work, schema)
 
 
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def take_over(owner: str, release: Callable[[], None] | None = None) -> None:
+    """Called where an operator's task begins: a Python worker drops what other operators' tasks left in it.
+
+    ``release`` drops what this one leaves. Spark reuses workers, so without it
+    the caches of every stage of a long job add up in each of them.
+    """
+    others = [name for name in _KEPT if name != owner]
+    for name in others:
+        _KEPT.pop(name)()
+    if others:
+        pa.default_memory_pool().release_unused()
+    if release is not None:
+        _KEPT[owner] = release
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch; null becomes empty."""
     return [t or "" for t in batch.column(name).to_pylist()]
@@ -104,6 +125,10 @@ class Memo(dict):
             self[text] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
     def keep(self, text, value) -> None:
         if len(text) <= self.LONGEST:
             self[text] = value

@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import Batches, bytes_of, map_batches, sha256_hex
+from fleetpulse.llm.common import STAGE_BYTES, Batches, bytes_of, map_batches, sha256_hex, take_over
 
 WINDOW = 10
 BLOCK_BYTES = 32 << 20
@@ -254,6 +254,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     blocks = _sent(documents, benchmark, window, block_bytes)
 
     def run(batches: Batches) -> Batches:
+        take_over("decontamination")
         for batch in batches:
             texts = bytes_of(batch)
             hit = np.zeros(len(texts), bool)
@@ -261,4 +262,4 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
                 hit |= [len(windows) > 0 for _, (windows, _) in window_hits(texts, block.value, window)]
             yield batch.filter(pa.array(~hit))
 
-    return map_batches(documents, run, documents.schema)
+    return map_batches(documents, run, documents.schema, STAGE_BYTES)

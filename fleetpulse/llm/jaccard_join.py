@@ -26,7 +26,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import Batches, Memo, bytes_of, map_batches, offsets
+from fleetpulse.llm.common import STAGE_BYTES, Batches, Memo, bytes_of, map_batches, offsets, take_over
 from fleetpulse.llm.graph import components
 from fleetpulse.operators.lookup import lookup_join
 from fleetpulse.sinks.tables import materialize
@@ -58,6 +58,10 @@ class WordHashes(Memo):
 _WORDS = WordHashes(300_000)
 
 
+def _start_task() -> None:
+    take_over("word hashes", _WORDS.forget)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(_MIX[0])
     x = (x ^ (x >> np.uint64(27))) * np.uint64(_MIX[1])
@@ -101,6 +105,7 @@ def bucket_counts(documents: DataFrame) -> np.ndarray:
     types = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
 
     def count(batches: Batches) -> Batches:
+        _start_task()
         counts = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             hashes = np.concatenate([shingles(t) for t in bytes_of(batch)] or [np.zeros(0, np.uint64)])
@@ -116,7 +121,7 @@ def bucket_counts(documents: DataFrame) -> np.ndarray:
         total = sum(np.frombuffer(c, "<i8") for c in table.column("counts").to_pylist())
         return pa.table({"block": table.column("block")[:1], "part": table.column("part")[:1], "counts": [total.tobytes()]}, schema=types)
 
-    counted = map_batches(documents.select(F.col("text").cast("string").alias("text")), count, schema)
+    counted = map_batches(documents.select(F.col("text").cast("string").alias("text")), count, schema, STAGE_BYTES)
     merged = counted.groupBy("block", "part").applyInArrow(add, schema).groupBy("block").applyInArrow(add, schema)
     counts = np.zeros(BUCKETS, np.int64)
     for block, _, own in merged.collect():  # BUCKETS numbers at most
@@ -134,6 +139,7 @@ def signatures(documents: DataFrame, counts: Broadcast, key: str = "doc_id") ->
     types = pa.schema([(c, pa.int64()) for c in ("doc_id", "text_key", "n", "node")] + [("prefix", pa.list_(pa.int64()))])
 
     def run(batches: Batches) -> Batches:
+        _start_task()
         common = counts.value
         for batch in batches:
             sizes, nodes, prefixes = [], [], []
@@ -146,7 +152,7 @@ def signatures(documents: DataFrame, counts: Broadcast, key: str = "doc_id") ->
             arrays = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), *arrays], schema=types)
 
-    return map_batches(_keyed(documents, key), run, schema)
+    return map_batches(_keyed(documents, key), run, schema, STAGE_BYTES)
 
 
 def _keyed(documents: DataFrame, key: str) -> DataFrame:
@@ -168,13 +174,14 @@ def node_sets(documents: DataFrame, members: DataFrame, wanted: DataFrame, key:
     types = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("items", pa.binary())])
 
     def run(batches: Batches) -> Batches:
+        _start_task()
         for batch in batches:
             sets = [shingle_set(t) for t in bytes_of(batch)]
             columns = [pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([s.tobytes() for s in sets], pa.binary())], schema=types)
 
     chosen = lookup_join(rows, carriers, "carrier", "text_key", how="left_semi")
-    sets = map_batches(chosen.select("text"), run, schema)
+    sets = map_batches(chosen.select("text"), run, schema, STAGE_BYTES)
     again = members.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     return materialize(sets if again.isEmpty() else sets.dropDuplicates(["node"]), "sets")
 
@@ -201,7 +208,7 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in types.names[:4]), pa.array(common, pa.int64())], schema=types)
 
     joined = lookup_join(left, pairs, "a", "a").join(right, "b")
-    return map_batches(joined.select("a", "b", "n_a", "n_b", "items_a", "items_b"), run, schema)
+    return map_batches(joined.select("a", "b", "n_a", "n_b", "items_a", "items_b"), run, schema, STAGE_BYTES)
 
 
 def _sizes_allow(n_a: Column, n_b: Column, per_cent: int) -> Column:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import Batches, map_batches, sha256_hex, texts_of
+from fleetpulse.llm.common import STAGE_BYTES, Batches, map_batches, sha256_hex, take_over, texts_of
 
 BLANK = "▁".encode()  # Fixed value: the sign that stands for a space.
 NORMAL, BYTE = 1, 6  # Fixed values: piece types of the model format.
@@ -187,6 +187,7 @@ def encode_spans(documents: DataFrame, model: str, key: str = "doc_id", decoded:
         types, schema = types.append(pa.field("decoded", pa.string())), schema + ", decoded string"
 
     def run(batches: Batches) -> Batches:
+        take_over("pieces", worker_encoder.cache_clear)
         encoder = worker_encoder(model)
         for batch in batches:
             texts, keys = texts_of(batch), batch.column("doc_id")
@@ -198,7 +199,7 @@ def encode_spans(documents: DataFrame, model: str, key: str = "doc_id", decoded:
                 columns += [pa.array(encoder.decode(ids), pa.string())] if decoded else []
                 yield pa.RecordBatch.from_arrays([keys.slice(low, len(part)), *columns], schema=types)
 
-    return map_batches(_pairs(documents, key), run, schema)
+    return map_batches(_pairs(documents, key), run, schema, STAGE_BYTES, TEXTS_AT_ONCE)
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import Batches, Memo, map_batches, sha256_hex, texts_of
+from fleetpulse.llm.common import STAGE_BYTES, Batches, Memo, map_batches, sha256_hex, take_over, texts_of
 from fleetpulse.llm.token_counts import PRE_TOKENS
 
 # The base forms, in the order in which they are listed.
@@ -192,6 +192,7 @@ def without_secrets(documents: DataFrame, ranks_path: str, mask: str = "[SECRET]
     named = list(documents.columns)
 
     def run(batches: Batches) -> Batches:
+        take_over("secrets", vocabulary.cache_clear)
         finder = SecretFinder(ranks_path)
         for batch in batches:
             at = batch.schema.get_field_index(text)
@@ -201,7 +202,7 @@ def without_secrets(documents: DataFrame, ranks_path: str, mask: str = "[SECRET]
             columns[at] = pa.array(after, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    masked = map_batches(documents, run, documents.schema)
+    masked = map_batches(documents, run, documents.schema, STAGE_BYTES)
     if "n_chars" not in named:
         return masked
     kind = documents.schema["n_chars"].dataType
