@@ -20,12 +20,12 @@ Batches = Iterator[pa.RecordBatch]
 
 
 def map_batches(
-    rows: DataFrame, work: Callable[[Batches], Batches], schema: str, batch_bytes: int = BATCH_BYTES, batch_rows: int = BATCH_ROWS
+    rows: DataFrame, work: Callable[[Batches], Batches], schema: str, batch_bytes: int | None = None, batch_rows: int | None = None
 ) -> DataFrame:
     """``mapInArrow`` over batches whose rows and bytes are bounded, so a worker's memory is too."""
     conf = rows.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows or BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes or BATCH_BYTES))
     return rows.mapInArrow(work, schema)
 
 
